@@ -1,7 +1,7 @@
 """Registry of the queries exposed through ``__spark_entry__``: name -> (spark, sf_dir) -> DataFrame.
 
-Every query reads the driver tables of ``sf_dir`` (or data Spark derives from them), so its
-work grows with the tables.
+Every query reads the whole driver tables of ``sf_dir`` (or data Spark derives from them, such
+as a changelog synthesised from them), so its work grows with the tables.
 """
 
 from __future__ import annotations
@@ -9,31 +9,233 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.expressions import ordered_before, revenue, segment_is, shipped_after
+from ..operators import parse as P
+from ..operators import replay as R
+from ..operators import synth as S
 from ..params import DEFAULT
-from ..sources.tables import load_tables, with_shippriority
-from . import oracle
+from ..schemas import DRIVER, REVENUE
+from ..sources.tables import load_table, load_tables, with_shippriority
+from . import changes as C
+from . import oracle as O
 from .q3 import q3, q3_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
 
 
-def _q3_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = load_tables(spark, sf_dir)
+def register(name: str, sql: str | None = None):
+    def deco(fn: Query) -> Query:
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE_SQL[name] = sql
+        return fn
+    return deco
+
+
+def _q3_of(t: dict[str, DataFrame]) -> DataFrame:
     return q3(t["customer"], with_shippriority(t["orders"]), t["lineitem"], DEFAULT)
 
 
-def _q3_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# --- flagship -----------------------------------------------------------------------------------
+
+@register("q3_batch", O.Q3_BATCH)
+def q3_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _q3_of(load_tables(spark, sf_dir))
+
+
+@register("q3_sql", O.Q3_BATCH)
+def q3_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = load_tables(spark, sf_dir)
     return q3_sql(spark, t["customer"], with_shippriority(t["orders"]), t["lineitem"], DEFAULT)
 
 
-QUERIES: dict[str, Query] = {
-    "q3_batch": _q3_batch,
-    "q3_sql": _q3_sql,
-}
+# --- typed tables, predicates, revenue, plain joins ---------------------------------------------
+
+@register("typed_tables", O.with_typed("""
+SELECT 'customer' AS tbl, count(*) AS n, CAST(sum(c_acctbal) AS DECIMAL(18,2)) AS money FROM tc
+UNION ALL SELECT 'orders', count(*), CAST(sum(o_totalprice) AS DECIMAL(18,2)) FROM tor
+UNION ALL SELECT 'lineitem', count(*), CAST(sum(l_extendedprice) AS DECIMAL(18,2)) FROM tl"""))
+def typed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    money = {"customer": "c_acctbal", "orders": "o_totalprice", "lineitem": "l_extendedprice"}
+    t = load_tables(spark, sf_dir)
+    return _union([t[n].agg(F.lit(n).alias("tbl"), F.count(F.lit(1)).alias("n"),
+                            F.sum(m).cast("decimal(18,2)").alias("money"))
+                   for n, m in money.items()])
+
+
+@register("filter_segment", O.with_typed(
+    f"SELECT * FROM tc WHERE c_mktsegment = '{DEFAULT.segment}'"))
+def filter_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_table(spark, sf_dir, "customer").filter(segment_is(DEFAULT))
+
+
+@register("filter_order_date", O.with_typed(
+    f"SELECT * FROM tor WHERE o_orderdate < {DEFAULT.order_date_sql}"))
+def filter_order_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_table(spark, sf_dir, "orders").filter(ordered_before(DEFAULT))
+
+
+@register("filter_ship_date", O.with_typed(
+    f"SELECT * FROM tl WHERE l_shipdate > {DEFAULT.ship_date_sql}"))
+def filter_ship_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_table(spark, sf_dir, "lineitem").filter(shipped_after(DEFAULT))
+
+
+@register("item_revenue", O.with_typed(
+    "SELECT l_orderkey, l_linenumber, CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4)) "
+    "AS item_revenue FROM tl"))
+def item_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", revenue().cast(REVENUE).alias("item_revenue"))
+
+
+@register("join_customer_orders", O.with_typed(
+    "SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority, o_totalprice, c_name, "
+    "c_nationkey, c_mktsegment FROM tor JOIN tc ON c_custkey = o_custkey"))
+def join_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 + B16: orders with their customer's fields (disjoint names, explicit projection)."""
+    t = load_tables(spark, sf_dir)
+    j = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey"), "inner")
+    return j.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice",
+                    "c_name", "c_nationkey", "c_mktsegment")
+
+
+# --- changelog synthesis ------------------------------------------------------------------------
+
+@register("synth_changelog", O.with_rounds("SELECT seq, rnd, tbl, line FROM rc"))
+def synth_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.rounds(spark, sf_dir)
+
+
+@register("synth_changelog_shuffled",
+          f"WITH {O.TYPED_CTES.strip()},\n{O.shuffled_ctes()}\nSELECT seq, tbl, line FROM ranked")
+def synth_changelog_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.shuffled(load_tables(spark, sf_dir))
+
+
+@register("synth_flip_deletes",
+          f"WITH {O.TYPED_CTES.strip()},\n{O.shuffled_ctes()}\nSELECT seq, tbl, line FROM sh")
+def synth_flip_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.flipped(spark, sf_dir)
+
+
+# --- text changelog, validation, routing --------------------------------------------------------
+
+@register("changelog_scan", O.with_rounds(
+    "SELECT tbl, op, count(*) AS n FROM rc GROUP BY tbl, op"))
+def changelog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = C.text_roundtrip(spark, C.rounds(spark, sf_dir), "changelog_scan")
+    ok = P.verdicts(P.parse(lines, DRIVER), DRIVER, keep=()).filter(F.col("reason").isNull())
+    return ok.groupBy("tbl", "op").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _damaged_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.parse(S.damage_lines(C.rounds(spark, sf_dir)).withColumnRenamed("line", "value"))
+
+
+@register("changelog_quarantine", O.with_rounds(O.DAMAGE_BODY.format(select="""
+    SELECT damage, reason, count(*) AS n FROM dmg GROUP BY damage, reason""")))
+def changelog_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line's verdict, tallied by the kind of damage it received."""
+    lines = P.verdicts(_damaged_parsed(spark, sf_dir), DRIVER, keep=("damage",))
+    return lines.groupBy("damage", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("changelog_audit", O.with_rounds(O.DAMAGE_BODY.format(select="""
+    SELECT a_tbl AS tbl, a_op AS op, coalesce(reason, 'accepted') AS status, count(*) AS n
+    FROM dmg GROUP BY ALL""")))
+def changelog_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines per (table, operation, status) as the router sees them."""
+    parsed = P.verdicts(_damaged_parsed(spark, sf_dir), DRIVER, keep=())
+    return (parsed.groupBy("tbl", "op", F.coalesce("reason", F.lit("accepted")).alias("status"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def _routes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Rounds changelog, parsed once into a bronze table, routed per table from its partition."""
+    return C.routed(C.staged(spark, C.parsed_lines(C.rounds(spark, sf_dir)), "bronze"))
+
+
+for _t in ("customer", "orders", "lineitem"):
+    def _route(spark: SparkSession, sf_dir: str, _t=_t) -> DataFrame:
+        return _routes(spark, sf_dir)[_t]
+    register(f"route_{_t}", O.with_rounds(
+        f"SELECT seq, op, {', '.join(DRIVER[_t].names)} FROM rc_{_t}"))(_route)
+
+
+@register("signed_changes", O.with_rounds(O.SIGNED_BODY))
+def signed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.signed(_routes(spark, sf_dir))
+
+
+# --- replay -------------------------------------------------------------------------------------
+
+for _t in ("customer", "orders", "lineitem"):
+    def _replay(spark: SparkSession, sf_dir: str, _t=_t) -> DataFrame:
+        return C.replayed(_routes(spark, sf_dir))[_t]
+    _extra = ", CAST(0 AS INTEGER) AS o_shippriority" if _t == "orders" else ""
+    register(f"replay_{_t}", O.with_rounds(f"SELECT *{_extra} FROM live_{_t}", live=True))(_replay)
+
+
+@register("noop_deletes", O.with_rounds(O.NOOP_BODY))
+def noop_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DELETEs that find nothing live for their key, per table."""
+    routes = _routes(spark, sf_dir)
+    parts = []
+    for t, df in routes.items():
+        eff = R.delete_effects(df, DRIVER[t].key)
+        parts.append(eff.agg(F.lit(t).alias("tbl"), F.count(F.lit(1)).alias("deletes"),
+                             F.count(F.when(~F.col("effective"), 1)).alias("noop")))
+    return _union(parts)
+
+
+@register("active_counts", O.with_rounds(O.ACTIVE_BODY, live=True))
+def active_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live copies per key, all three tables."""
+    live = C.replayed(_routes(spark, sf_dir))
+    parts = []
+    for t, df in live.items():
+        key = DRIVER[t].key
+        k2 = F.col(key[1]) if len(key) > 1 else F.lit(None).cast("int")
+        parts.append(R.live_counts(df, key).select(
+            F.lit(t).alias("tbl"), F.col(key[0]).alias("k1"), k2.alias("k2"), "live"))
+    return _union(parts)
+
+
+@register("semi_join_active_orders", O.with_rounds(f"""
+SELECT *, CAST(0 AS INTEGER) AS o_shippriority FROM live_orders o
+WHERE EXISTS (SELECT 1 FROM live_customer c WHERE c.c_custkey = o.o_custkey
+              AND c.c_mktsegment = '{DEFAULT.segment}')""", live=True))
+def semi_join_active_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live orders whose customer is live and in the segment (left semi join)."""
+    live = C.replayed(_routes(spark, sf_dir))
+    cust = live["customer"].filter(segment_is(DEFAULT)).select("c_custkey")
+    return live["orders"].join(cust, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
+
+
+@register("replay_q3", O.with_rounds(O.q3_over("cf_customer", "cf_orders", "cf_lineitem"),
+                                     closed=True))
+def replay_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text changelog -> parse -> route -> replay -> flagship query."""
+    lines = C.text_roundtrip(spark, C.rounds(spark, sf_dir), "replay_q3")
+    live = C.replayed(C.routed(C.staged(spark, P.parse(lines, DRIVER), "replay_q3_bronze")))
+    return _q3_of(live)
+
 
-ORACLE_SQL: dict[str, str] = {
-    "q3_batch": oracle.Q3_BATCH,
-    "q3_sql": oracle.Q3_BATCH,
-}
+@register("replay_flipped_q3", O.FLIPPED_Q3)
+def replay_flipped_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shuffled changelog with DELETE-flipped lines, replayed, then the flagship query."""
+    parsed = C.parsed_lines(C.flipped(spark, sf_dir))
+    live = C.replayed(C.routed(C.staged(spark, parsed, "flipped_bronze")))
+    return _q3_of(live)

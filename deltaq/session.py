@@ -19,6 +19,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 # partitions are split; the UI stays off (no server).
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
