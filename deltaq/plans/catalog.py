@@ -239,3 +239,32 @@ def replay_flipped_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = C.parsed_lines(C.flipped(spark, sf_dir))
     live = C.replayed(C.routed(C.staged(spark, parsed, "flipped_bronze")))
     return _q3_of(live)
+
+
+# --- incremental path ---------------------------------------------------------------------------
+
+from . import incremental as INC  # noqa: E402
+
+_CLOSED_Q3 = O.with_rounds(O.q3_over("cf_customer", "cf_orders", "cf_lineitem"), closed=True)
+
+register("stream_q3", _CLOSED_Q3)(INC.stream_q3)
+register("incremental_revenue", _CLOSED_Q3)(INC.incremental_revenue)
+register("latest_per_key", _CLOSED_Q3)(INC.latest_per_key)
+register("stream_running_revenue")(INC.running_updates)
+register("drop_dead_groups", O.with_rounds(
+    "SELECT l_orderkey, o_orderdate, o_shippriority FROM (" + O.q3_over("tc", "tor", "tl")
+    + ") EXCEPT SELECT l_orderkey, o_orderdate, o_shippriority FROM ("
+    + O.q3_over("cf_customer", "cf_orders", "cf_lineitem") + ")", closed=True))(
+    INC.drop_dead_groups)
+register("stream_join_customer_orders", O.with_rounds(f"""
+SELECT o_orderkey, o_custkey, o_orderdate, count(*) AS w
+FROM cf_orders JOIN cf_customer ON c_custkey = o_custkey
+WHERE c_mktsegment = '{DEFAULT.segment}' AND o_orderdate < {DEFAULT.order_date_sql}
+GROUP BY o_orderkey, o_custkey, o_orderdate""", closed=True))(INC.stream_join_customer_orders)
+
+for _t in ("customer", "orders", "lineitem"):
+    def _norm(spark: SparkSession, sf_dir: str, _t=_t) -> DataFrame:
+        return INC.stream_normalized(spark, sf_dir, _t)
+    _cols = ", ".join(DRIVER[_t].names)
+    register(f"stream_normalize_{_t}", O.with_rounds(
+        f"SELECT {_cols}, count(*) AS w FROM cf_{_t} GROUP BY {_cols}", closed=True))(_norm)
