@@ -268,3 +268,76 @@ for _t in ("customer", "orders", "lineitem"):
     _cols = ", ".join(DRIVER[_t].names)
     register(f"stream_normalize_{_t}", O.with_rounds(
         f"SELECT {_cols}, count(*) AS w FROM cf_{_t} GROUP BY {_cols}", closed=True))(_norm)
+
+
+# --- files and reconciliation -------------------------------------------------------------------
+
+from ..operators import reconcile as E  # noqa: E402
+from ..session import work_dir  # noqa: E402
+from ..sources import files as FS  # noqa: E402
+
+
+@register("tbl_roundtrip", O.with_typed("SELECT * FROM tl"))
+def tbl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 then A2: line items exported as ``|``-separated text and scanned back typed."""
+    path = work_dir(spark, "tbl")
+    FS.write_tbl(load_table(spark, sf_dir, "lineitem"), path)
+    return FS.read_tbl(spark, path, "lineitem")
+
+
+@register("result_csv_roundtrip", O.Q3_BATCH)
+def result_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 then A7: the flagship result written as CSV text and read back."""
+    path = work_dir(spark, "result_csv")
+    FS.write_result_csv(q3_batch(spark, sf_dir), path)
+    return FS.read_result_csv(spark, path)
+
+
+def _reconciled(spark: SparkSession, sf_dir: str) -> E.Reconciliation:
+    """Expected: the flagship on the base tables.  Actual: on the tables after the rounds."""
+    expected = q3_batch(spark, sf_dir)
+    actual = _q3_of(C.replayed(_routes(spark, sf_dir)))
+    return E.reconcile(expected, actual)
+
+
+_EXP = O.q3_over("tc", "tor", "tl")
+_ACT = O.q3_over("cf_customer", "cf_orders", "cf_lineitem")
+_SETS = f", exp AS ({_EXP}), act AS ({_ACT})\n"
+
+register("reconcile_missing", O.with_rounds(
+    _SETS + "SELECT * FROM exp EXCEPT SELECT * FROM act", closed=True))(
+    lambda spark, sf_dir: _reconciled(spark, sf_dir).missing)
+register("reconcile_extra", O.with_rounds(
+    _SETS + "SELECT * FROM act EXCEPT SELECT * FROM exp", closed=True))(
+    lambda spark, sf_dir: _reconciled(spark, sf_dir).extra)
+register("reconcile_matching", O.with_rounds(
+    _SETS + "SELECT * FROM exp INTERSECT SELECT * FROM act", closed=True))(
+    lambda spark, sf_dir: _reconciled(spark, sf_dir).matching)
+register("reconcile_summary", O.with_rounds(_SETS + """,
+cnt AS (SELECT (SELECT count(*) FROM (SELECT DISTINCT * FROM exp)) AS n_expected,
+               (SELECT count(*) FROM (SELECT DISTINCT * FROM act)) AS n_actual,
+               (SELECT count(*) FROM (SELECT * FROM exp INTERSECT SELECT * FROM act)) AS n_matching)
+SELECT n_expected, n_actual, n_matching, n_expected - n_matching AS n_missing,
+       n_actual - n_matching AS n_extra,
+       CASE WHEN n_expected > 0 AND n_actual > 0
+            THEN CAST(n_matching AS DOUBLE) * CAST(100.0 AS DOUBLE)
+                 / CAST(greatest(n_expected, n_actual) AS DOUBLE)
+            WHEN n_expected > 0 OR n_actual > 0 THEN CAST(0.0 AS DOUBLE) END AS accuracy,
+       n_expected = n_matching AND n_actual = n_matching AS identical
+FROM cnt""", closed=True))(lambda spark, sf_dir: _reconciled(spark, sf_dir).summary())
+
+
+@register("reconcile_preview", O.with_rounds(_SETS + """,
+diffs AS (SELECT 'missing' AS side, * FROM (SELECT * FROM exp EXCEPT SELECT * FROM act)
+          UNION ALL
+          SELECT 'extra' AS side, * FROM (SELECT * FROM act EXCEPT SELECT * FROM exp)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY side
+                     ORDER BY l_orderkey, o_orderdate, o_shippriority, revenue) AS rn,
+                  count(*) OVER (PARTITION BY side) AS n FROM diffs)
+SELECT side, rn, l_orderkey, o_orderdate, o_shippriority, revenue,
+       n - CASE WHEN n <= 10 THEN n ELSE 5 END AS remaining
+FROM ranked WHERE rn <= CASE WHEN n <= 10 THEN n ELSE 5 END""", closed=True))
+def reconcile_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sorted preview of both difference sets."""
+    r = _reconciled(spark, sf_dir)
+    return E.preview(r.missing, "missing").unionByName(E.preview(r.extra, "extra"))
