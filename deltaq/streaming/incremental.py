@@ -22,6 +22,7 @@ row per changed group per micro-batch.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,11 +72,16 @@ def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER):
         bronze = paths.of("bronze", f"{BATCH_COL}={batch_id}")
         write_bronze(P.parse(lines, layout), bronze)
         staged = P.with_parts(read_bronze(spark, bronze))
-        for spec in layout.tables:
+
+        def one(spec) -> None:
             rows = P.route(staged, spec.name, layout)
             signed = normalise(spark, rows, batch_id, paths.of("log", spec.name), spec.key)
             (signed.withColumn("w", F.col("w").cast("bigint")).write.mode("overwrite")
              .parquet(paths.of("signed", spec.name, f"{BATCH_COL}={batch_id}")))
+        # The tables are independent: submit their jobs side by side.
+        with ThreadPoolExecutor(max_workers=len(layout.tables)) as pool:
+            for f in [pool.submit(one, spec) for spec in layout.tables]:
+                f.result()
     return run
 
 

@@ -8,11 +8,14 @@ micro-batch ``N`` of one table:
     keys         =  distinct delete keys of batch N
     after        =  live rows (replay rule) over log b <= N, for those keys
     before       =  live rows over log b <  N, for those keys
-    signed       =  after (w=+1) UNION ALL before (w=-1), summed per row, w != 0
-
-Rows of untouched keys cancel; repeated rows keep |w| > 1; a late change re-applies the rule
-to its key, so the sum of all signed batches always equals the batch replay.  Everything is
-DataFrame work (semi join, aggregate, left join); no Python per key.
+    signed       =  after (w=+1) minus before (w=-1), rows with w != 0
+
+Both replays are fused: one aggregate gives each touched key its last DELETE seq over b <= N
+and over b < N; one left join gives every INSERT row of those keys ``w = live now - live
+before`` (in -1, 0, +1).  Rows of untouched keys are never read past the semi join; repeated
+rows each carry their own weight; a late change re-applies the rule to its key, so the sum of
+all signed batches always equals the batch replay.  Everything is DataFrame work (semi join,
+aggregate, left join); no Python per key.
 """
 
 from __future__ import annotations
@@ -22,13 +25,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.replay import live
 
 BATCH_COL = "b"
 
 
 def normalise(spark: SparkSession, batch: DataFrame, batch_id: int, log_path: str,
-              key: Sequence[str]) -> DataFrame:
+              key: Sequence[str], seq: str = "seq", op: str = "op") -> DataFrame:
     key = list(key)
     batch.write.mode("overwrite").parquet(f"{log_path}/{BATCH_COL}={batch_id}")
     log = spark.read.parquet(log_path).filter(F.col(BATCH_COL) <= F.lit(batch_id))
@@ -39,9 +41,15 @@ def normalise(spark: SparkSession, batch: DataFrame, batch_id: int, log_path: st
         cond = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
         match = cond if match is None else match & cond
     touched = log.join(keys, match, "left_semi")
-    after = live(touched.drop(BATCH_COL), key)
-    before = live(touched.filter(F.col(BATCH_COL) < F.lit(batch_id)).drop(BATCH_COL), key)
-    cols = after.columns
-    both = after.withColumn("w", F.lit(1)).unionByName(before.withColumn("w", F.lit(-1)))
-    return (both.groupBy(*cols).agg(F.sum("w").alias("w"))
-            .filter(F.col("w") != F.lit(0)))
+    # Last delete per touched key, with and without this batch: one partial/final aggregate.
+    earlier = F.col(BATCH_COL) < F.lit(batch_id)
+    dels = (touched.filter(F.col(op) == F.lit("DELETE")).groupBy(*key)
+            .agg(F.max(seq).alias("_d_now"),
+                 F.max(F.when(earlier, F.col(seq))).alias("_d_before")))
+    ins = touched.filter(F.col(op) == F.lit("INSERT"))
+    rows = ins.join(dels, on=key, how="left")   # NULL keys never match a delete, as in SQL
+    live_now = F.col("_d_now").isNull() | (F.col(seq) > F.col("_d_now"))
+    live_before = earlier & (F.col("_d_before").isNull() | (F.col(seq) > F.col("_d_before")))
+    w = live_now.cast("int") - live_before.cast("int")
+    cols = [c for c in ins.columns if c not in (op, BATCH_COL)]
+    return rows.select(*cols, w.alias("w")).filter(F.col("w") != F.lit(0))
