@@ -132,26 +132,38 @@ def batch_signed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(paths.of("signed", t)) for t in DRIVER.table_names}
 
 
-def weighted_groups(spark: SparkSession, sf_dir: str, params: Q3Params = DEFAULT) -> DataFrame:
-    """D3: SUM(cw*ow*lw*rev) and SUM(cw*ow*lw) per group over all signed rows of all rounds."""
-    s = batch_signed(spark, sf_dir)
-    cust = s["customer"].filter(segment_is(params)).groupBy("c_custkey") \
+def q3_from_signed(signed: dict[str, DataFrame], params: Q3Params = DEFAULT) -> DataFrame:
+    """D3 in batch: per group SUM(cw*ow*lw*rev) as ``_rev`` and SUM(cw*ow*lw) as ``_n`` over
+    signed rows (column ``w``) of the three tables.  Customers and items are summed per join key
+    first (the join is linear in each side), so each join is many-to-one on those sides."""
+    cust = signed["customer"].filter(segment_is(params)).groupBy("c_custkey") \
         .agg(F.sum("w").alias("cw"))
-    orders = s["orders"].filter(ordered_before(params)).select(
-        "o_orderkey", "o_custkey", "o_orderdate", F.col("w").alias("ow"))
-    items = s["lineitem"].filter(shipped_after(params)).groupBy("l_orderkey").agg(
+    o = signed["orders"]
+    prio = F.col("o_shippriority") if "o_shippriority" in o.columns else F.lit(0).cast("int")
+    orders = o.filter(ordered_before(params)).select(
+        "o_orderkey", "o_custkey", "o_orderdate", prio.alias("o_shippriority"),
+        F.col("w").alias("ow"))
+    items = signed["lineitem"].filter(shipped_after(params)).groupBy("l_orderkey").agg(
         F.sum(revenue() * F.col("w")).alias("lrev"), F.sum("w").alias("lw"))
     j = items.join(orders.join(cust, F.col("o_custkey") == F.col("c_custkey")),
                    F.col("l_orderkey") == F.col("o_orderkey"))
-    return (j.groupBy("l_orderkey", "o_orderdate")
+    return (j.groupBy("l_orderkey", "o_orderdate", "o_shippriority")
             .agg(F.sum(F.col("lrev") * F.col("ow") * F.col("cw")).alias("_rev"),
-                 F.sum(F.col("lw") * F.col("ow") * F.col("cw")).alias("_n"))
-            .withColumn("o_shippriority", F.lit(0).cast("int")))
+                 F.sum(F.col("lw") * F.col("ow") * F.col("cw")).alias("_n")))
+
+
+def live_groups(groups: DataFrame) -> DataFrame:
+    """D7 + D8: groups with live rows, revenue rounded to 4 decimals."""
+    return groups.filter(F.col("_n") > 0).select(*I.GROUP,
+                                                 to_revenue(F.col("_rev")).alias("revenue"))
+
+
+def weighted_groups(spark: SparkSession, sf_dir: str, params: Q3Params = DEFAULT) -> DataFrame:
+    return q3_from_signed(batch_signed(spark, sf_dir), params)
 
 
 def incremental_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = weighted_groups(spark, sf_dir)
-    return g.filter(F.col("_n") > 0).select(*I.GROUP, to_revenue(F.col("_rev")).alias("revenue"))
+    return live_groups(weighted_groups(spark, sf_dir))
 
 
 def drop_dead_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
