@@ -48,7 +48,7 @@ def q3_run(spark: SparkSession, sf_dir: str) -> I.Paths:
     memo = (_app(spark), sf_dir, "q3")
     if memo not in _RUNS:
         paths = changes_run(spark, sf_dir)
-        q = I.start_join(spark, paths, DEFAULT, DRIVER)
+        q = I.start_join(spark, paths)
         q.awaitTermination()
         if q.exception():
             raise q.exception()

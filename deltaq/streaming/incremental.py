@@ -42,6 +42,7 @@ SEQ_TYPE = T.StructType([T.StructField("file", T.StringType()),
                          T.StructField("block", T.LongType()),
                          T.StructField("pos", T.LongType())])
 GROUP = ["l_orderkey", "o_orderdate", "o_shippriority"]
+WREV = T.DecimalType(38, 4)
 
 
 @dataclass(frozen=True)
@@ -62,7 +63,26 @@ def signed_schema(layout: Layout, table: str) -> T.StructType:
                                   T.StructField(BATCH_COL, T.IntegerType())])
 
 
-def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER):
+def q3_inputs(signed: dict[str, DataFrame], params: Q3Params = DEFAULT) -> dict[str, DataFrame]:
+    """Filtered signed changes of one batch, summed per join key (pre-aggregated before the
+    join's shuffle).  A hot order or customer becomes one row per batch, so the join state
+    and its partitions stay small whatever the key distribution.  Linear, so exact."""
+    cust = (signed["customer"].filter(segment_is(params)).groupBy("c_custkey")
+            .agg(F.sum("w").alias("cw")).filter(F.col("cw") != 0))
+    o = signed["orders"]
+    prio = F.col("o_shippriority") if "o_shippriority" in o.columns else F.lit(0).cast("int")
+    orders = (o.filter(ordered_before(params))
+              .groupBy("o_orderkey", "o_custkey", "o_orderdate", prio.alias("o_shippriority"))
+              .agg(F.sum("w").alias("ow")).filter(F.col("ow") != 0))
+    items = (signed["lineitem"].filter(shipped_after(params)).groupBy("l_orderkey")
+             .agg(F.sum(revenue() * F.col("w")).cast(WREV).alias("lrev"),
+                  F.sum("w").alias("lw"))
+             .filter((F.col("lw") != 0) | (F.col("lrev") != 0)))
+    return {"customer": cust, "orders": orders, "lineitem": items}
+
+
+def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
+                    params: Q3Params = DEFAULT):
     """The foreachBatch body of the changes query."""
     def run(batch: DataFrame, batch_id: int) -> None:
         lines = batch.select(F.struct(F.col("_file").alias("file"),
@@ -73,26 +93,34 @@ def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER):
         write_bronze(P.parse(lines, layout), bronze)
         staged = P.with_parts(read_bronze(spark, bronze))
 
+        part = f"{BATCH_COL}={batch_id}"
+
         def one(spec) -> None:
             rows = P.route(staged, spec.name, layout)
             signed = normalise(spark, rows, batch_id, paths.of("log", spec.name), spec.key)
             (signed.withColumn("w", F.col("w").cast("bigint")).write.mode("overwrite")
-             .parquet(paths.of("signed", spec.name, f"{BATCH_COL}={batch_id}")))
+             .parquet(paths.of("signed", spec.name, part)))
         # The tables are independent: submit their jobs side by side.
         with ThreadPoolExecutor(max_workers=len(layout.tables)) as pool:
             for f in [pool.submit(one, spec) for spec in layout.tables]:
                 f.result()
+        signed = {t: spark.read.parquet(paths.of("signed", t, part)) for t in layout.table_names}
+        inputs = q3_inputs(signed, params)
+        with ThreadPoolExecutor(max_workers=len(inputs)) as pool:
+            for f in [pool.submit(df.write.mode("overwrite").parquet, paths.of("q3in", t, part))
+                      for t, df in inputs.items()]:
+                f.result()
     return run
 
 
 def start_changes(spark: SparkSession, changelog_dir: str, paths: Paths,
                   layout: Layout = DRIVER, files_per_trigger: int | None = 1,
-                  available_now: bool = True, processing_time: str | None = None
-                  ) -> StreamingQuery:
+                  available_now: bool = True, processing_time: str | None = None,
+                  params: Q3Params = DEFAULT) -> StreamingQuery:
     src = read_changelog_stream(spark, changelog_dir, files_per_trigger).select(
         "value", F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"))
-    w = (src.writeStream.foreachBatch(process_changes(spark, paths, layout))
+    w = (src.writeStream.foreachBatch(process_changes(spark, paths, layout, params))
          .option("checkpointLocation", paths.of("checkpoints", "changes")))
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=processing_time or "10 seconds")
@@ -117,16 +145,38 @@ def joined_orders(spark: SparkSession, paths: Paths, params: Q3Params = DEFAULT,
     return orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "inner")
 
 
-def joined_items(spark: SparkSession, paths: Paths, params: Q3Params = DEFAULT,
-                 layout: Layout = DRIVER) -> DataFrame:
-    """Signed items x (customer x orders); one weighted revenue row per pair."""
-    co = joined_orders(spark, paths, params, layout)
-    items = signed_stream(spark, paths, "lineitem", layout).filter(shipped_after(params)) \
-        .select("l_orderkey", revenue().alias("rev"), F.col("w").alias("lw"))
+Q3IN_SCHEMA = {
+    "customer": T.StructType([T.StructField("c_custkey", T.LongType()),
+                              T.StructField("cw", T.LongType())]),
+    "orders": T.StructType([T.StructField("o_orderkey", T.LongType()),
+                            T.StructField("o_custkey", T.LongType()),
+                            T.StructField("o_orderdate", T.DateType()),
+                            T.StructField("o_shippriority", T.IntegerType()),
+                            T.StructField("ow", T.LongType())]),
+    "lineitem": T.StructType([T.StructField("l_orderkey", T.LongType()),
+                              T.StructField("lrev", T.DecimalType(38, 4)),
+                              T.StructField("lw", T.LongType())]),
+}
+
+
+def q3_stream(spark: SparkSession, paths: Paths, table: str) -> DataFrame:
+    schema = T.StructType(Q3IN_SCHEMA[table].fields + [T.StructField(BATCH_COL, T.IntegerType())])
+    return spark.readStream.schema(schema).parquet(paths.of("q3in", table)).drop(BATCH_COL)
+
+
+def joined_items(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Per-batch item sums x orders x customer sums, stream-stream inner joins.
+
+    Weight of a pair = cw * ow * lw, weighted revenue = lrev * cw * ow.  Inputs are already
+    filtered by the query parameters (in the changes query)."""
+    cust = q3_stream(spark, paths, "customer")
+    orders = q3_stream(spark, paths, "orders")
+    items = q3_stream(spark, paths, "lineitem")
+    co = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "inner")
     j = items.join(co, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-    w = F.col("cw") * F.col("ow") * F.col("lw")
-    return j.select("l_orderkey", "o_orderdate", F.lit(0).cast("int").alias("o_shippriority"),
-                    w.alias("w"), (F.col("rev") * w).alias("wrev"))
+    cw_ow = F.col("cw") * F.col("ow")
+    return j.select("l_orderkey", "o_orderdate", "o_shippriority",
+                    (F.col("lw") * cw_ow).alias("w"), (F.col("lrev") * cw_ow).alias("wrev"))
 
 
 def start_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
@@ -138,9 +188,8 @@ def start_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool =
     return w.start(path)
 
 
-def start_join(spark: SparkSession, paths: Paths, params: Q3Params = DEFAULT,
-               layout: Layout = DRIVER, **trigger) -> StreamingQuery:
-    return start_sink(joined_items(spark, paths, params, layout), paths.delta,
+def start_join(spark: SparkSession, paths: Paths, **trigger) -> StreamingQuery:
+    return start_sink(joined_items(spark, paths), paths.delta,
                       paths.of("checkpoints", "join"), **trigger)
 
 
@@ -159,8 +208,8 @@ def running_revenue(spark: SparkSession, delta_path: str) -> DataFrame:
 
 
 def run_changes(spark: SparkSession, changelog_dir: str, paths: Paths, layout: Layout = DRIVER,
-                files_per_trigger: int | None = 1) -> None:
-    q = start_changes(spark, changelog_dir, paths, layout, files_per_trigger)
+                files_per_trigger: int | None = 1, params: Q3Params = DEFAULT) -> None:
+    q = start_changes(spark, changelog_dir, paths, layout, files_per_trigger, params=params)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
@@ -169,8 +218,8 @@ def run_changes(spark: SparkSession, changelog_dir: str, paths: Paths, layout: L
 def run_q3(spark: SparkSession, changelog_dir: str, paths: Paths, params: Q3Params = DEFAULT,
            layout: Layout = DRIVER, files_per_trigger: int | None = 1) -> DataFrame:
     """Drain the changelog through both streaming queries, then return the snapshot."""
-    run_changes(spark, changelog_dir, paths, layout, files_per_trigger)
-    q = start_join(spark, paths, params, layout)
+    run_changes(spark, changelog_dir, paths, layout, files_per_trigger, params)
+    q = start_join(spark, paths)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -34,8 +34,9 @@ def normalise(spark: SparkSession, batch: DataFrame, batch_id: int, log_path: st
     key = list(key)
     batch.write.mode("overwrite").parquet(f"{log_path}/{BATCH_COL}={batch_id}")
     log = spark.read.parquet(log_path).filter(F.col(BATCH_COL) <= F.lit(batch_id))
+    # No distinct: a semi join ignores repeated keys, and skipping it saves a shuffle.
     keys = log.filter(F.col(BATCH_COL) == F.lit(batch_id)).select(
-        *[F.col(k).alias(f"_k_{k}") for k in key]).distinct()
+        *[F.col(k).alias(f"_k_{k}") for k in key])
     match = None
     for k in key:
         cond = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
