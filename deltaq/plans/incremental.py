@@ -170,3 +170,8 @@ def drop_dead_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups that had rows at some point but none are live now (dropped at output)."""
     g = weighted_groups(spark, sf_dir)
     return g.filter(F.col("_n") == 0).select(*I.GROUP)
+
+
+def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D10 over the streaming run: every line the changes query saw, by table, op and status."""
+    return I.audit(spark, changes_run(spark, sf_dir), DRIVER)

@@ -224,3 +224,14 @@ def run_q3(spark: SparkSession, changelog_dir: str, paths: Paths, params: Q3Para
     if q.exception():
         raise q.exception()
     return snapshot(spark, paths.delta)
+
+
+def audit(spark: SparkSession, paths: Paths, layout: Layout = DRIVER) -> DataFrame:
+    """D10 for the stream: lines per (table, operation, status) over every processed batch.
+
+    The bronze table keeps every line with its structural verdict, so the audit is one
+    aggregate over it (conversion failures are re-derived per table), not a per-batch job."""
+    staged = P.with_parts(read_bronze(spark, paths.of("bronze")))
+    lines = P.verdicts(staged, layout, keep=())
+    return (lines.groupBy("tbl", "op", F.coalesce("reason", F.lit("accepted")).alias("status"))
+            .agg(F.count(F.lit(1)).alias("n")))

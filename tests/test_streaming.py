@@ -34,6 +34,10 @@ def test_stream_matches_replay_and_survives_restart(spark, scratch):
     assert len(expected) == 2
     bad = spark.read.parquet(paths.of("bronze")).filter("reason IS NOT NULL").count()
     assert bad == 2
+    audit = {(r.tbl, r.op, r.status): r.n for r in I.audit(spark, paths, REFERENCE).collect()}
+    assert audit[(None, "GARBAGE LINE", "too_few_parts")] == 1
+    assert audit[(None, "", "blank")] == 1
+    assert audit[("lineitem", "INSERT", "accepted")] == 5
 
 
 def test_late_file_is_ordered_by_name_not_by_arrival(spark, scratch):
