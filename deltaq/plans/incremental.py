@@ -69,10 +69,10 @@ def stream_normalized(spark: SparkSession, sf_dir: str, table: str) -> DataFrame
 
 
 def stream_join_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J1/J2 alone: signed customers (segment) x signed orders (date), netted per order row."""
+    """J1/J2 alone: customer sums (segment) x order changes (date), netted per order row."""
     paths = changes_run(spark, sf_dir)
     out = paths.of("delta_co")
-    df = I.joined_orders(spark, paths, DEFAULT, DRIVER).select(
+    df = I.salted_orders_join(spark, paths).select(
         "o_orderkey", "o_custkey", "o_orderdate", (F.col("cw") * F.col("ow")).alias("w"))
     q = I.start_sink(df, out, paths.of("checkpoints", "join_co"))
     q.awaitTermination()

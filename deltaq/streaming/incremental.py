@@ -133,18 +133,6 @@ def signed_stream(spark: SparkSession, paths: Paths, table: str,
         paths.of("signed", table))
 
 
-def joined_orders(spark: SparkSession, paths: Paths, params: Q3Params = DEFAULT,
-                  layout: Layout = DRIVER, segment_filter: bool = True) -> DataFrame:
-    """Signed customers x signed orders, weight cw * ow."""
-    cust = signed_stream(spark, paths, "customer", layout)
-    if segment_filter:
-        cust = cust.filter(segment_is(params))
-    cust = cust.select("c_custkey", F.col("w").alias("cw"))
-    orders = signed_stream(spark, paths, "orders", layout).filter(ordered_before(params)) \
-        .select("o_orderkey", "o_custkey", "o_orderdate", F.col("w").alias("ow"))
-    return orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "inner")
-
-
 Q3IN_SCHEMA = {
     "customer": T.StructType([T.StructField("c_custkey", T.LongType()),
                               T.StructField("cw", T.LongType())]),
@@ -168,6 +156,17 @@ def q3_stream(spark: SparkSession, paths: Paths, table: str) -> DataFrame:
 CUSTOMER_SALTS = 16
 
 
+def salted_orders_join(spark: SparkSession, paths: Paths, salts: int = CUSTOMER_SALTS
+                       ) -> DataFrame:
+    """Order changes x customer sums on (custkey, salt); see ``joined_items``."""
+    cust = q3_stream(spark, paths, "customer").withColumn(
+        "c_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    orders = q3_stream(spark, paths, "orders").withColumn(
+        "o_salt", F.pmod(F.xxhash64("o_orderkey"), F.lit(salts)).cast("int"))
+    return orders.join(cust, (F.col("o_custkey") == F.col("c_custkey"))
+                       & (F.col("o_salt") == F.col("c_salt")), "inner")
+
+
 def joined_items(spark: SparkSession, paths: Paths, salts: int = CUSTOMER_SALTS) -> DataFrame:
     """Per-batch item sums x orders x customer sums, stream-stream inner joins.
 
@@ -178,13 +177,8 @@ def joined_items(spark: SparkSession, paths: Paths, salts: int = CUSTOMER_SALTS)
     of its order key.  Each order meets each copy of its customer exactly once, so the weights
     stay exact while a customer holding a third of all orders spreads over ``salts`` partitions.
     """
-    cust = q3_stream(spark, paths, "customer").withColumn(
-        "c_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    orders = q3_stream(spark, paths, "orders").withColumn(
-        "o_salt", F.pmod(F.xxhash64("o_orderkey"), F.lit(salts)).cast("int"))
+    co = salted_orders_join(spark, paths, salts)
     items = q3_stream(spark, paths, "lineitem")
-    co = orders.join(cust, (F.col("o_custkey") == F.col("c_custkey"))
-                     & (F.col("o_salt") == F.col("c_salt")), "inner")
     j = items.join(co, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     cw_ow = F.col("cw") * F.col("ow")
     return j.select("l_orderkey", "o_orderdate", "o_shippriority",
