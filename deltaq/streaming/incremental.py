@@ -116,11 +116,13 @@ def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
 def start_changes(spark: SparkSession, changelog_dir: str, paths: Paths,
                   layout: Layout = DRIVER, files_per_trigger: int | None = 1,
                   available_now: bool = True, processing_time: str | None = None,
-                  params: Q3Params = DEFAULT) -> StreamingQuery:
+                  params: Q3Params = DEFAULT, wrap=None) -> StreamingQuery:
+    """Start the changes query; ``wrap`` may decorate the batch function (tests use it)."""
     src = read_changelog_stream(spark, changelog_dir, files_per_trigger).select(
         "value", F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"))
-    w = (src.writeStream.foreachBatch(process_changes(spark, paths, layout, params))
+    fn = process_changes(spark, paths, layout, params)
+    w = (src.writeStream.foreachBatch(wrap(fn) if wrap else fn)
          .option("checkpointLocation", paths.of("checkpoints", "changes")))
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=processing_time or "10 seconds")

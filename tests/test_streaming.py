@@ -50,3 +50,31 @@ def test_late_file_is_ordered_by_name_not_by_arrival(spark, scratch):
     write_file(text, "a.txt", [item("INSERT", 10, 1)])
     got = as_set(I.run_q3(spark, text, paths, layout=REFERENCE, files_per_trigger=1))
     assert got == set()   # in line order the INSERT (file a) comes before the DELETE (file b)
+
+
+def test_batch_that_fails_after_writing_is_redone_without_double_counting(spark, scratch):
+    text = os.path.join(scratch, "in")
+    paths = I.Paths(os.path.join(scratch, "work"))
+    files = [[cust("INSERT", 1), order("INSERT", 10, 1), item("INSERT", 10, 1)],
+             [item("INSERT", 10, 2), order("INSERT", 11, 1), item("INSERT", 11, 1)],
+             [item("DELETE", 10, 1)]]
+    for i, lines in enumerate(files):
+        write_file(text, f"part-{i:04d}.txt", lines)
+
+    def crash_on_second(fn):
+        def run(df, batch_id):
+            fn(df, batch_id)
+            if batch_id == 1:
+                raise RuntimeError("executor lost after the batch wrote its output")
+        return run
+
+    q = I.start_changes(spark, text, paths, REFERENCE, files_per_trigger=1,
+                        wrap=crash_on_second)
+    try:
+        q.awaitTermination()
+    except Exception:
+        pass
+    assert q.exception() is not None
+    got = as_set(I.run_q3(spark, text, paths, layout=REFERENCE, files_per_trigger=1))
+    assert got == python_replay([l for f in files for l in f])
+    assert {g[3] for g in got} == {"90.0000"}
