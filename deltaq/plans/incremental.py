@@ -17,6 +17,8 @@ from ..streaming.normalise import normalise
 from . import changes as C
 
 FILES_PER_TRIGGER = 2
+# Compact every second batch in the registered runs, so the compaction is always exercised.
+COMPACT_EVERY = 2
 _RUNS: dict[tuple[str, str, str], I.Paths] = {}
 
 
@@ -39,7 +41,8 @@ def changes_run(spark: SparkSession, sf_dir: str) -> I.Paths:
     memo = (_app(spark), sf_dir, "changes")
     if memo not in _RUNS:
         paths = I.Paths(work_dir(spark, "stream"))
-        I.run_changes(spark, changelog_dir(spark, sf_dir), paths, DRIVER, FILES_PER_TRIGGER)
+        I.run_changes(spark, changelog_dir(spark, sf_dir), paths, DRIVER, FILES_PER_TRIGGER,
+                      compact_every=COMPACT_EVERY)
         _RUNS[memo] = paths
     return _RUNS[memo]
 
@@ -125,7 +128,8 @@ def batch_signed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             rows = P.route(staged, spec.name, DRIVER)
             for r in range(4):
                 batch = rows.filter(F.shiftright("seq", ROUND_BITS) == F.lit(r))
-                signed = normalise(spark, batch, r, paths.of("log", spec.name), spec.key)
+                signed = normalise(spark, batch, r, paths.of("log", spec.name), spec.key,
+                                   every=COMPACT_EVERY)
                 signed.write.mode("overwrite").parquet(paths.of("signed", spec.name, f"b={r}"))
         _RUNS[memo] = paths
     paths = _RUNS[memo]

@@ -36,7 +36,7 @@ from ..params import DEFAULT, Q3Params
 from ..schemas import DRIVER, Layout
 from ..sources.bronze import read_bronze, write_bronze
 from ..sources.changelog import read_changelog_stream
-from .normalise import BATCH_COL, normalise
+from .normalise import BATCH_COL, COMPACT_EVERY, normalise
 
 SEQ_TYPE = T.StructType([T.StructField("file", T.StringType()),
                          T.StructField("block", T.LongType()),
@@ -82,7 +82,7 @@ def q3_inputs(signed: dict[str, DataFrame], params: Q3Params = DEFAULT) -> dict[
 
 
 def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
-                    params: Q3Params = DEFAULT):
+                    params: Q3Params = DEFAULT, compact_every: int = COMPACT_EVERY):
     """The foreachBatch body of the changes query."""
     def run(batch: DataFrame, batch_id: int) -> None:
         lines = batch.select(F.struct(F.col("_file").alias("file"),
@@ -97,7 +97,8 @@ def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
 
         def one(spec) -> None:
             rows = P.route(staged, spec.name, layout)
-            signed = normalise(spark, rows, batch_id, paths.of("log", spec.name), spec.key)
+            signed = normalise(spark, rows, batch_id, paths.of("log", spec.name), spec.key,
+                               every=compact_every)
             (signed.withColumn("w", F.col("w").cast("bigint")).write.mode("overwrite")
              .parquet(paths.of("signed", spec.name, part)))
         # The tables are independent: submit their jobs side by side.
@@ -116,12 +117,13 @@ def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
 def start_changes(spark: SparkSession, changelog_dir: str, paths: Paths,
                   layout: Layout = DRIVER, files_per_trigger: int | None = 1,
                   available_now: bool = True, processing_time: str | None = None,
-                  params: Q3Params = DEFAULT, wrap=None) -> StreamingQuery:
+                  params: Q3Params = DEFAULT, wrap=None,
+                  compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """Start the changes query; ``wrap`` may decorate the batch function (tests use it)."""
     src = read_changelog_stream(spark, changelog_dir, files_per_trigger).select(
         "value", F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"))
-    fn = process_changes(spark, paths, layout, params)
+    fn = process_changes(spark, paths, layout, params, compact_every)
     w = (src.writeStream.foreachBatch(wrap(fn) if wrap else fn)
          .option("checkpointLocation", paths.of("checkpoints", "changes")))
     w = w.trigger(availableNow=True) if available_now else \
@@ -216,8 +218,10 @@ def running_revenue(spark: SparkSession, delta_path: str) -> DataFrame:
 
 
 def run_changes(spark: SparkSession, changelog_dir: str, paths: Paths, layout: Layout = DRIVER,
-                files_per_trigger: int | None = 1, params: Q3Params = DEFAULT) -> None:
-    q = start_changes(spark, changelog_dir, paths, layout, files_per_trigger, params=params)
+                files_per_trigger: int | None = 1, params: Q3Params = DEFAULT,
+                compact_every: int = COMPACT_EVERY) -> None:
+    q = start_changes(spark, changelog_dir, paths, layout, files_per_trigger, params=params,
+                      compact_every=compact_every)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -4,7 +4,7 @@ Raw INSERT/DELETE changes cannot be summed directly: a DELETE removes every live
 (or nothing), and a change may arrive in a later batch than a change with a larger ``seq``.  For
 micro-batch ``N`` of one table:
 
-    log/b=N      <- the batch, written once (overwrite, so a retried batch is idempotent)
+    raw/b=N      <- the batch, written once (overwrite, so a retried batch is idempotent)
     keys         =  distinct delete keys of batch N
     after        =  live rows (replay rule) over log b <= N, for those keys
     before       =  live rows over log b <  N, for those keys
@@ -16,6 +16,9 @@ before`` (in -1, 0, +1).  Rows of untouched keys are never read past the semi jo
 rows each carry their own weight; a late change re-applies the rule to its key, so the sum of
 all signed batches always equals the batch replay.  Everything is DataFrame work (semi join,
 aggregate, left join); no Python per key.
+
+The log is compacted every ``COMPACT_EVERY`` batches, so a batch reads the live rows plus one
+marker per deleted key plus at most that many raw batches, not the whole history.
 """
 
 from __future__ import annotations
@@ -27,13 +30,55 @@ from pyspark.sql import functions as F
 
 
 BATCH_COL = "b"
+# Compact the change log after every this many batches (see ``compact``).
+COMPACT_EVERY = 8
+
+
+def last_compaction(batch_id: int, every: int) -> int:
+    """Highest batch id already folded into a compaction when batch ``batch_id`` runs (-1: none).
+
+    Compaction happens at the end of batches every-1, 2*every-1, ...; the value depends only on
+    the batch id, so a restarted query finds the same one without listing any folder."""
+    return every * (batch_id // every) - 1
+
+
+def log_rows(spark: SparkSession, log_path: str, batch_id: int, every: int) -> DataFrame:
+    """The change log as of ``batch_id``: the latest compaction plus the raw batches after it."""
+    upto = last_compaction(batch_id, every)
+    raw = spark.read.parquet(f"{log_path}/raw").filter(
+        (F.col(BATCH_COL) > F.lit(upto)) & (F.col(BATCH_COL) <= F.lit(batch_id)))
+    if upto < 0:
+        return raw
+    base = spark.read.parquet(f"{log_path}/compact/upto={upto}")
+    return base.unionByName(raw, allowMissingColumns=True)
+
+
+def compact(rows: DataFrame, key: Sequence[str], upto: int, seq: str = "seq",
+            op: str = "op") -> DataFrame:
+    """Exact compaction: live INSERT rows, plus one DELETE marker per key with its last delete.
+
+    An INSERT older than a DELETE of its key is dead for good (the last delete only grows), so
+    dropping it changes no later answer; the marker keeps the last delete seq for late rows."""
+    key = list(key)
+    dels = (rows.filter(F.col(op) == F.lit("DELETE")).groupBy(*key)
+            .agg(F.max(seq).alias("_d")))
+    live = (rows.filter(F.col(op) == F.lit("INSERT")).join(dels, on=key, how="left")
+            .filter(F.col("_d").isNull() | (F.col(seq) > F.col("_d"))).drop("_d"))
+    markers = dels.select(*key, F.col("_d").alias(seq), F.lit("DELETE").alias(op))
+    out = live.unionByName(markers, allowMissingColumns=True)
+    return out.withColumn(BATCH_COL, F.lit(upto).cast("int"))
 
 
 def normalise(spark: SparkSession, batch: DataFrame, batch_id: int, log_path: str,
-              key: Sequence[str], seq: str = "seq", op: str = "op") -> DataFrame:
+              key: Sequence[str], seq: str = "seq", op: str = "op",
+              every: int = COMPACT_EVERY) -> DataFrame:
     key = list(key)
-    batch.write.mode("overwrite").parquet(f"{log_path}/{BATCH_COL}={batch_id}")
-    log = spark.read.parquet(log_path).filter(F.col(BATCH_COL) <= F.lit(batch_id))
+    batch.write.mode("overwrite").parquet(f"{log_path}/raw/{BATCH_COL}={batch_id}")
+    log = log_rows(spark, log_path, batch_id, every)
+    if (batch_id + 1) % every == 0:
+        # fold this batch too; the next batch reads the result instead of the raw history
+        folded = compact(log.drop(BATCH_COL), key, batch_id, seq, op)
+        folded.write.mode("overwrite").parquet(f"{log_path}/compact/upto={batch_id}")
     # No distinct: a semi join ignores repeated keys, and skipping it saves a shuffle.
     keys = log.filter(F.col(BATCH_COL) == F.lit(batch_id)).select(
         *[F.col(k).alias(f"_k_{k}") for k in key])

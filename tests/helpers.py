@@ -45,7 +45,7 @@ def batch_result(spark, lines):
     return as_set(q3(live["customer"], live["orders"], live["lineitem"]))
 
 
-def normalised_result(spark, lines, cuts, scratch):
+def normalised_result(spark, lines, cuts, scratch, every=8):
     """Split the changelog at ``cuts`` into micro-batches, normalise each, sum the weights."""
     r = routes(spark, lines)
     bounds = [0, *cuts, len(lines)]
@@ -54,7 +54,8 @@ def normalised_result(spark, lines, cuts, scratch):
         parts = []
         for b in range(len(bounds) - 1):
             batch = df.filter((F.col("seq") >= bounds[b]) & (F.col("seq") < bounds[b + 1]))
-            out = normalise(spark, batch, b, os.path.join(scratch, "log", t), REFERENCE[t].key)
+            out = normalise(spark, batch, b, os.path.join(scratch, "log", t), REFERENCE[t].key,
+                            every=every)
             path = os.path.join(scratch, "signed", t, f"b={b}")
             out.write.mode("overwrite").parquet(path)
         signed[t] = spark.read.parquet(os.path.join(scratch, "signed", t))

@@ -66,6 +66,13 @@ def test_any_micro_batch_split_gives_the_same_answer(spark, scratch, name, cuts)
     assert normalised_result(spark, lines, cuts, scratch) == python_replay(lines)
 
 
+def test_compaction_every_batch_keeps_the_answer(spark, scratch):
+    lines = CASES["reinsert_after_delete"] + [item("DELETE", 10, 2), item("INSERT", 10, 2),
+                                             cust("DELETE", 1), cust("INSERT", 1)]
+    cuts = [2, 4, 6, 7, 9]
+    assert normalised_result(spark, lines, cuts, scratch, every=1) == python_replay(lines)
+
+
 def test_late_delete_arriving_in_an_earlier_batch(spark, scratch):
     # seq 0..4 are the changes; the DELETE (seq 4) arrives in batch 0, its INSERT (seq 3) later
     lines = [cust("INSERT", 1), order("INSERT", 10, 1), item("INSERT", 10, 2),
@@ -83,7 +90,7 @@ def test_late_delete_arriving_in_an_earlier_batch(spark, scratch):
     for t, df in r.items():
         for b, seqs in order_of_arrival.items():
             out = normalise(spark, df.filter(F.col("seq").isin(seqs)), b,
-                            os.path.join(scratch, "log", t), REFERENCE[t].key)
+                            os.path.join(scratch, "log", t), REFERENCE[t].key, every=1)
             out.write.mode("overwrite").parquet(os.path.join(scratch, "signed", t, f"b={b}"))
         signed[t] = spark.read.parquet(os.path.join(scratch, "signed", t))
     got = as_set(live_groups(q3_from_signed(signed)))

@@ -23,5 +23,5 @@ def test_random_changes(spark, lines, cut):
     expected = python_replay(lines)
     assert batch_result(spark, lines) == expected
     cuts = [c for c in [cut] if 0 < c < len(lines)]
-    assert normalised_result(spark, lines, cuts, tempfile.mkdtemp(prefix="deltaq-prop-")) \
+    assert normalised_result(spark, lines, cuts, tempfile.mkdtemp(prefix="deltaq-prop-"), 1) \
         == expected
