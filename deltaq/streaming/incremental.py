@@ -63,22 +63,23 @@ def signed_schema(layout: Layout, table: str) -> T.StructType:
                                   T.StructField(BATCH_COL, T.IntegerType())])
 
 
-def q3_inputs(signed: dict[str, DataFrame], params: Q3Params = DEFAULT) -> dict[str, DataFrame]:
-    """Filtered signed changes of one batch, summed per join key (pre-aggregated before the
-    join's shuffle).  A hot order or customer becomes one row per batch, so the join state
-    and its partitions stay small whatever the key distribution.  Linear, so exact."""
-    cust = (signed["customer"].filter(segment_is(params)).groupBy("c_custkey")
-            .agg(F.sum("w").alias("cw")).filter(F.col("cw") != 0))
-    o = signed["orders"]
-    prio = F.col("o_shippriority") if "o_shippriority" in o.columns else F.lit(0).cast("int")
-    orders = (o.filter(ordered_before(params))
-              .groupBy("o_orderkey", "o_custkey", "o_orderdate", prio.alias("o_shippriority"))
-              .agg(F.sum("w").alias("ow")).filter(F.col("ow") != 0))
-    items = (signed["lineitem"].filter(shipped_after(params)).groupBy("l_orderkey")
-             .agg(F.sum(revenue() * F.col("w")).cast(WREV).alias("lrev"),
-                  F.sum("w").alias("lw"))
-             .filter((F.col("lw") != 0) | (F.col("lrev") != 0)))
-    return {"customer": cust, "orders": orders, "lineitem": items}
+def q3_input(table: str, signed: DataFrame, params: Q3Params = DEFAULT) -> DataFrame:
+    """Filtered signed changes of one batch and table, summed per join key (pre-aggregated
+    before the join's shuffle).  A hot order or customer becomes one row per batch, so the join
+    state and its partitions stay small whatever the key distribution.  Linear, so exact."""
+    if table == "customer":
+        return (signed.filter(segment_is(params)).groupBy("c_custkey")
+                .agg(F.sum("w").alias("cw")).filter(F.col("cw") != 0))
+    if table == "orders":
+        prio = (F.col("o_shippriority") if "o_shippriority" in signed.columns
+                else F.lit(0).cast("int"))
+        return (signed.filter(ordered_before(params))
+                .groupBy("o_orderkey", "o_custkey", "o_orderdate", prio.alias("o_shippriority"))
+                .agg(F.sum("w").alias("ow")).filter(F.col("ow") != 0))
+    return (signed.filter(shipped_after(params)).groupBy("l_orderkey")
+            .agg(F.sum(revenue() * F.col("w")).cast(WREV).alias("lrev"),
+                 F.sum("w").alias("lw"))
+            .filter((F.col("lw") != 0) | (F.col("lrev") != 0)))
 
 
 def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
@@ -99,18 +100,14 @@ def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
             rows = P.route(staged, spec.name, layout)
             signed = normalise(spark, rows, batch_id, paths.of("log", spec.name), spec.key,
                                every=compact_every)
-            (signed.withColumn("w", F.col("w").cast("bigint")).write.mode("overwrite")
-             .parquet(paths.of("signed", spec.name, part)))
+            out = paths.of("signed", spec.name, part)
+            signed.withColumn("w", F.col("w").cast("bigint")).write.mode("overwrite").parquet(out)
+            (q3_input(spec.name, spark.read.parquet(out), params).write.mode("overwrite")
+             .parquet(paths.of("q3in", spec.name, part)))
         # The tables are independent: submit their jobs side by side.
         with ThreadPoolExecutor(max_workers=len(layout.tables)) as pool:
             for f in [pool.submit(one, spec) for spec in layout.tables]:
                 f.result()
-        signed = {t: spark.read.parquet(paths.of("signed", t, part)) for t in layout.table_names}
-        inputs = q3_inputs(signed, params)
-        with ThreadPoolExecutor(max_workers=len(inputs)) as pool:
-            for f in [pool.submit(df.write.mode("overwrite").parquet, paths.of("q3in", t, part))
-                      for t, df in inputs.items()]:
-                f.result()
     return run
 
 
