@@ -57,9 +57,17 @@ def main() -> None:
         live = C.replayed(C.routed(C.staged(spark, parsed, "bench_bronze")))
         return len(_q3_of(live).collect())
 
+    state_rows = []
+
     def stream_q3() -> int:
         paths = I.Paths(work_dir(spark, "bench_stream"))
-        return len(I.run_q3(spark, text_dir, paths, files_per_trigger=2).collect())
+        I.run_changes(spark, text_dir, paths, files_per_trigger=2)
+        q = I.start_join(spark, paths)
+        q.awaitTermination()
+        progress = [p for p in q.recentProgress if p.get("stateOperators")]
+        state_rows.append(max((sum(op["numRowsTotal"] for op in p["stateOperators"])
+                               for p in progress), default=0))
+        return len(I.snapshot(spark, paths.delta).collect())
 
     results, rows = {}, {}
     for name, fn, n in (("q3_batch", q3_batch, reps), ("replay_q3", replay_q3, reps),
@@ -80,6 +88,7 @@ def main() -> None:
         "queries": results,
         "rows": rows,
         "stream_lineitem_changes_per_sec": round(lineitem_changes / results["stream_q3"], 1),
+        "stream_join_peak_state_rows": max(state_rows, default=0),
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "cpus": int(cpus),
     }
