@@ -31,10 +31,34 @@ LOCAL_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
 
+# SQL settings recommended for a large cluster (all settable at runtime on a session).  Shuffle
+# partitions follow the largest shuffle: about 150 MB per partition before AQE coalesces.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.shuffle.partitions": "300000",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str] = CLUSTER_CONF) -> None:
+    """Apply runtime SQL settings to a session the cluster gave us."""
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "deltaq") -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
