@@ -82,6 +82,15 @@ def q3_input(table: str, signed: DataFrame, params: Q3Params = DEFAULT) -> DataF
             .filter((F.col("lw") != 0) | (F.col("lrev") != 0)))
 
 
+def committed(spark: SparkSession, path: str) -> bool:
+    """True when a completed write job left its ``_SUCCESS`` marker at ``path``."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+        return True
+    except Exception:
+        return False
+
+
 def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
                     params: Q3Params = DEFAULT, compact_every: int = COMPACT_EVERY):
     """The foreachBatch body of the changes query."""
@@ -102,8 +111,12 @@ def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
                                every=compact_every)
             out = paths.of("signed", spec.name, part)
             signed.withColumn("w", F.col("w").cast("bigint")).write.mode("overwrite").parquet(out)
-            (q3_input(spec.name, spark.read.parquet(out), params).write.mode("overwrite")
-             .parquet(paths.of("q3in", spec.name, part)))
+            # The join query may be reading q3in while this runs: once a batch's input is
+            # committed it is never rewritten, so a retried batch cannot be counted twice.
+            q3in = paths.of("q3in", spec.name, part)
+            if not committed(spark, q3in):
+                (q3_input(spec.name, spark.read.parquet(out), params).write.mode("overwrite")
+                 .parquet(q3in))
         # The tables are independent: submit their jobs side by side.
         with ThreadPoolExecutor(max_workers=len(layout.tables)) as pool:
             for f in [pool.submit(one, spec) for spec in layout.tables]:

@@ -78,3 +78,26 @@ def test_batch_that_fails_after_writing_is_redone_without_double_counting(spark,
     got = as_set(I.run_q3(spark, text, paths, layout=REFERENCE, files_per_trigger=1))
     assert got == python_replay([l for f in files for l in f])
     assert {g[3] for g in got} == {"90.0000"}
+
+
+def test_both_queries_running_side_by_side(spark, scratch):
+    text = os.path.join(scratch, "in")
+    paths = I.Paths(os.path.join(scratch, "work"))
+    files = [[cust("INSERT", 1), order("INSERT", 10, 1), item("INSERT", 10, 1)],
+             [item("INSERT", 10, 2), cust("DELETE", 1)],
+             [cust("INSERT", 1), item("INSERT", 10, 3, price="10.00")]]
+    write_file(text, "part-0000.txt", files[0])
+    changes = I.start_changes(spark, text, paths, REFERENCE, files_per_trigger=1,
+                              available_now=False, processing_time="1 second")
+    changes.processAllAvailable()
+    join = I.start_join(spark, paths, available_now=False, processing_time="1 second")
+    try:
+        for i, lines in enumerate(files[1:], start=1):
+            write_file(text, f"part-{i:04d}.txt", lines)
+            changes.processAllAvailable()
+            join.processAllAvailable()
+    finally:
+        changes.stop()
+        join.stop()
+    got = as_set(I.snapshot(spark, paths.delta))
+    assert got == python_replay([l for f in files for l in f])
