@@ -20,7 +20,7 @@ from ..schemas import DRIVER, REVENUE
 from ..sources.tables import load_table, load_tables, with_shippriority
 from . import changes as C
 from . import oracle as O
-from .q3 import q3, q3_sql
+from .q3 import q3, q3_sql, read_sql_file, write_sql_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +60,17 @@ def q3_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q3_sql(spark, t["customer"], with_shippriority(t["orders"]), t["lineitem"], DEFAULT)
 
 
+@register("q3_sql_file", O.Q3_BATCH)
+def q3_sql_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 from a file: the query text is stored as a .sql file and read back before running."""
+    from ..session import work_dir
+    path = work_dir(spark, "query_sql")
+    write_sql_file(spark, path)
+    t = load_tables(spark, sf_dir)
+    return q3_sql(spark, t["customer"], with_shippriority(t["orders"]), t["lineitem"], DEFAULT,
+                  text=read_sql_file(spark, path))
+
+
 # --- typed tables, predicates, revenue, plain joins ---------------------------------------------
 
 @register("typed_tables", O.with_typed("""

@@ -74,3 +74,12 @@ def q3_sql(spark: SparkSession, customer: DataFrame, orders: DataFrame, lineitem
         "order_date": params.order_date,
         "ship_date": params.ship_date,
     })
+
+
+def read_sql_file(spark: SparkSession, path: str) -> str:
+    """The text of a ``.sql`` file on any Hadoop filesystem (one small file, one row)."""
+    return spark.read.text(path, wholetext=True).first()["value"]
+
+
+def write_sql_file(spark: SparkSession, path: str, text: str = Q3_SQL) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
