@@ -55,7 +55,7 @@ def delete_effects(changes: DataFrame, key: Sequence[str], seq: str = "seq", op:
     A DELETE removes something iff the change just before it for the same key (in ``seq``
     order) is an INSERT.  Instead of a window per key (one task per key), the changes are
     range-partitioned on ``(key, seq)``, which splits a hot key over many tasks; each task scans
-    its sorted rows once.  Only the first row of a task can have its predecessor in another
+    its sorted rows once, vectorised per Arrow batch.  Only the first row of a task can have its predecessor in another
     task: those few rows (at most one per task) are resolved against the last row of the
     preceding non-empty task, a table with one row per task.
     """
@@ -70,29 +70,33 @@ def delete_effects(changes: DataFrame, key: Sequence[str], seq: str = "seq", op:
     out_schema = T.StructType(in_fields + _EFFECT_FIELDS)
 
     def scan(batches):
+        """Vectorised per Arrow batch: compare each row with the row before it (``shift``);
+        only the last row is carried from one batch to the next."""
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        prev_key, prev_ins, last = None, None, None
+        carry = None                      # (key values, is_insert) of the previous row
         for pdf in batches:
             if pdf.empty:
                 continue
-            keys = list(zip(*[pdf[k] for k in key])) if len(key) > 1 else list(pdf[key[0]])
-            ins = pdf["_is_ins"].tolist()
-            eff, kind = [], []
-            for i, (k, is_ins) in enumerate(zip(keys, ins)):
-                if last is None:
-                    eff.append(None)            # first row of the task: resolved later
-                    kind.append("head" if not is_ins else "row")
-                else:
-                    eff.append(bool(prev_key == k and prev_ins))
-                    kind.append("row")
-                prev_key, prev_ins, last = k, is_ins, True
-            out = pdf.assign(_pid=pid, _kind=kind, _ins=ins, _eff=eff)
+            keys = pdf[key].reset_index(drop=True)
+            ins = pdf["_is_ins"].reset_index(drop=True).astype(bool)
+            prev_keys, prev_ins = keys.shift(1), ins.shift(1)
+            if carry is not None:
+                prev_keys.iloc[0] = list(carry[0])
+                prev_ins.iloc[0] = carry[1]
+            same = (keys == prev_keys).all(axis=1)     # NULL keys never compare equal
+            eff = (same & prev_ins.fillna(False).astype(bool)).astype(object)
+            kind = pd.Series("row", index=keys.index)
+            if carry is None:                          # first row of the task: resolved later
+                eff.iloc[0] = None
+                kind.iloc[0] = "head" if not ins.iloc[0] else "row"
+            carry = (tuple(keys.iloc[-1]), bool(ins.iloc[-1]))
+            out = pdf.reset_index(drop=True).assign(_pid=pid, _kind=kind, _ins=ins, _eff=eff)
             yield out[~out["_is_ins"] | (out["_kind"] == "head")]
-        if last is not None:
-            tail = {k: [v] for k, v in zip(key, prev_key if len(key) > 1 else (prev_key,))}
-            tail.update(_seq=[None], _is_ins=[prev_ins], _pid=[pid], _kind=["tail"],
-                        _ins=[prev_ins], _eff=[None])
+        if carry is not None:
+            tail = {k: [v] for k, v in zip(key, carry[0])}
+            tail.update(_seq=[None], _is_ins=[carry[1]], _pid=[pid], _kind=["tail"],
+                        _ins=[carry[1]], _eff=[None])
             yield pd.DataFrame(tail)
 
     scanned = ev.mapInPandas(scan, out_schema)

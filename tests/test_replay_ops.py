@@ -58,3 +58,15 @@ def test_live_and_counts_with_hot_key(spark):
     for _, key, _ in expected_live(rows):
         exp[key] = exp.get(key, 0) + 1
     assert counts == exp
+
+
+def test_delete_effects_with_small_arrow_batches(spark):
+    """Rows of one task arrive in many Arrow batches: the carry between batches must hold."""
+    rows, df = changes(spark, n=2000, seed=3)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = R.delete_effects(df, ["k"], partitions=4).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert {r.seq: r.effective for r in got} == expected_effects(rows)
