@@ -125,10 +125,10 @@ def batch_signed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         paths = I.Paths(work_dir(spark, "batch_signed"))
         staged = C.staged(spark, C.parsed_lines(C.rounds(spark, sf_dir)), "batch_bronze")
         for spec in DRIVER.tables:
-            rows = P.route(staged, spec.name, DRIVER)
+            changes = P.route(staged, spec.name, DRIVER).withColumn(
+                "b", F.shiftright("seq", ROUND_BITS).cast("int"))
             for r in range(4):
-                batch = rows.filter(F.shiftright("seq", ROUND_BITS) == F.lit(r))
-                signed = normalise(spark, batch, r, paths.of("log", spec.name), spec.key,
+                signed = normalise(spark, changes, r, paths.of("log", spec.name), spec.key,
                                    every=COMPACT_EVERY)
                 signed.write.mode("overwrite").parquet(paths.of("signed", spec.name, f"b={r}"))
         _RUNS[memo] = paths

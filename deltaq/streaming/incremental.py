@@ -4,8 +4,9 @@ Two streaming queries and one batch read, all under one work folder in the share
 location:
 
     changes   text dir --readStream.text--> foreachBatch:
-                stamp seq, parse, bronze/b=N (bad lines kept with a reason),
-                route per table, normalise (signed net change), signed/<table>/b=N
+                stamp seq, parse, bronze/b=N (bad lines kept with a reason; the bronze
+                table is also the change log), route per table, normalise (signed net
+                change), signed/<table>/b=N, per-key sums for the join in q3in/<table>/b=N
     join      signed customer  (segment filter)  --+
               signed orders    (date filter)     --+-- stream-stream inner joins, append mode
               signed lineitem  (date filter)     --+   w = cw * ow * lw
@@ -99,15 +100,14 @@ def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
                                       F.col("_block").alias("block"),
                                       F.monotonically_increasing_id().alias("pos")).alias("seq"),
                              "value")
-        bronze = paths.of("bronze", f"{BATCH_COL}={batch_id}")
-        write_bronze(P.parse(lines, layout), bronze)
-        staged = P.with_parts(read_bronze(spark, bronze))
-
         part = f"{BATCH_COL}={batch_id}"
+        write_bronze(P.parse(lines, layout), paths.of("bronze", part))
+        # The bronze table is the change log: every batch, partitioned by batch and table.
+        history = P.with_parts(read_bronze(spark, paths.of("bronze")))
 
         def one(spec) -> None:
-            rows = P.route(staged, spec.name, layout)
-            signed = normalise(spark, rows, batch_id, paths.of("log", spec.name), spec.key,
+            changes = P.route(history, spec.name, layout, passthrough=("seq", BATCH_COL))
+            signed = normalise(spark, changes, batch_id, paths.of("log", spec.name), spec.key,
                                every=compact_every)
             out = paths.of("signed", spec.name, part)
             signed.withColumn("w", F.col("w").cast("bigint")).write.mode("overwrite").parquet(out)

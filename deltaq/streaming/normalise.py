@@ -4,10 +4,10 @@ Raw INSERT/DELETE changes cannot be summed directly: a DELETE removes every live
 (or nothing), and a change may arrive in a later batch than a change with a larger ``seq``.  For
 micro-batch ``N`` of one table:
 
-    raw/b=N      <- the batch, written once (overwrite, so a retried batch is idempotent)
+    changes      =  the typed changes of every batch, with their batch id b (the bronze table)
     keys         =  distinct delete keys of batch N
-    after        =  live rows (replay rule) over log b <= N, for those keys
-    before       =  live rows over log b <  N, for those keys
+    after        =  live rows (replay rule) over changes b <= N, for those keys
+    before       =  live rows over changes b <  N, for those keys
     signed       =  after (w=+1) minus before (w=-1), rows with w != 0
 
 Both replays are fused: one aggregate gives each touched key its last DELETE seq over b <= N
@@ -42,11 +42,11 @@ def last_compaction(batch_id: int, every: int) -> int:
     return every * (batch_id // every) - 1
 
 
-def log_rows(spark: SparkSession, log_path: str, batch_id: int, every: int) -> DataFrame:
-    """The change log as of ``batch_id``: the latest compaction plus the raw batches after it."""
+def log_rows(spark: SparkSession, changes: DataFrame, log_path: str, batch_id: int,
+             every: int) -> DataFrame:
+    """The changes as of ``batch_id``: the latest compaction plus the batches after it."""
     upto = last_compaction(batch_id, every)
-    raw = spark.read.parquet(f"{log_path}/raw").filter(
-        (F.col(BATCH_COL) > F.lit(upto)) & (F.col(BATCH_COL) <= F.lit(batch_id)))
+    raw = changes.filter((F.col(BATCH_COL) > F.lit(upto)) & (F.col(BATCH_COL) <= F.lit(batch_id)))
     if upto < 0:
         return raw
     base = spark.read.parquet(f"{log_path}/compact/upto={upto}")
@@ -69,12 +69,16 @@ def compact(rows: DataFrame, key: Sequence[str], upto: int, seq: str = "seq",
     return out.withColumn(BATCH_COL, F.lit(upto).cast("int"))
 
 
-def normalise(spark: SparkSession, batch: DataFrame, batch_id: int, log_path: str,
+def normalise(spark: SparkSession, changes: DataFrame, batch_id: int, log_path: str,
               key: Sequence[str], seq: str = "seq", op: str = "op",
               every: int = COMPACT_EVERY) -> DataFrame:
+    """Signed net change caused by batch ``batch_id``.
+
+    ``changes`` holds the typed changes of every batch with their batch id in column ``b`` (in
+    the streaming job: the bronze table, routed; it is only read from the last compaction on).
+    ``log_path`` keeps the compactions of this table."""
     key = list(key)
-    batch.write.mode("overwrite").parquet(f"{log_path}/raw/{BATCH_COL}={batch_id}")
-    log = log_rows(spark, log_path, batch_id, every)
+    log = log_rows(spark, changes, log_path, batch_id, every)
     if (batch_id + 1) % every == 0:
         # fold this batch too; the next batch reads the result instead of the raw history
         folded = compact(log.drop(BATCH_COL), key, batch_id, seq, op)

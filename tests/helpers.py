@@ -51,10 +51,13 @@ def normalised_result(spark, lines, cuts, scratch, every=8):
     bounds = [0, *cuts, len(lines)]
     signed = {}
     for t, df in r.items():
-        parts = []
+        batch_of = F.lit(None).cast("int")
         for b in range(len(bounds) - 1):
-            batch = df.filter((F.col("seq") >= bounds[b]) & (F.col("seq") < bounds[b + 1]))
-            out = normalise(spark, batch, b, os.path.join(scratch, "log", t), REFERENCE[t].key,
+            batch_of = F.when((F.col("seq") >= bounds[b]) & (F.col("seq") < bounds[b + 1]),
+                              F.lit(b)).otherwise(batch_of)
+        changes = df.withColumn("b", batch_of)
+        for b in range(len(bounds) - 1):
+            out = normalise(spark, changes, b, os.path.join(scratch, "log", t), REFERENCE[t].key,
                             every=every)
             path = os.path.join(scratch, "signed", t, f"b={b}")
             out.write.mode("overwrite").parquet(path)
