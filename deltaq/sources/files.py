@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expressions import to_revenue
+from ..functions.expressions import money_text, to_revenue
 from ..schemas import DRIVER, RESULT_COLUMNS, Layout
 
 RESULT_SEP = ", "
@@ -34,7 +34,8 @@ def read_tbl(spark: SparkSession, path: str, table: str, layout: Layout = DRIVER
 
 def write_result_csv(result: DataFrame, path: str) -> None:
     """A6 + D9: the result as CSV text; one header per part file."""
-    (result.select(*RESULT_COLUMNS).write.mode("overwrite").option("header", True)
+    cols = [money_text(c).alias(c) if c == "revenue" else F.col(c) for c in RESULT_COLUMNS]
+    (result.select(*cols).write.mode("overwrite").option("header", True)
      .option("sep", RESULT_SEP).option("quote", "").option("dateFormat", "yyyy-MM-dd")
      .csv(path))
 

@@ -7,15 +7,17 @@ location:
                 stamp seq, parse, bronze/b=N (bad lines kept with a reason; the bronze
                 table is also the change log), route per table, normalise (signed net
                 change), signed/<table>/b=N, per-key sums for the join in q3in/<table>/b=N
-    join      signed customer  (segment filter)  --+
-              signed orders    (date filter)     --+-- stream-stream inner joins, append mode
-              signed lineitem  (date filter)     --+   w = cw * ow * lw
+    join      q3in customer  sums per key, segment filter   --+
+              q3in orders    per order, date filter        --+-- stream-stream inner joins
+              q3in lineitem  sums per order, date filter   --+   (customer side salted),
+                w = cw * ow * lw, wrev = lrev * cw * ow         append mode
                 --> delta log (parquet file sink, exactly once via its commit log)
     snapshot  batch: delta log -> GROUP BY keys: SUM(w * rev), SUM(w); keep SUM(w) > 0
 
 A join is linear in each input, so summing weighted pairs over any arrival order gives the join
 of the net tables.  Join state is kept by Spark's state store (RocksDB when configured), one
-entry per signed row; like the reference, nothing is ever evicted (no watermark).
+entry per input row (per key and batch for items and customers); like the reference, nothing is
+ever evicted (no watermark).
 
 ``running`` (D4) is a third streaming query over the delta log, aggregated in update mode: one
 row per changed group per micro-batch.
@@ -39,9 +41,6 @@ from ..sources.bronze import read_bronze, write_bronze
 from ..sources.changelog import read_changelog_stream
 from .normalise import BATCH_COL, COMPACT_EVERY, normalise
 
-SEQ_TYPE = T.StructType([T.StructField("file", T.StringType()),
-                         T.StructField("block", T.LongType()),
-                         T.StructField("pos", T.LongType())])
 GROUP = ["l_orderkey", "o_orderdate", "o_shippriority"]
 WREV = T.DecimalType(38, 4)
 
@@ -58,12 +57,6 @@ class Paths:
         return self.of("delta")
 
 
-def signed_schema(layout: Layout, table: str) -> T.StructType:
-    fields = [T.StructField("seq", SEQ_TYPE)] + list(layout[table].struct().fields)
-    return T.StructType(fields + [T.StructField("w", T.LongType()),
-                                  T.StructField(BATCH_COL, T.IntegerType())])
-
-
 def q3_input(table: str, signed: DataFrame, params: Q3Params = DEFAULT) -> DataFrame:
     """Filtered signed changes of one batch and table, summed per join key (pre-aggregated
     before the join's shuffle).  A hot order or customer becomes one row per batch, so the join
@@ -141,12 +134,6 @@ def start_changes(spark: SparkSession, changelog_dir: str, paths: Paths,
     return w.start()
 
 
-def signed_stream(spark: SparkSession, paths: Paths, table: str,
-                  layout: Layout = DRIVER) -> DataFrame:
-    return spark.readStream.schema(signed_schema(layout, table)).parquet(
-        paths.of("signed", table))
-
-
 Q3IN_SCHEMA = {
     "customer": T.StructType([T.StructField("c_custkey", T.LongType()),
                               T.StructField("cw", T.LongType())]),
