@@ -43,3 +43,14 @@ def test_query_matches_oracle(spark, con, name):
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
     assert rows_of(df.columns, got) == rows_of(cols, res.fetchall())
+
+
+# Flagship answers on the driver tables at sf0.001 (FIXTURES.md sections 2 and 3).
+@pytest.mark.parametrize("name,rows,total", [("q3_batch", 9, "2289352.9819"),
+                                             ("replay_q3", 8, "1949417.9039"),
+                                             ("stream_q3", 8, "1949417.9039")])
+def test_flagship_totals(spark, name, rows, total):
+    from pyspark.sql import functions as F
+    df = E.queries()[name](spark, SF)
+    got = df.agg(F.count(F.lit(1)).alias("n"), F.sum("revenue").alias("s")).first()
+    assert (got.n, str(got.s)) == (rows, total)
