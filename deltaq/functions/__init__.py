@@ -1,0 +1 @@
+"""Column expressions shared by batch and streaming plans (built-in functions only)."""
