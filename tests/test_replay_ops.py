@@ -70,3 +70,15 @@ def test_delete_effects_with_small_arrow_batches(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert {r.seq: r.effective for r in got} == expected_effects(rows)
+
+
+def test_compaction_keeps_live_rows_and_one_marker_per_deleted_key(spark):
+    from deltaq.streaming.normalise import compact
+    rows = [(1, "INSERT", 5, 1), (2, "DELETE", 5, None), (3, "INSERT", 5, 2),
+            (4, "INSERT", 6, 3), (5, "DELETE", 7, None), (6, "DELETE", 7, None),
+            (7, "INSERT", None, 4), (8, "DELETE", None, None)]
+    df = spark.createDataFrame(rows, "seq bigint, op string, k bigint, v int")
+    out = {(r.seq, r.op, r.k, r.v, r.b) for r in compact(df, ["k"], 9).collect()}
+    assert out == {(3, "INSERT", 5, 2, 9), (4, "INSERT", 6, 3, 9), (7, "INSERT", None, 4, 9),
+                   (2, "DELETE", 5, None, 9), (6, "DELETE", 7, None, 9),
+                   (8, "DELETE", None, None, 9)}
