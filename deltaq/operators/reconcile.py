@@ -80,7 +80,7 @@ def preview(rows: DataFrame, side: str, show_all: int = PREVIEW_ALL,
     total = rows.agg(F.count(F.lit(1))).scalar()
     top = rows.orderBy(*cols).limit(show_all)
     # row_number over at most ``show_all`` rows
-    ranked = top.withColumn("rn", F.row_number().over(Window.orderBy(*cols)))
+    ranked = top.withColumn("rn", F.row_number().over(Window.orderBy(*cols)).cast("bigint"))
     shown = F.when(total <= F.lit(show_all), total).otherwise(F.lit(first))
     return ranked.filter(F.col("rn") <= shown).select(
         F.lit(side).alias("side"), "rn", *cols, (total - shown).alias("remaining"))
