@@ -39,10 +39,14 @@ def test_entry_runs(spark):
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
-    res = con.execute(E.oracle_sql()[name])
-    cols = [d[0] for d in res.description]
+    rel = con.sql(E.oracle_sql()[name])
+    cols = rel.columns
     assert sorted(df.columns) == sorted(cols)
-    assert rows_of(df.columns, got) == rows_of(cols, res.fetchall())
+    types = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
+             "double": "DOUBLE", "boolean": "BOOLEAN"}
+    oracle_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: types.get(t, t.upper()) for c, t in df.dtypes} == oracle_types
+    assert rows_of(df.columns, got) == rows_of(cols, rel.fetchall())
 
 
 # Flagship answers on the driver tables at sf0.001 (FIXTURES.md sections 2 and 3).
