@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deltaq.llm import packing, token_counts, token_files
+from deltaq.llm import (
+    licenses, mixing, near_dups, packing, pii, pivots, token_counts, token_files, topk, toxicity)
 from deltaq.llm.common import ship, table
 
 
@@ -18,8 +19,20 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame],
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": _over("documents", token_counts.op1_token_counts),
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op3_topk": _over("embeddings", topk.op3_topk),
+    "op4_pii_surrogates": _over("documents", pii.op4_pii_surrogates),
+    "op5_embedding_dedup": _over("embeddings", pivots.op5_embedding_dedup),
+    "op6_minhash_dedup": _over("documents", near_dups.op6_minhash_dedup),
+    "op7_mixing": _over("documents", mixing.op7_mixing),
+    "op8_licenses": _over("documents", licenses.op8_licenses),
     "op9_token_files": _over("documents", token_files.op9_token_files),
     "op10_packing": _over("documents", packing.op10_packing),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_topk": topk.OP3_SQL,
+    "op5_embedding_dedup": pivots.OP5_SQL,
+    "op7_mixing": mixing.OP7_SQL,
+    "op8_licenses": licenses.OP8_SQL,
+}
