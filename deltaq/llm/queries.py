@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from deltaq.llm import (
     licenses, mixing, near_dups, packing, pii, pivots, token_counts, token_files, topk, toxicity)
 from deltaq.llm.common import ship, table
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": _over("documents", licenses.op8_licenses),
     "op9_token_files": _over("documents", token_files.op9_token_files),
     "op10_packing": _over("documents", packing.op10_packing),
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from deltaq.llm.common import materialize
 from deltaq.llm.encode import encoder, tokenizer_path
 
 #: Lengths per bucket of the two-level suffix sums.
@@ -91,4 +92,5 @@ def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
 
 
 def op1_token_counts(docs: DataFrame) -> DataFrame:
-    return suffix_sums(length_histogram(docs))
+    # Written once: the sums read it three times, the corpus is encoded once.
+    return suffix_sums(materialize(length_histogram(docs), "lengths"))
