@@ -9,11 +9,14 @@ the tree; a child with few documents is compared exhaustively; a larger one bran
 is still large at the last level is dealt over blocks that are compared pair by pair of blocks, so
 nothing is capped.
 
-Comparison reads signatures first (agreeing tokens), then the full sets of the pairs that remain:
-a link needs 100 * |intersection| >= 85 * |union| of the sets themselves.  It runs in two passes.
-The first takes one partner per document in each small set, the most similar one before it, which
-unites dense groups with few pairs; the second takes every remaining pair that lies in different
-components, so that no group is expanded into all its pairs and no link between groups is lost.
+Comparison reads signatures first (agreeing tokens), then full sets: a link needs
+100 * |intersection| >= 85 * |union| of the sets themselves.  It runs in two passes.  The first takes
+one partner per document in each small set, the most similar one before it, which unites dense
+groups with few pairs.  The second looks at all pairs in different components: signatures name the
+documents that have any such partner, these get their exact difference from one document of their
+small set (few hashes among near copies), and from the differences every pair's intersection
+follows exactly inside the cell, which hands on a spanning forest of its links.  So no group is
+expanded into all its pairs, and no link between components is lost.
 
 Recall: a pair of similarity 0.85 survives a level of one tree with probability 0.87, so it misses
 all ten trees with about 1e-9 at one level and 2e-4 at four.
@@ -36,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from deltaq.llm.common import is_empty, materialize, mix64
-from deltaq.llm.graph import connected_components, runs, with_cells
+from deltaq.llm.graph import connected_components, forest, runs, with_cells
 
 WORDS = 5
 PERCENT = 85
@@ -240,7 +243,8 @@ def partners(leaves: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def remaining(leaves: DataFrame, sketches: DataFrame, component: DataFrame) -> DataFrame:
-    """Second pass, distinct (a, b): every pair in different components that agrees enough."""
+    """Second pass, distinct (node, rep, component): documents with a similar enough signature in
+    another component, per small set."""
     c = component.withColumnRenamed("vertex", "rep")
     rows = leaves.join(c, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = rows.groupBy("node").agg(F.min("component").alias("_x"), F.max("component").alias(
@@ -257,14 +261,91 @@ def remaining(leaves: DataFrame, sketches: DataFrame, component: DataFrame) -> D
             rep, s = cell.column("rep").to_numpy(), _sketches(cell)
             comp, b = cell.column("component").to_numpy(), cell.column("_b").to_numpy()
             left, right = np.flatnonzero(b == i), np.flatnonzero(b == j)
-            x, y = np.nonzero((_agreement(s[left], s[right]) >= AGREE)
+            alike = ((_agreement(s[left], s[right]) >= AGREE)
+                     & (comp[left][:, None] != comp[right][None, :]))
+            some = np.unique(np.concatenate([left[alike.any(axis=1)], right[alike.any(axis=0)]]))
+            if len(some):
+                node = cell.column("node")[0].as_py()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(some), node)), pa.array(rep[some]),
+                     pa.array(comp[some])], names=["node", "rep", "component"])
+
+    return cells.mapInArrow(pick, "node long, rep long, component long").distinct()
+
+
+def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(rep, pivot, base, lacks, adds): a set as its exact difference from the pivot's set."""
+    own = sets.select("rep", F.col("set").alias("_own"))
+    other = sets.select(F.col("rep").alias("pivot"), F.col("set").alias("_pivot"))
+
+    def differ(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            base, lacks, adds = [], [], []
+            for x, y in zip(part.column("_own"), part.column("_pivot")):
+                s, p = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
+                base.append(len(p))
+                lacks.append(np.setdiff1d(p, s, assume_unique=True).tobytes())
+                adds.append(np.setdiff1d(s, p, assume_unique=True).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("rep"), part.column("pivot"), pa.array(base, pa.int64()),
+                 pa.array(lacks, pa.binary()), pa.array(adds, pa.binary())],
+                names=["rep", "pivot", "base", "lacks", "adds"])
+
+    return pairs.join(own, "rep").join(other, "pivot").mapInArrow(
+        differ, "rep long, pivot long, base long, lacks binary, adds binary")
+
+
+def _common(values: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of all pairs, left by right, of short lists of hashes."""
+    owner = np.repeat(np.arange(len(values)), [len(v) for v in values])
+    flat = np.concatenate(values) if values else np.zeros(0, np.uint64)
+    _, number, times = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = times[number] > 1                      # hashes that only one document has don't count
+    owner, number = owner[shared], number[shared]
+    names, number = np.unique(number, return_inverse=True)
+    out = np.zeros((len(left), len(right)))
+    for at in range(0, len(names), 4096):
+        here = (number >= at) & (number < at + 4096)
+        x = np.zeros((len(values), min(4096, len(names) - at)), np.float32)
+        x[owner[here], number[here] - at] = 1
+        out += x[left] @ x[right].T
+    return out.astype(np.int64)
+
+
+def exact_links(rows: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Spanning links (a, b) between components, exactly, among rows (node, rep, component)."""
+    groups = rows.groupBy("node").agg(F.min("rep").alias("pivot"), F.count("*").alias("size"))
+    rows = materialize(rows.join(groups, "node"), "second-rows")
+    asked = materialize(rows.select("rep", "pivot").distinct(), "second-pairs")
+    diffs = materialize(differences(asked, full_sets(asked, docs, reps)), "differences")
+    order = ["node", "_i", "_j"]
+    cells = with_cells(rows.join(diffs, ["rep", "pivot"]), F.col("size"), F.col("rep"), SMALL)
+    cells = (cells.select(*order, "_b", "rep", "component", "base", "lacks", "adds")
+             .repartition(*order).sortWithinPartitions(*order))
+
+    def link(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in runs(parts, order):
+            i, j = cell.column("_i")[0].as_py(), cell.column("_j")[0].as_py()
+            rep, comp = cell.column("rep").to_numpy(), cell.column("component").to_numpy()
+            b, base = cell.column("_b").to_numpy(), cell.column("base").to_numpy()
+            lacks, adds = ([np.frombuffer(v, np.uint64) for v in cell.column(c).to_pylist()]
+                           for c in ("lacks", "adds"))
+            left, right = np.flatnonzero(b == i), np.flatnonzero(b == j)
+            n_lacks = np.array([len(v) for v in lacks])
+            size = base - n_lacks + np.array([len(v) for v in adds])
+            # What both keep of the pivot's set, and what both add to it.
+            kept = (base[left][:, None] - n_lacks[left][:, None] - n_lacks[right][None, :]
+                    + _common(lacks, left, right))
+            common = kept + _common(adds, left, right)
+            union = size[left][:, None] + size[right][None, :] - common
+            x, y = np.nonzero((100 * common >= PERCENT * union)
                               & (comp[left][:, None] != comp[right][None, :]))
             if len(x):
-                p, q = rep[left[x]], rep[right[y]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], names=["a", "b"])
+                child, root = forest(rep[left[x]], rep[right[y]])
+                yield pa.RecordBatch.from_arrays([pa.array(root), pa.array(child)],
+                                                 names=["a", "b"])
 
-    return cells.mapInArrow(pick, "a long, b long").distinct()
+    return materialize(cells.mapInArrow(link, "a long, b long").distinct(), "second-links")
 
 
 def _among(rows: DataFrame, column: str, ids: DataFrame, n: int) -> DataFrame:
@@ -274,9 +355,10 @@ def _among(rows: DataFrame, column: str, ids: DataFrame, n: int) -> DataFrame:
     return rows.join(side, F.col(column) == F.col("_id"), "left_semi")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "asked")
+def full_sets(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, set): the full shingle sets of the documents in the two columns of ``pairs``."""
+    x, y = pairs.columns
+    ids = materialize(pairs.select(F.explode(F.array(x, y)).alias("rep")).distinct(), "asked")
     n = ids.count()
 
     def full(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,9 +375,14 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     # An id repeated with other texts is told apart by the key of its set.
     sets = _among(texts, "_doc", ids, n).mapInArrow(full, "rep long, key binary, set binary")
     asked = reps.select("rep", "key").join(ids, "rep", "left_semi")
-    sets = materialize(sets.join(
+    return materialize(sets.join(
         F.broadcast(asked) if n <= BROADCAST_IDS else asked, ["rep", "key"]).dropDuplicates(
         ["rep", "key"]).select("rep", "set"), "sets")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    sets = full_sets(pairs, docs, reps)
     first = sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a"))
     second = sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b"))
     few = pairs.count() <= BROADCAST_IDS
@@ -336,13 +423,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sketches = materialize(reps.select("rep", "tokens").join(
         leaves.select("rep").distinct(), "rep", "left_semi").mapInArrow(
         small, "rep long, sketch binary"), "sketches")
-    asked = materialize(partners(leaves, sketches), "partners")
-    found = verified(asked, docs, reps)
+    found = verified(materialize(partners(leaves, sketches), "partners"), docs, reps)
     component = connected_components(found)
-    more = materialize(remaining(leaves, sketches, component).join(
-        asked, ["a", "b"], "left_anti"), "remaining")
+    more = materialize(remaining(leaves, sketches, component), "remaining")
     if not is_empty(more):
-        component = connected_components(found.unionByName(verified(more, docs, reps)))
+        component = connected_components(found.unionByName(exact_links(more, docs, reps)))
     named = reps.select("key", "rep").join(
         component.withColumnRenamed("vertex", "rep"), "rep", "left").select(
         "key", F.coalesce("component", "rep").alias("_component"))
