@@ -45,7 +45,7 @@ def test_held_out_accuracy_and_severity(spark, docs, labelled):
     assert wrong <= 0.02 * len(held)
     for r in got.values():
         assert 0 <= r.severity <= toxicity.GRADES and r.toxic == (r.p_toxic >= 0.5)
-    hits = {i: sum(b in t for b in BAD for t in t.split()) for i, t, _ in held}
+    hits = {i: sum(b in w for b in BAD for w in t.split()) for i, t, _ in held}
     mean = lambda ids: np.mean([got[i].severity for i in ids])
     some, many = [i for i, n in hits.items() if n == 1], [i for i, n in hits.items() if n >= 4]
     assert mean([i for i, n in hits.items() if n == 0]) < 0.1 < mean(some) < mean(many)
