@@ -12,6 +12,7 @@ whole.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterable, Iterator
 
@@ -48,6 +49,8 @@ class _Units(dict):
 
 class Encoder:
     def __init__(self, path: str) -> None:
+        # Spark's tasks are the parallelism; the library's own threads would only compete with them.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -45,6 +45,7 @@ STEPS = 1500
 RATE = 0.05
 DECAY = 2e-6
 MAX_WORDS = 600_000     # words a worker remembers
+LONG = 1 << 22          # characters from which a text is very long
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -55,6 +56,13 @@ def word_bins(word: str) -> tuple[int, ...]:
     return tuple(xxhash.xxh3_64_intdigest(x) % BINS for x in [word, *stems])
 
 
+def _word_counts(text: str) -> Counter[str]:
+    """Words of a text; of a very long one without holding the list of them."""
+    if len(text) <= LONG:
+        return Counter(_LETTERS.findall(text))
+    return Counter(m.group() for m in _LETTERS.finditer(text))
+
+
 class Features:
     """Feature numbers of texts; remembers words.  ``only``: the numbers that count, if not all."""
 
@@ -67,7 +75,7 @@ class Features:
         if len(self.words) > MAX_WORDS:
             self.words = {}
         found: Counter[int] = Counter()
-        for word, n in Counter(_LETTERS.findall((text or "").lower())).items():
+        for word, n in _word_counts((text or "").lower()).items():
             bins = self.words.get(word)
             if bins is None:
                 bins = word_bins(word)
