@@ -69,7 +69,7 @@ PATTERNS = {
     "credential": r"(?i:(?<![a-z])(?:password|passwd|pwd|secret|api_?key|token)"
                   r"\s{0,2}[=:]\s{0,2}[\"']?)[^\s\"'<>]{6,}",
     "access_key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}",
     "ipv6": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: [0-9A-Z]{4}){3,7}(?: [0-9A-Z]{1,3})?"
@@ -79,12 +79,28 @@ PATTERNS = {
              r"[ .-][0-9]{4}(?![0-9A-Za-z])|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){3,5}"
              r"(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "person": rf"(?<![\p{{L}}\p{{N}}]){_TITLE}\.? \p{{Lu}}[\p{{L}}’'-]+(?: \p{{Lu}}[\p{{L}}’'-]+)"
+    "person": rf"(?=[MHFSDPГ])(?<![\p{{L}}\p{{N}}]){_TITLE}\.? \p{{Lu}}[\p{{L}}’'-]+(?: \p{{Lu}}[\p{{L}}’'-]+)"
               r"{0,2}",
 }
-ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: Every entity holds one of these, which is quick to look for.
-HINT = rf"[0-9@]|{_TITLE}\.? \p{{Lu}}|(?i:password|passwd|pwd|secret|api_?key|token)\s{{0,2}}[=:]"
+_LETTER_FIRST = ("credential", "access_key", "email", "ipv6", "iban", "person")
+_OTHER_FIRST = ("email", "ipv6", "ip", "card", "phone", "ssn")
+
+
+def _any_of(kinds: tuple[str, ...]) -> str:
+    return "(?:" + "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k in kinds) + ")"
+
+
+#: Any entity.  None begins inside a word, so most places are passed over by the first look.
+ENTITY = (rf"(?<![A-Za-z0-9])(?:(?=[A-Za-z\u0413._%-]){_any_of(_LETTER_FIRST)}"
+          rf"|(?=[0-9+(._%-]){_any_of(_OTHER_FIRST)})")
+#: Every entity holds a digit, an @, a form of address before a capital, or a credential's name with
+#: = or : after it.  Texts without any are passed over; the looks ahead keep the search quick.
+_TITLED = rf"(?=[MHFSDPГ]){_TITLE}\.? \p{{Lu}}"
+_NAMED = r"(?i:password|passwd|pwd|secret|api_?key|token)\s{0,2}[=:]"
+
+
+def hinted(text: Column) -> Column:
+    return text.rlike(f"[0-9@]|{_TITLED}") | (text.rlike("[=:]") & text.rlike(_NAMED))
 
 
 # ---- finding -------------------------------------------------------------------------------
@@ -313,14 +329,15 @@ def replace_entities(docs: DataFrame, key: str = KEY, n_entities: str | None = N
     number of entities as a column of the given name."""
     text = F.col("_row.text").cast("string")
     rows = docs.select(F.struct("*").alias("_row"))
-    mentions = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
-    kinds = F.filter(F.transform(mentions, kind_of), lambda k: k.isNotNull())
-    with_any = F.coalesce(F.size(kinds), F.lit(0)) > 0
-    hits = materialize(rows.filter(with_any).select(
-        "_row", F.monotonically_increasing_id().alias("_id")), "pii-texts")
-    each = hits.select("_id", F.posexplode(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
-                       .alias("_at", "mention"))
-    each = each.withColumn("kind", kind_of(F.col("mention")))
+    mentions = F.when(hinted(text), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
+    found = F.transform(mentions, lambda m: F.struct(m.alias("mention"), kind_of(m).alias("kind")))
+    # A generator of one row: filters cannot pull the search below it and repeat it.
+    searched = rows.select("_row", F.inline(F.array(F.struct(found.alias("_found")))))
+    with_any = F.coalesce(F.exists("_found", lambda x: x["kind"].isNotNull()), F.lit(False))
+    hits = materialize(searched.filter(with_any).select(
+        "_row", "_found", F.monotonically_increasing_id().alias("_id")), "pii-texts")
+    each = hits.select("_id", F.posexplode("_found").alias("_at", "_x")).select(
+        "_id", "_at", "_x.mention", "_x.kind")
     parts = materialize(each.filter("kind is not null").select(
         "_id", "_at", F.posexplode(parts_of(F.col("mention"), F.col("kind"))).alias("_k", "_p"))
         .select("_id", "_at", "_k", "_p.*"), "pii-parts")
@@ -335,11 +352,10 @@ def replace_entities(docs: DataFrame, key: str = KEY, n_entities: str | None = N
         F.map_from_entries(F.collect_list(F.struct("_at", "_new"))).alias("_by"),
         F.count("*").alias("_count"))
     # Text between mentions, then each mention's replacement; what was no entity stays.
-    between, old = F.split(text, ENTITY, -1), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
     joined = hits.join(by_text, "_id").select(
-        "_row", "_count", "_by", between.alias("_between"), old.alias("_old"))
+        "_row", "_count", "_by", F.split(text, ENTITY, -1).alias("_between"), "_found")
     rewritten = F.array_join(F.transform("_between", lambda piece, i: F.concat(
-        piece, F.coalesce(F.element_at("_by", i), F.get("_old", i), F.lit("")))), "")
+        piece, F.coalesce(F.element_at("_by", i), F.get("_found", i)["mention"], F.lit("")))), "")
     changed = joined.select("_row", F.col("_count").cast("int").alias("_count"),
                             rewritten.alias("_text"))
 
@@ -355,7 +371,7 @@ def replace_entities(docs: DataFrame, key: str = KEY, n_entities: str | None = N
         extra = [count.alias(n_entities)] if n_entities else []
         return frame.select(*columns, *extra)
 
-    return out(rows.filter(~with_any), F.lit(0), False).unionByName(
+    return out(searched.filter(~with_any), F.lit(0), False).unionByName(
         out(changed, F.col("_count"), True))
 
 
