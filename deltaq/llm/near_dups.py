@@ -53,7 +53,7 @@ SECOND = 100 / PERCENT - 1
 #: Ids up to this many (8 bytes each) are broadcast, more are joined by a shuffle.
 BROADCAST_IDS = 200_000
 SEGMENT = 1 << 22
-MAX_WORDS = 600_000     # word hashes a worker remembers
+MAX_WORDS = 100_000     # word hashes a worker remembers
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = 0xD6E8FEB86659FD93

@@ -44,7 +44,7 @@ LEAST_TEXTS = 3         # texts that a feature occurs in
 STEPS = 1500
 RATE = 0.05
 DECAY = 2e-6
-MAX_WORDS = 600_000     # words a worker remembers
+MAX_WORDS = 200_000     # words a task remembers
 LONG = 1 << 22          # characters from which a text is very long
 
 _LETTERS = re.compile(r"[^\W\d_]+")
