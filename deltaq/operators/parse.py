@@ -11,11 +11,10 @@ first failing rule wins, in this order:
     bad_value      a typed field does not convert (B18, quarantine policy); a DELETE is only
                    checked on its key fields, as only the key is used
 
-The first five are structural and decided in one projection by ``parse``; the conversion check
-is made per table by ``typed_rows``, so each table only converts its own fields, once.
-``route`` projects the accepted lines of one table onto typed columns (B7-B10).  Bad lines
-go to ``quarantine`` with their reason instead of a log warning (B17).  Everything is one
-projection per row: no shuffle, no Python.
+``parse`` does all of it in one pass: it splits each line once, converts the fields of the line's
+own table once, and gives every line its verdict.  ``route`` projects the accepted lines of one
+table onto its typed columns (B7-B10).  Bad lines go to ``quarantine`` with their reason instead of
+a log warning (B17).  Everything is one projection per row: no shuffle, no Python.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import strip_line
-from ..schemas import DRIVER, OPS, Layout, TableSpec
+from ..schemas import DRIVER, OPS, Layout
 
 QUARANTINE = "quarantine"
 FAIL = "fail"
@@ -47,20 +46,41 @@ def _once(*cols: Column) -> Column:
     return F.inline(F.array(F.struct(*cols)))
 
 
-def _typed_fields(spec: TableSpec, strict: bool) -> list[Column]:
+def _typed_fields(layout: Layout, valid: Column, strict: bool) -> list[Column]:
+    """The typed columns of every table; null where the line is another table's or invalid."""
     cols = []
-    for i, (name, dtype) in enumerate(spec.columns):
-        f = _field(i)
-        if isinstance(dtype, T.StringType):
-            cols.append(f.alias(name))
-        else:
-            cols.append((f.cast(dtype) if strict else f.try_cast(dtype)).alias(name))
+    for spec in layout.tables:
+        own = valid & (F.col("tbl") == F.lit(spec.name))
+        for i, (name, dtype) in enumerate(spec.columns):
+            f = _field(i)
+            if not isinstance(dtype, T.StringType):
+                f = f.cast(dtype) if strict else f.try_cast(dtype)
+            cols.append(F.when(own, f).alias(name))
     return cols
 
 
-def parse(lines: DataFrame, layout: Layout = DRIVER, value: str = "value") -> DataFrame:
-    """Add ``op``, ``tbl``, ``_parts`` and the structural ``reason`` (rules B1-B6) to each line."""
+def _bad_value(layout: Layout) -> Column:
+    """An INSERT is bad if any typed field fails to convert, a DELETE only if a key does."""
+    bad = F.lit(False)
+    for spec in layout.tables:
+        def any_null(names, spec=spec):
+            out = F.lit(False)
+            for c, t in spec.columns:
+                if c in names and not isinstance(t, T.StringType):
+                    out = out | F.col(c).isNull()
+            return out
+        own = F.when(F.col("op") == F.lit("DELETE"), any_null(spec.key)).otherwise(
+            any_null(spec.names))
+        bad = F.when(F.col("tbl") == F.lit(spec.name), own).otherwise(bad)
+    return bad
+
+
+def parse(lines: DataFrame, layout: Layout = DRIVER, value: str = "value",
+          policy: str = QUARANTINE) -> DataFrame:
+    """Add ``op``, ``tbl``, ``reason`` (null when accepted) and the typed columns of every table to
+    each line.  With policy FAIL a field that does not convert raises instead."""
     parts = F.split(strip_line(value), r"\|", -1)
+    given = lines.columns
     df = lines.select("*", _once(parts.alias("_parts")))
     df = (df.withColumn("op", F.upper(F.try_element_at(F.col("_parts"), F.lit(1))))
           .withColumn("tbl", F.lower(F.when(F.size("_parts") >= 2,
@@ -74,65 +94,32 @@ def parse(lines: DataFrame, layout: Layout = DRIVER, value: str = "value") -> Da
               .when(expected.isNull(), F.lit("unknown_table"))
               .when(F.size("_parts") - 2 != expected, F.lit("bad_arity"))
               .when(~F.col("op").isin(*OPS), F.lit("unknown_op")))
-    return df.withColumn("reason", reason)
-
-
-def with_parts(staged: DataFrame, value: str = "value") -> DataFrame:
-    """Re-attach the split fields to lines already parsed and stored (``tbl``/``reason`` kept,
-    so filters on them still prune the stored partitions)."""
-    return staged.select("*", _once(F.split(strip_line(value), r"\|", -1).alias("_parts")))
-
+    df = df.withColumn("_why", reason)
+    typed = _typed_fields(layout, F.col("_why").isNull(), strict=(policy == FAIL))
+    df = df.select(*[F.col(c) for c in given if c not in ("op", "tbl")], "op", "tbl", "_why",
+                   _once(*typed))
+    why = F.coalesce("_why", F.when(_bad_value(layout), F.lit("bad_value")))
+    return df.withColumn("reason", why).drop("_why")
 
-def typed_rows(parsed: DataFrame, table: str, layout: Layout = DRIVER,
-               policy: str = QUARANTINE, passthrough: tuple[str, ...] = ("seq",)) -> DataFrame:
-    """Structurally valid lines of one table with typed columns and ``_bad``.
 
-    Each field is converted once; ``_bad`` then only looks at the converted values.  An INSERT
-    is bad if any typed field fails to convert, a DELETE only if a key field does.
-    """
-    spec = layout[table]
-    keep = [c for c in passthrough if c in parsed.columns]
-    rows = parsed.filter(F.col("reason").isNull() & (F.col("tbl") == F.lit(table)))
-    typed = rows.select(*keep, "op", _once(*_typed_fields(spec, strict=(policy == FAIL))))
-    if policy == FAIL:
-        return typed.withColumn("_bad", F.lit(False))
-
-    def any_null(cols):
-        out = F.lit(False)
-        for c, t in spec.columns:
-            if c in cols and not isinstance(t, T.StringType):
-                out = out | F.col(c).isNull()
-        return out
-    bad = F.when(F.col("op") == F.lit("DELETE"), any_null(set(spec.key))) \
-        .otherwise(any_null(set(spec.names)))
-    return typed.withColumn("_bad", bad)
-
-
-def route(parsed: DataFrame, table: str, layout: Layout = DRIVER, policy: str = QUARANTINE,
+def route(parsed: DataFrame, table: str, layout: Layout = DRIVER,
           passthrough: tuple[str, ...] = ("seq",)) -> DataFrame:
     """Accepted lines of one table as typed rows ``(seq, op, columns...)``."""
-    return typed_rows(parsed, table, layout, policy, passthrough) \
-        .filter(~F.col("_bad")).drop("_bad")
+    keep = [c for c in passthrough if c in parsed.columns]
+    return (parsed.filter((F.col("tbl") == F.lit(table)) & F.col("reason").isNull())
+            .select(*keep, "op", *layout[table].names))
 
 
-def route_all(parsed: DataFrame, layout: Layout = DRIVER, policy: str = QUARANTINE,
+def route_all(parsed: DataFrame, layout: Layout = DRIVER,
               passthrough: tuple[str, ...] = ("seq",)) -> dict[str, DataFrame]:
-    return {t: route(parsed, t, layout, policy, passthrough) for t in layout.table_names}
+    return {t: route(parsed, t, layout, passthrough) for t in layout.table_names}
 
 
 def verdicts(parsed: DataFrame, layout: Layout = DRIVER,
              keep: tuple[str, ...] = ("seq", "value")) -> DataFrame:
     """Every line once, with ``tbl``, ``op`` and ``reason`` (NULL = accepted)."""
     cols = [c for c in keep if c in parsed.columns]
-    parts = [parsed.filter(F.col("reason").isNotNull()).select(*cols, "tbl", "op", "reason")]
-    for spec in layout.tables:
-        rows = typed_rows(parsed, spec.name, layout, QUARANTINE, passthrough=tuple(cols))
-        parts.append(rows.select(*cols, F.lit(spec.name).alias("tbl"), "op",
-                                 F.when(F.col("_bad"), F.lit("bad_value")).alias("reason")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return parsed.select(*cols, "tbl", "op", "reason")
 
 
 def quarantine(parsed: DataFrame, layout: Layout = DRIVER,

@@ -1,9 +1,10 @@
-"""Bronze table: every changelog line once, parsed, as parquet partitioned by table name.
+"""Bronze table: every changelog line once, typed, as parquet partitioned by table name.
 
-Parsing is done in one pass over the text; afterwards each table is read from its own partition
-(partition pruning), so the three routes and both sides of every replay no longer re-read and
-re-split the whole changelog.  It also cuts the lineage: a lost executor recomputes from the
-written table, not from the text.
+The text is split and converted in one pass; an accepted line is kept as the typed columns of its
+table (those of the other tables are null, which parquet stores for almost nothing), a rejected one
+as its text and reason.  Afterwards each table is read from its own partition, only in the columns a
+query needs, with filters pushed to the scan.  The table also cuts the lineage: a lost executor
+re-reads it.
 """
 
 from __future__ import annotations
@@ -11,15 +12,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BRONZE_COLUMNS = ("seq", "value", "op", "reason")
+from ..schemas import DRIVER, Layout
+from .changelog import SEQ_TYPE
 
 
-def write_bronze(parsed: DataFrame, path: str, mode: str = "overwrite") -> None:
-    keep = [c for c in BRONZE_COLUMNS if c in parsed.columns]
-    (parsed.select(*keep, F.coalesce("tbl", F.lit("")).alias("tbl"))
+def bronze_schema(layout: Layout = DRIVER, seq: str = SEQ_TYPE) -> str:
+    fields = [f"{c} {t.simpleString()}" for spec in layout.tables for c, t in spec.columns]
+    return f"seq {seq}, op string, reason string, value string, " + ", ".join(fields)
+
+
+def write_bronze(parsed: DataFrame, path: str, layout: Layout = DRIVER, mode: str = "overwrite",
+                 ) -> None:
+    columns = [c for spec in layout.tables for c in spec.names]
+    rejected = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
+    (parsed.select("seq", "op", "reason", rejected, *columns,
+                   F.coalesce("tbl", F.lit("")).alias("tbl"))
      .write.mode(mode).partitionBy("tbl").parquet(path))
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.parquet(path)
+def read_bronze(spark: SparkSession, path: str, layout: Layout = DRIVER, seq: str = SEQ_TYPE,
+                batches: list[int] | None = None) -> DataFrame:
+    """The bronze table, or of a stream's table (partitioned by batch ``b``) the given batches:
+    only their folders are listed, and no schema is inferred."""
+    schema = bronze_schema(layout, seq)
+    if batches is None:
+        df = spark.read.schema(f"{schema}, tbl string").parquet(path)
+    elif batches:
+        df = (spark.read.schema(f"{schema}, b int, tbl string").option("basePath", path)
+              .parquet(*[f"{path}/b={b}" for b in batches]))
+    else:
+        df = spark.createDataFrame([], f"{schema}, b int, tbl string")
     return df.withColumn("tbl", F.when(F.col("tbl") != "", F.col("tbl")))

@@ -1,45 +1,79 @@
 """Changelog text source and sink (A1, A5).
 
-A changelog is a directory (or file) of text lines ``OP|table|fields``; the order of lines is the
-order of changes.  No sequence column is stored, so the reader derives one:
+A changelog is a folder of text files of lines ``OP|table|fields``; the order of lines is the order
+of changes.  The reader derives an integer ``seq`` (decimal(38,0)) from
 
-    seq = (file path, block start of the split, position in the task)
+    batch (8 digits)  file number (8)  block start of the split (12)  row in the task (10)
 
-Within a split the position grows with the line; splits of one file are ordered by their start;
-files are ordered by path.  The struct compares in exactly line order without a global sort or
-a pass to count lines, so it costs nothing at scale.  The writer keeps that contract: it
-range-partitions by the change order, so part files sort by path in change order.
+The file number is the first number in the file's name, compared as a number, so ``part-99999``
+comes before ``part-100000``.  Within a split the row number grows with the line, and splits of one
+file are ordered by their start.  One number needs no global sort and no pass to count lines, and
+its maximum is a hash aggregate.  The writer keeps the contract: it range-partitions by the change
+order, so part numbers follow it.
+
+Two orders are offered for streams: ``NAME`` (the batch digits stay 0; a late file takes the place
+its number gives it) and ``ARRIVAL`` (the micro-batch leads; within it, file numbers).  In NAME
+order a file name without a number is an error, in ARRIVAL order it counts as 0.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+NAME = "name"
+ARRIVAL = "arrival"
+SEQ_TYPE = "decimal(38,0)"
+_ROW, _BLOCK, _FILE = 10, 12, 8
+
+
+def file_number(name: Column, order: str = NAME) -> Column:
+    """The first number in a file name."""
+    digits = F.regexp_extract(name, "([0-9]+)", 1)
+    absent = (F.raise_error(F.concat(F.lit("no number in the name of changelog file "), name))
+              .cast("bigint") if order == NAME else F.lit(0).cast("bigint"))
+    return F.when(digits == "", absent).otherwise(digits.cast("bigint"))
+
+
+def line_order(name: Column, block: Column, batch_id: int = 0, order: str = NAME) -> Column:
+    """``seq`` of a line from its file name and block start, as one integer."""
+    def shift(x: Column, digits: int, places: int) -> Column:
+        return (x.cast(f"decimal({digits},0)")
+                * F.lit(Decimal(10) ** places).cast(f"decimal({places + 1},0)"))
 
-def line_order() -> F.Column:
-    return F.struct(F.col("_metadata.file_path").alias("file"),
-                    F.col("_metadata.file_block_start").alias("block"),
-                    F.monotonically_increasing_id().alias("pos"))
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    seq = (shift(file_number(name, order), _FILE, _BLOCK + _ROW).cast(SEQ_TYPE)
+           + (shift(block, _BLOCK, _ROW) + row.cast(f"decimal({_ROW},0)")).cast("decimal(23,0)"))
+    if order == ARRIVAL:
+        lead = Decimal(batch_id) * Decimal(10) ** (_FILE + _BLOCK + _ROW)
+        seq = seq.cast("decimal(31,0)") + F.lit(lead).cast(SEQ_TYPE)
+    return seq.cast(SEQ_TYPE)
 
 
 def read_changelog(spark: SparkSession, path: str) -> DataFrame:
     """A1 (batch): ``(seq, value)`` for every line."""
-    return spark.read.text(path).select(line_order().alias("seq"), "value")
+    return spark.read.text(path).select(
+        line_order(F.col("_metadata.file_name"), F.col("_metadata.file_block_start"))
+        .alias("seq"), "value")
 
 
-def read_changelog_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 1
-                          ) -> DataFrame:
-    """A1 (stream): text lines as they arrive; files are taken oldest first."""
+def read_changelog_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 1,
+                          bytes_per_trigger: str | None = None) -> DataFrame:
+    """A1 (stream): text lines as they arrive; files are taken oldest first.  Bound a micro-batch
+    by ``bytes_per_trigger`` (such as "200g") on a cluster, where files are many."""
     reader = spark.readStream.format("text")
-    if files_per_trigger:
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
+    elif files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.load(path)
 
 
 def write_changelog(changes: DataFrame, path: str, order: str = "seq", line: str = "line",
-                    partitions: int | None = None) -> None:
-    """A5: write ``line`` in ``order`` as text; part files sort by name in change order."""
+                    partitions: int | None = None, mode: str = "overwrite") -> None:
+    """A5: write ``line`` in ``order`` as text; part numbers follow the change order."""
     n = partitions or changes.sparkSession.conf.get("spark.sql.shuffle.partitions")
     (changes.repartitionByRange(int(n), F.col(order)).sortWithinPartitions(order)
-     .select(F.col(line).alias("value")).write.mode("overwrite").text(path))
+     .select(F.col(line).alias("value")).write.mode(mode).text(path))
