@@ -5,24 +5,27 @@ Rule (the reference's SQL replay): an INSERTed row is live iff no DELETE for its
 
 The plan avoids per-key windows, which would put all rows of a hot key into one task:
 
-    deletes --partial/final max(seq) per key--+
-    inserts ------------------------------ left join on key --> keep seq > max delete seq
+    deletes --partial/final max(seq) per key--> table --+
+    inserts ----------------------------------- left join on key --> keep seq > max delete seq
 
-The DELETE side is one row per key after a map-side partial aggregate; AQE broadcasts it when
-its measured size is small and otherwise splits a skewed insert partition (left outer join with
-the skew on the left side is supported by AQE's skew-join handling).
+The last deletes (one row per key after a map-side partial aggregate) are written to the shared
+folder and joined from their scan, so both join sides come straight from a shuffle and AQE can split
+a hot insert key over many tasks; where the deletes are measured small, AQE broadcasts them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..session import work_dir
+
 
 def last_delete(changes: DataFrame, key: Sequence[str], seq: str = "seq",
                 op: str = "op") -> DataFrame:
@@ -30,9 +33,16 @@ def last_delete(changes: DataFrame, key: Sequence[str], seq: str = "seq",
             .agg(F.max(seq).alias("_del_seq")))
 
 
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder (or to ``path``) and read back."""
+    path = path or work_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def live(changes: DataFrame, key: Sequence[str], seq: str = "seq", op: str = "op") -> DataFrame:
     """Live rows (all columns but ``op``) after applying the changes in ``seq`` order."""
-    dels = last_delete(changes, key, seq, op)
+    dels = stored(last_delete(changes, key, seq, op), "last_deletes")
     ins = changes.filter(F.col(op) == F.lit("INSERT")).drop(op)
     joined = ins.join(dels, on=list(key), how="left")
     return (joined.filter(F.col("_del_seq").isNull() | (F.col(seq) > F.col("_del_seq")))
@@ -70,37 +80,42 @@ def delete_effects(changes: DataFrame, key: Sequence[str], seq: str = "seq", op:
     out_schema = T.StructType(in_fields + _EFFECT_FIELDS)
 
     def scan(batches):
-        """Vectorised per Arrow batch: compare each row with the row before it (``shift``);
-        only the last row is carried from one batch to the next."""
+        """Compare each row with the row before it, exactly (no conversion of the keys); the last
+        row of a batch is put before the next one."""
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        carry = None                      # (key values, is_insert) of the previous row
-        for pdf in batches:
-            if pdf.empty:
+        columns = [f.name for f in in_fields]
+        before = None
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            keys = pdf[key].reset_index(drop=True)
-            ins = pdf["_is_ins"].reset_index(drop=True).astype(bool)
-            prev_keys, prev_ins = keys.shift(1), ins.shift(1)
-            if carry is not None:
-                prev_keys.iloc[0] = list(carry[0])
-                prev_ins.iloc[0] = carry[1]
-            same = (keys == prev_keys).all(axis=1)     # NULL keys never compare equal
-            eff = (same & prev_ins.fillna(False).astype(bool)).astype(object)
-            kind = pd.Series("row", index=keys.index)
-            if carry is None:                          # first row of the task: resolved later
-                eff.iloc[0] = None
-                kind.iloc[0] = "head" if not ins.iloc[0] else "row"
-            carry = (tuple(keys.iloc[-1]), bool(ins.iloc[-1]))
-            out = pdf.reset_index(drop=True).assign(_pid=pid, _kind=kind, _ins=ins, _eff=eff)
-            yield out[~out["_is_ins"] | (out["_kind"] == "head")]
-        if carry is not None:
-            tail = {k: [v] for k, v in zip(key, carry[0])}
-            tail.update(_seq=[None], _is_ins=[carry[1]], _pid=[pid], _kind=["tail"],
-                        _ins=[carry[1]], _eff=[None])
-            yield pd.DataFrame(tail)
-
-    scanned = ev.mapInPandas(scan, out_schema)
-    deletes = scanned.filter(F.col("_kind").isin("row", "head") & ~F.col("_is_ins"))
+            rows = pa.Table.from_batches([batch])
+            both = rows if before is None else pa.concat_tables([before, rows])
+            n, skip = both.num_rows, 0 if before is None else 1
+            same = pa.chunked_array([pa.array([True] * (n - 1), pa.bool_())])
+            for k in key:                              # NULL keys never compare equal
+                column = both.column(k)
+                equal = pc.equal(column.slice(1), column.slice(0, n - 1))
+                same = pc.and_(same, pc.fill_null(equal, False))
+            effective = pc.and_(same, both.column("_is_ins").slice(0, n - 1)).combine_chunks()
+            is_ins = rows.column("_is_ins").combine_chunks()
+            kinds = ["row"] * rows.num_rows
+            if not skip:                               # first row of the task: resolved later
+                effective = pa.concat_arrays([pa.array([None], pa.bool_()), effective])
+                kinds[0] = "row" if is_ins[0].as_py() else "head"
+            out = rows.append_column("_pid", pa.array([pid] * rows.num_rows, pa.int32()))
+            out = out.append_column("_kind", pa.array(kinds)).append_column("_ins", is_ins)
+            out = out.append_column("_eff", effective)
+            yield from out.filter(pc.invert(is_ins)).to_batches()
+            before = rows.slice(rows.num_rows - 1).combine_chunks()
+        if before is not None:
+            tail = before.append_column("_pid", pa.array([pid], pa.int32()))
+            tail = tail.append_column("_kind", pa.array(["tail"]))
+            tail = tail.append_column("_ins", before.column("_is_ins"))
+            yield from tail.append_column("_eff", pa.array([None], pa.bool_())).to_batches()
+
+    scanned = ev.mapInArrow(scan, out_schema)
+    deletes = scanned.filter(F.col("_kind").isin("row", "head"))
     tails = scanned.filter(F.col("_kind") == "tail").select(
         F.col("_pid").alias("_t_pid"), *[F.col(k).alias(f"_t_{k}") for k in key],
         F.col("_ins").alias("_t_ins"))

@@ -72,13 +72,85 @@ def test_delete_effects_with_small_arrow_batches(spark):
     assert {r.seq: r.effective for r in got} == expected_effects(rows)
 
 
-def test_compaction_keeps_live_rows_and_one_marker_per_deleted_key(spark):
+def test_compaction_keeps_live_rows_and_one_marker_per_deleted_key(spark, scratch):
     from deltaq.streaming.normalise import compact
     rows = [(1, "INSERT", 5, 1), (2, "DELETE", 5, None), (3, "INSERT", 5, 2),
             (4, "INSERT", 6, 3), (5, "DELETE", 7, None), (6, "DELETE", 7, None),
             (7, "INSERT", None, 4), (8, "DELETE", None, None)]
     df = spark.createDataFrame(rows, "seq bigint, op string, k bigint, v int")
-    out = {(r.seq, r.op, r.k, r.v, r.b) for r in compact(df, ["k"], 9).collect()}
+    out = {(r.seq, r.op, r.k, r.v, r.b) for r in compact(df, ["k"], 9, scratch).collect()}
     assert out == {(3, "INSERT", 5, 2, 9), (4, "INSERT", 6, 3, 9), (7, "INSERT", None, 4, 9),
                    (2, "DELETE", 5, None, 9), (6, "DELETE", 7, None, 9),
                    (8, "DELETE", None, None, 9)}
+
+
+def test_delete_effects_with_keys_that_floats_cannot_hold(spark):
+    big = 2 ** 53
+    rows = [(0, "INSERT", big, 1), (1, "DELETE", big + 1, 1), (2, "DELETE", big, 1)]
+    df = spark.createDataFrame(rows, "seq bigint, op string, k bigint, v int")
+    for n in (1, 4):
+        got = {r.seq: r.effective for r in R.delete_effects(df, ["k"], partitions=n).collect()}
+        assert got == {1: False, 2: True}
+
+
+def skewed(spark, path, n=60_000):
+    """Changes of which a third belong to one key; random payload, so that sizes stand out."""
+    df = spark.range(n).select(
+        F.col("id").alias("seq"), F.when(F.col("id") % 50 == 1, "DELETE").otherwise("INSERT")
+        .alias("op"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"),
+        F.sha2(F.col("id").cast("string"), 512).alias("v"))
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def with_skew_conf(spark, run):
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = run()
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_key_is_split_in_the_replay(spark, scratch):
+    changes_ = skewed(spark, scratch + "/changes")
+    assert "skew=true" in with_skew_conf(spark, lambda: R.live(changes_, ["k"]))
+
+
+def test_a_hot_key_is_split_in_the_normaliser(spark, scratch):
+    from deltaq.streaming.normalise import normalise
+    changes_ = skewed(spark, scratch + "/changes").withColumn("b", F.lit(0))
+    plan = with_skew_conf(spark, lambda: normalise(
+        spark, lambda batches: changes_, 0, scratch + "/log", ["k"]))
+    assert "skew=true" in plan
+
+
+def test_a_hot_order_is_split_in_the_flagship_join(spark, scratch):
+    import datetime as dt
+
+    from deltaq.plans.q3 import q3
+    n = 60_000
+    items = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("l_orderkey"),
+        (F.xxhash64("id") % 1000000 / 100).cast("decimal(12,2)").alias("l_extendedprice"),
+        F.lit("0.10").cast("decimal(12,2)").alias("l_discount"),
+        F.lit(dt.date(1995, 6, 1)).alias("l_shipdate"))
+    orders = spark.range(n).select(
+        F.col("id").alias("o_orderkey"), F.lit(1).cast("bigint").alias("o_custkey"),
+        F.lit(dt.date(1995, 1, 1)).alias("o_orderdate"), F.lit(0).alias("o_shippriority"))
+    cust = spark.createDataFrame([(1, "AUTOMOBILE")], "c_custkey bigint, c_mktsegment string")
+    items.write.parquet(scratch + "/items")
+    items = spark.read.parquet(scratch + "/items")
+    plan = with_skew_conf(spark, lambda: q3(cust, orders, items, broadcast_orders=0))
+    assert "skew=true" in plan
+    plan = with_skew_conf(spark, lambda: q3(cust, orders, items))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
