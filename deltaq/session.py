@@ -7,7 +7,6 @@ when it is unset (tests, a bare local session) do we set one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -23,6 +22,8 @@ LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where an aggregate on the same key follows the join.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Broadcast only what was measured: static plan-time estimates never broadcast; AQE
     # converts a sort-merge join into a broadcast one when a finished stage is under 10 MB.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -36,20 +37,28 @@ LOCAL_CONF = {
 }
 
 
-# SQL settings recommended for a large cluster (all settable at runtime on a session).  Shuffle
-# partitions follow the largest shuffle: about 150 MB per partition before AQE coalesces.
+# SQL settings recommended for batch work on a large cluster (all settable at runtime on a
+# session).  Shuffle partitions follow the largest shuffle: about 150 MB each before AQE coalesces.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.shuffle.partitions": "300000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+# For streaming sessions: every shuffle partition of a stateful operator is a state store, so their
+# number follows the state and the micro-batch, not the whole table, and is fixed by the checkpoint.
+STREAM_CONF = {
+    **CLUSTER_CONF,
+    "spark.sql.shuffle.partitions": "2000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -82,24 +91,41 @@ def _session_checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # Spark Connect: a cluster as far as we can tell
+        return False
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only when none is configured."""
+    """The shared folder of the session.  Only a single-machine session may do without one: there
+    a temporary folder is as shared as any."""
     current = _session_checkpoint_dir(spark)
     if current:
         return current
+    if not _is_local(spark):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="deltaq-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, local)
-    try:
-        spark.sparkContext.setCheckpointDir(local)
-    except Exception:
-        pass
+    spark.sparkContext.setCheckpointDir(local)
     return local
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for one run of one job."""
+def _work_base(spark: SparkSession) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/deltaq/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-    return path
+    return f"{base}/deltaq/{spark.conf.get('spark.app.id', 'app')}"
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """The path of a fresh folder under the shared folder, for one run of one job.  Writers make it
+    on the file system it is on."""
+    return f"{_work_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def retire_work(spark: SparkSession) -> None:
+    """Remove every work folder of this application, once its results are consumed."""
+    from .sources.storage import remove
+
+    remove(spark, _work_base(spark))
