@@ -4,23 +4,30 @@ Two streaming queries and one batch read, all under one work folder in the share
 location:
 
     changes   text dir --readStream.text--> foreachBatch:
-                stamp seq, parse, bronze/b=N (bad lines kept with a reason; the bronze
-                table is also the change log), route per table, normalise (signed net
-                change), signed/<table>/b=N, per-key sums for the join in q3in/<table>/b=N
+                stamp seq, parse, bronze/b=N (typed; bad lines kept with a reason; the bronze
+                table is also the change log), normalise each table (signed net change),
+                signed/<table>/b=N, per-key sums for the join published as q3in/<table>/b=N
     join      q3in customer  sums per key, segment filter   --+
               q3in orders    per order, date filter        --+-- stream-stream inner joins
               q3in lineitem  sums per order, date filter   --+   (customer side salted),
-                w = cw * ow * lw, wrev = lrev * cw * ow         append mode
-                --> delta log (parquet file sink, exactly once via its commit log)
-    snapshot  batch: delta log -> GROUP BY keys: SUM(w * rev), SUM(w); keep SUM(w) > 0
+                w = cw * ow * lw, wrev = lrev * cw * ow,       append mode
+                version = the latest batch that a pair comes from
+                --> delta log (parquet file sink by version, exactly once via its commit log)
+    snapshot  batch: folded delta log + versions since -> GROUP BY keys: SUM(w * rev), SUM(w);
+              keep SUM(w) > 0
 
 A join is linear in each input, so summing weighted pairs over any arrival order gives the join
 of the net tables.  Join state is kept by Spark's state store (RocksDB when configured), one
 entry per input row (per key and batch for items and customers); like the reference, nothing is
 ever evicted (no watermark).
 
+A batch's join input appears in one step: it is written beside its place and renamed, and a batch
+whose input is in place is never written again.  So a retried batch cannot be read twice, whenever
+the join runs and whatever markers the writer leaves.  The watched folders are made before either
+query starts, so the two can start in any order.
+
 ``running`` (D4) is a third streaming query over the delta log, aggregated in update mode: one
-row per changed group per micro-batch.
+row per changed group per micro-batch, with the version that changed it.
 """
 
 from __future__ import annotations
@@ -37,8 +44,9 @@ from ..functions.expressions import ordered_before, revenue, segment_is, shipped
 from ..operators import parse as P
 from ..params import DEFAULT, Q3Params
 from ..schemas import DRIVER, Layout
+from ..sources import storage
 from ..sources.bronze import read_bronze, write_bronze
-from ..sources.changelog import read_changelog_stream
+from ..sources.changelog import NAME, line_order, read_changelog_stream
 from .normalise import BATCH_COL, COMPACT_EVERY, normalise
 
 GROUP = ["l_orderkey", "o_orderdate", "o_shippriority"]
@@ -76,40 +84,39 @@ def q3_input(table: str, signed: DataFrame, params: Q3Params = DEFAULT) -> DataF
             .filter((F.col("lw") != 0) | (F.col("lrev") != 0)))
 
 
-def committed(spark: SparkSession, path: str) -> bool:
-    """True when a completed write job left its ``_SUCCESS`` marker at ``path``."""
-    try:
-        spark.read.text(f"{path}/_SUCCESS")
-        return True
-    except Exception:
-        return False
+TABLES = ("customer", "orders", "lineitem")
+
+
+def prepare(spark: SparkSession, paths: Paths) -> Paths:
+    """Make the folders that streaming queries watch."""
+    for folder in [paths.delta, *[paths.of("q3in", t) for t in TABLES]]:
+        storage.make_dirs(spark, folder)
+    return paths
 
 
 def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
-                    params: Q3Params = DEFAULT, compact_every: int = COMPACT_EVERY):
+                    params: Q3Params = DEFAULT, compact_every: int = COMPACT_EVERY,
+                    order: str = NAME):
     """The foreachBatch body of the changes query."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        lines = batch.select(F.struct(F.col("_file").alias("file"),
-                                      F.col("_block").alias("block"),
-                                      F.monotonically_increasing_id().alias("pos")).alias("seq"),
-                             "value")
+        lines = batch.select(
+            line_order(F.col("_file"), F.col("_block"), batch_id, order).alias("seq"), "value")
         part = f"{BATCH_COL}={batch_id}"
-        write_bronze(P.parse(lines, layout), paths.of("bronze", part))
-        # The bronze table is the change log: every batch, partitioned by batch and table.
-        history = P.with_parts(read_bronze(spark, paths.of("bronze")))
+        write_bronze(P.parse(lines, layout), paths.of("bronze", part), layout)
 
         def one(spec) -> None:
-            changes = P.route(history, spec.name, layout, passthrough=("seq", BATCH_COL))
-            signed = normalise(spark, changes, batch_id, paths.of("log", spec.name), spec.key,
+            # The bronze table is the change log: of it, only the batches asked for are read.
+            def read(batches: list[int]) -> DataFrame:
+                return P.route(read_bronze(spark, paths.of("bronze"), layout, batches=batches),
+                               spec.name, layout, passthrough=("seq", BATCH_COL))
+
+            signed = normalise(spark, read, batch_id, paths.of("log", spec.name), spec.key,
                                every=compact_every)
             out = paths.of("signed", spec.name, part)
             signed.withColumn("w", F.col("w").cast("bigint")).write.mode("overwrite").parquet(out)
-            # The join query may be reading q3in while this runs: once a batch's input is
-            # committed it is never rewritten, so a retried batch cannot be counted twice.
-            q3in = paths.of("q3in", spec.name, part)
-            if not committed(spark, q3in):
-                (q3_input(spec.name, spark.read.parquet(out), params).write.mode("overwrite")
-                 .parquet(q3in))
+            storage.publish(q3_input(spec.name, spark.read.parquet(out), params),
+                            paths.of("q3in_staging", spec.name, part),
+                            paths.of("q3in", spec.name, part))
         # The tables are independent: submit their jobs side by side.
         with ThreadPoolExecutor(max_workers=len(layout.tables)) as pool:
             for f in [pool.submit(one, spec) for spec in layout.tables]:
@@ -121,12 +128,13 @@ def start_changes(spark: SparkSession, changelog_dir: str, paths: Paths,
                   layout: Layout = DRIVER, files_per_trigger: int | None = 1,
                   available_now: bool = True, processing_time: str | None = None,
                   params: Q3Params = DEFAULT, wrap=None,
-                  compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+                  compact_every: int = COMPACT_EVERY, order: str = NAME,
+                  bytes_per_trigger: str | None = None) -> StreamingQuery:
     """Start the changes query; ``wrap`` may decorate the batch function (tests use it)."""
-    src = read_changelog_stream(spark, changelog_dir, files_per_trigger).select(
-        "value", F.col("_metadata.file_path").alias("_file"),
+    src = read_changelog_stream(spark, changelog_dir, files_per_trigger, bytes_per_trigger).select(
+        "value", F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"))
-    fn = process_changes(spark, paths, layout, params, compact_every)
+    fn = process_changes(spark, prepare(spark, paths), layout, params, compact_every, order)
     w = (src.writeStream.foreachBatch(wrap(fn) if wrap else fn)
          .option("checkpointLocation", paths.of("checkpoints", "changes")))
     w = w.trigger(availableNow=True) if available_now else \
@@ -150,13 +158,29 @@ Q3IN_SCHEMA = {
 
 def q3_stream(spark: SparkSession, paths: Paths, table: str) -> DataFrame:
     schema = T.StructType(Q3IN_SCHEMA[table].fields + [T.StructField(BATCH_COL, T.IntegerType())])
-    return spark.readStream.schema(schema).parquet(paths.of("q3in", table)).drop(BATCH_COL)
+    return spark.readStream.schema(schema).parquet(paths.of("q3in", table)).withColumnRenamed(
+        BATCH_COL, f"_b_{table}")
 
 
-# Salts of the customer join: a customer's orders are spread over this many join partitions.
+# Salts of the customer join: a customer's orders are spread over this many join partitions.  A
+# parameter of the join query, kept with its checkpoint: state written with one number cannot be
+# read with another.
 CUSTOMER_SALTS = 16
 
 
+def join_salts(spark: SparkSession, paths: Paths, salts: int | None = None) -> int:
+    """The number of salts this join runs with: the stored one, or ``salts`` on its first start."""
+    place = paths.of("checkpoints", "join_salts")
+    if storage.exists(spark, place):
+        stored_salts = int(spark.read.text(place).first()["value"])
+        if salts is not None and salts != stored_salts:
+            raise ValueError(f"the join was started with {stored_salts} salts, not {salts}")
+        return stored_salts
+    salts = salts or CUSTOMER_SALTS
+    spark.createDataFrame([(str(salts),)], "value string").coalesce(1).write.text(place)
+    return salts
+
+
 def salted_orders_join(spark: SparkSession, paths: Paths, salts: int = CUSTOMER_SALTS
                        ) -> DataFrame:
     """Order changes x customer sums on (custkey, salt); see ``joined_items``."""
@@ -183,64 +207,109 @@ def joined_items(spark: SparkSession, paths: Paths, salts: int = CUSTOMER_SALTS)
     j = items.join(co, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     cw_ow = F.col("cw") * F.col("ow")
     return j.select("l_orderkey", "o_orderdate", "o_shippriority",
-                    (F.col("lw") * cw_ow).alias("w"), (F.col("lrev") * cw_ow).alias("wrev"))
+                    (F.col("lw") * cw_ow).alias("w"), (F.col("lrev") * cw_ow).alias("wrev"),
+                    F.greatest(*[f"_b_{t}" for t in TABLES]).alias("version"))
 
 
 def start_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
-               processing_time: str | None = None) -> StreamingQuery:
+               processing_time: str | None = None, by: str | None = None) -> StreamingQuery:
     w = (df.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint))
+    w = w.partitionBy(by) if by else w
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=processing_time or "10 seconds")
     return w.start(path)
 
 
-def start_join(spark: SparkSession, paths: Paths, **trigger) -> StreamingQuery:
-    return start_sink(joined_items(spark, paths), paths.delta,
-                      paths.of("checkpoints", "join"), **trigger)
+def start_join(spark: SparkSession, paths: Paths, salts: int | None = None, **trigger,
+               ) -> StreamingQuery:
+    prepare(spark, paths)
+    return start_sink(joined_items(spark, paths, join_salts(spark, paths, salts)), paths.delta,
+                      paths.of("checkpoints", "join"), by="version", **trigger)
+
+
+DELTA_SCHEMA = T.StructType([
+    T.StructField("l_orderkey", T.LongType()), T.StructField("o_orderdate", T.DateType()),
+    T.StructField("o_shippriority", T.IntegerType()), T.StructField("w", T.LongType()),
+    T.StructField("wrev", T.DecimalType(38, 4)), T.StructField("version", T.IntegerType())])
+
+
+def _sums(delta: DataFrame) -> DataFrame:
+    return delta.groupBy(*GROUP).agg(F.sum("wrev").cast(WREV).alias("wrev"), F.sum("w").alias("w"))
+
+
+def last_fold(spark: SparkSession, delta_path: str) -> int:
+    done = [int(n[5:]) for n in storage.children(spark, f"{delta_path}_folds")
+            if n.startswith("upto=")]
+    return max(done, default=-1)
+
+
+def delta_rows(spark: SparkSession, delta_path: str) -> DataFrame:
+    """Weighted pairs per group: the last fold plus the versions after it."""
+    upto = last_fold(spark, delta_path)
+    log = spark.read.schema(DELTA_SCHEMA).parquet(delta_path).filter(F.col("version") > upto)
+    log = log.select(*GROUP, "w", "wrev")
+    if upto < 0:
+        return log
+    return spark.read.parquet(f"{delta_path}_folds/upto={upto}").select(
+        *GROUP, "w", "wrev").unionByName(log)
+
+
+def fold_delta(spark: SparkSession, delta_path: str, upto: int) -> None:
+    """Fold the versions up to ``upto``, which the join must have drained, into one row per group,
+    so that a snapshot reads the live groups and the versions since, not the whole history.  A
+    version only ever gets rows from its own batch on, so the fold stays right."""
+    if upto <= last_fold(spark, delta_path):
+        return
+    since = last_fold(spark, delta_path)
+    rows = spark.read.schema(DELTA_SCHEMA).parquet(delta_path).filter(
+        (F.col("version") > since) & (F.col("version") <= upto)).select(*GROUP, "w", "wrev")
+    if since >= 0:
+        rows = rows.unionByName(spark.read.parquet(f"{delta_path}_folds/upto={since}"))
+    sums = _sums(rows).filter((F.col("w") != 0) | (F.col("wrev") != 0))
+    storage.publish(sums, f"{delta_path}_folding/upto={upto}", f"{delta_path}_folds/upto={upto}")
 
 
 def snapshot(spark: SparkSession, delta_path: str) -> DataFrame:
     """C8 + D3 + D5 + D7 + D8: current result from the delta log."""
-    agg = spark.read.parquet(delta_path).groupBy(*GROUP).agg(
-        F.sum("wrev").alias("_rev"), F.sum("w").alias("_n"))
-    return agg.filter(F.col("_n") > 0).select(*GROUP, to_revenue(F.col("_rev")).alias("revenue"))
+    return _sums(delta_rows(spark, delta_path)).filter(F.col("w") > 0).select(
+        *GROUP, to_revenue(F.col("wrev")).alias("revenue"))
 
 
 def running_revenue(spark: SparkSession, delta_path: str) -> DataFrame:
-    """D4 (streaming): running total and live count per group, to be written in update mode."""
-    schema = spark.read.parquet(delta_path).schema
-    return (spark.readStream.schema(schema).parquet(delta_path).groupBy(*GROUP)
-            .agg(to_revenue(F.sum("wrev")).alias("revenue"), F.sum("w").alias("live")))
+    """D4 (streaming): running total, live count and latest version per group, for update mode."""
+    return (spark.readStream.schema(DELTA_SCHEMA).parquet(delta_path).groupBy(*GROUP)
+            .agg(to_revenue(F.sum("wrev")).alias("revenue"), F.sum("w").alias("live"),
+                 F.max("version").alias("version")))
+
+
+def drained(query: StreamingQuery) -> None:
+    """Wait for an available-now query; raise what stopped it."""
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
 
 
 def run_changes(spark: SparkSession, changelog_dir: str, paths: Paths, layout: Layout = DRIVER,
                 files_per_trigger: int | None = 1, params: Q3Params = DEFAULT,
-                compact_every: int = COMPACT_EVERY) -> None:
-    q = start_changes(spark, changelog_dir, paths, layout, files_per_trigger, params=params,
-                      compact_every=compact_every)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+                compact_every: int = COMPACT_EVERY, order: str = NAME) -> None:
+    drained(start_changes(spark, changelog_dir, paths, layout, files_per_trigger, params=params,
+                          compact_every=compact_every, order=order))
 
 
 def run_q3(spark: SparkSession, changelog_dir: str, paths: Paths, params: Q3Params = DEFAULT,
-           layout: Layout = DRIVER, files_per_trigger: int | None = 1) -> DataFrame:
+           layout: Layout = DRIVER, files_per_trigger: int | None = 1, order: str = NAME,
+           ) -> DataFrame:
     """Drain the changelog through both streaming queries, then return the snapshot."""
-    run_changes(spark, changelog_dir, paths, layout, files_per_trigger, params)
-    q = start_join(spark, paths)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    run_changes(spark, changelog_dir, paths, layout, files_per_trigger, params, order=order)
+    drained(start_join(spark, paths))
     return snapshot(spark, paths.delta)
 
 
 def audit(spark: SparkSession, paths: Paths, layout: Layout = DRIVER) -> DataFrame:
     """D10 for the stream: lines per (table, operation, status) over every processed batch.
 
-    The bronze table keeps every line with its structural verdict, so the audit is one
-    aggregate over it (conversion failures are re-derived per table), not a per-batch job."""
-    staged = P.with_parts(read_bronze(spark, paths.of("bronze")))
-    lines = P.verdicts(staged, layout, keep=())
+    The bronze table keeps every line with its verdict, so the audit is one aggregate over it."""
+    lines = read_bronze(spark, paths.of("bronze"), layout)
     return (lines.groupBy("tbl", "op", F.coalesce("reason", F.lit("accepted")).alias("status"))
             .agg(F.count(F.lit(1)).alias("n")))

@@ -4,34 +4,40 @@ Raw INSERT/DELETE changes cannot be summed directly: a DELETE removes every live
 (or nothing), and a change may arrive in a later batch than a change with a larger ``seq``.  For
 micro-batch ``N`` of one table:
 
-    changes      =  the typed changes of every batch, with their batch id b (the bronze table)
-    keys         =  distinct delete keys of batch N
+    keys         =  delete keys of batch N
     after        =  live rows (replay rule) over changes b <= N, for those keys
     before       =  live rows over changes b <  N, for those keys
     signed       =  after (w=+1) minus before (w=-1), rows with w != 0
 
 Both replays are fused: one aggregate gives each touched key its last DELETE seq over b <= N
 and over b < N; one left join gives every INSERT row of those keys ``w = live now - live
-before`` (in -1, 0, +1).  Rows of untouched keys are never read past the semi join; repeated
-rows each carry their own weight; a late change re-applies the rule to its key, so the sum of
-all signed batches always equals the batch replay.  Everything is DataFrame work (semi join,
-aggregate, left join); no Python per key.
-
-The log is compacted every ``COMPACT_EVERY`` batches, so a batch reads the live rows plus one
-marker per deleted key plus at most that many raw batches, not the whole history.
+before`` (in -1, 0, +1).  Repeated rows each carry their own weight; a late change re-applies the
+rule to its key, so the sum of all signed batches always equals the batch replay.  Everything is
+DataFrame work; no Python per key.
+
+What a batch reads follows the batch, not the history.  The changes before the last compaction are
+kept as live rows plus one marker per deleted key, in ``BUCKETS`` folders by a hash of the key, and
+only the folders that the batch's keys fall into are read; the batches since then (at most
+``COMPACT_EVERY``) are read as they are.  The rows of the touched keys are written once per batch;
+the last deletes are another small table, so the join that gives the weights has a shuffle on both
+sides and AQE splits a hot key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.replay import stored
+from ..sources import storage
 
 BATCH_COL = "b"
 # Compact the change log after every this many batches (see ``compact``).
 COMPACT_EVERY = 8
+# Folders of the compacted log; a parameter of the log, fixed once it is written.
+BUCKETS = 64
 
 
 def last_compaction(batch_id: int, every: int) -> int:
@@ -42,26 +48,24 @@ def last_compaction(batch_id: int, every: int) -> int:
     return every * (batch_id // every) - 1
 
 
-def log_rows(spark: SparkSession, changes: DataFrame, log_path: str, batch_id: int,
-             every: int) -> DataFrame:
-    """The changes as of ``batch_id``: the latest compaction plus the batches after it."""
-    upto = last_compaction(batch_id, every)
-    raw = changes.filter((F.col(BATCH_COL) > F.lit(upto)) & (F.col(BATCH_COL) <= F.lit(batch_id)))
-    if upto < 0:
-        return raw
-    base = spark.read.parquet(f"{log_path}/compact/upto={upto}")
-    return base.unionByName(raw, allowMissingColumns=True)
+def bucket_of(key: Sequence[str], buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)).cast("int")
+
 
+def _step(df: DataFrame, log_path: str, name: str) -> DataFrame:
+    """A table that lives for one batch: the next one's takes its place."""
+    return stored(df, name, f"{log_path}/steps/{name}")
 
-def compact(rows: DataFrame, key: Sequence[str], upto: int, seq: str = "seq",
+
+def compact(rows: DataFrame, key: Sequence[str], upto: int, log_path: str, seq: str = "seq",
             op: str = "op") -> DataFrame:
     """Exact compaction: live INSERT rows, plus one DELETE marker per key with its last delete.
 
     An INSERT older than a DELETE of its key is dead for good (the last delete only grows), so
     dropping it changes no later answer; the marker keeps the last delete seq for late rows."""
     key = list(key)
-    dels = (rows.filter(F.col(op) == F.lit("DELETE")).groupBy(*key)
-            .agg(F.max(seq).alias("_d")))
+    dels = _step(rows.filter(F.col(op) == F.lit("DELETE")).groupBy(*key)
+                 .agg(F.max(seq).alias("_d")), log_path, "compact_deletes")
     live = (rows.filter(F.col(op) == F.lit("INSERT")).join(dels, on=key, how="left")
             .filter(F.col("_d").isNull() | (F.col(seq) > F.col("_d"))).drop("_d"))
     markers = dels.select(*key, F.col("_d").alias(seq), F.lit("DELETE").alias(op))
@@ -69,33 +73,61 @@ def compact(rows: DataFrame, key: Sequence[str], upto: int, seq: str = "seq",
     return out.withColumn(BATCH_COL, F.lit(upto).cast("int"))
 
 
-def normalise(spark: SparkSession, changes: DataFrame, batch_id: int, log_path: str,
-              key: Sequence[str], seq: str = "seq", op: str = "op",
+def fold(spark: SparkSession, read: Callable[[list[int]], DataFrame], log_path: str, upto: int,
+         key: Sequence[str], every: int, seq: str = "seq", op: str = "op") -> None:
+    """Write the compaction of batches 0..``upto``; what it replaces is removed one round later,
+    so that a retried batch still finds what it read."""
+    since = last_compaction(upto, every)
+    rows = read(list(range(since + 1, upto + 1))).drop(BATCH_COL)
+    if since >= 0:
+        base = _compacted(spark, log_path, since).drop("kb", BATCH_COL)
+        rows = base.unionByName(rows, allowMissingColumns=True)
+    (compact(rows, key, upto, log_path, seq, op).withColumn("kb", bucket_of(key))
+     .write.mode("overwrite").partitionBy("kb").parquet(f"{log_path}/compact/upto={upto}"))
+    for name in storage.children(spark, f"{log_path}/compact"):
+        if name.startswith("upto=") and int(name[5:]) < since:
+            storage.remove(spark, f"{log_path}/compact/{name}")
+
+
+def _compacted(spark: SparkSession, log_path: str, upto: int) -> DataFrame:
+    return spark.read.parquet(f"{log_path}/compact/upto={upto}")
+
+
+def normalise(spark: SparkSession, read: Callable[[list[int]], DataFrame], batch_id: int,
+              log_path: str, key: Sequence[str], seq: str = "seq", op: str = "op",
               every: int = COMPACT_EVERY) -> DataFrame:
     """Signed net change caused by batch ``batch_id``.
 
-    ``changes`` holds the typed changes of every batch with their batch id in column ``b`` (in
-    the streaming job: the bronze table, routed; it is only read from the last compaction on).
-    ``log_path`` keeps the compactions of this table."""
+    ``read`` gives the typed changes of the batches asked for, with their batch id in column ``b``
+    (in the streaming job: the bronze table, routed).  ``log_path`` keeps this table's
+    compactions."""
     key = list(key)
-    log = log_rows(spark, changes, log_path, batch_id, every)
+    since = last_compaction(batch_id, every)
     if (batch_id + 1) % every == 0:
         # fold this batch too; the next batch reads the result instead of the raw history
-        folded = compact(log.drop(BATCH_COL), key, batch_id, seq, op)
-        folded.write.mode("overwrite").parquet(f"{log_path}/compact/upto={batch_id}")
-    # No distinct: a semi join ignores repeated keys, and skipping it saves a shuffle.
-    keys = log.filter(F.col(BATCH_COL) == F.lit(batch_id)).select(
-        *[F.col(k).alias(f"_k_{k}") for k in key])
+        fold(spark, read, log_path, batch_id, key, every, seq, op)
+    recent = read(list(range(since + 1, batch_id + 1)))
+    keys = _step(recent.filter(F.col(BATCH_COL) == F.lit(batch_id)).select(
+        *[F.col(k).alias(f"_k_{k}") for k in key]).distinct(), log_path, "touched_keys")
+    log = recent
+    if since >= 0:
+        # At most BUCKETS numbers: the folders that hold a touched key.
+        asked = keys.select(bucket_of([f"_k_{k}" for k in key]).alias("kb")).distinct()
+        wanted = sorted(r.kb for r in asked.collect())
+        base = _compacted(spark, log_path, since)
+        log = base.filter(F.col("kb").isin(wanted)).drop("kb").unionByName(
+            recent, allowMissingColumns=True)
     match = None
     for k in key:
         cond = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
         match = cond if match is None else match & cond
-    touched = log.join(keys, match, "left_semi")
+    touched = _step(log.join(keys, match, "left_semi"), log_path, "touched_rows")
     # Last delete per touched key, with and without this batch: one partial/final aggregate.
     earlier = F.col(BATCH_COL) < F.lit(batch_id)
-    dels = (touched.filter(F.col(op) == F.lit("DELETE")).groupBy(*key)
-            .agg(F.max(seq).alias("_d_now"),
-                 F.max(F.when(earlier, F.col(seq))).alias("_d_before")))
+    dels = _step(touched.filter(F.col(op) == F.lit("DELETE")).groupBy(*key)
+                 .agg(F.max(seq).alias("_d_now"),
+                      F.max(F.when(earlier, F.col(seq))).alias("_d_before")),
+                 log_path, "touched_deletes")
     ins = touched.filter(F.col(op) == F.lit("INSERT"))
     rows = ins.join(dels, on=key, how="left")   # NULL keys never match a delete, as in SQL
     live_now = F.col("_d_now").isNull() | (F.col(seq) > F.col("_d_now"))

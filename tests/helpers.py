@@ -56,8 +56,11 @@ def normalised_result(spark, lines, cuts, scratch, every=8):
             batch_of = F.when((F.col("seq") >= bounds[b]) & (F.col("seq") < bounds[b + 1]),
                               F.lit(b)).otherwise(batch_of)
         changes = df.withColumn("b", batch_of)
+
+        def read(batches, changes=changes):
+            return changes.filter(F.col("b").isin(batches))
         for b in range(len(bounds) - 1):
-            out = normalise(spark, changes, b, os.path.join(scratch, "log", t), REFERENCE[t].key,
+            out = normalise(spark, read, b, os.path.join(scratch, "log", t), REFERENCE[t].key,
                             every=every)
             path = os.path.join(scratch, "signed", t, f"b={b}")
             out.write.mode("overwrite").parquet(path)

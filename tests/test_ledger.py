@@ -90,8 +90,11 @@ def test_late_delete_arriving_in_an_earlier_batch(spark, scratch):
     for t, df in r.items():
         changes = df.withColumn("b", F.when(F.col("seq").isin(order_of_arrival[0]), 0)
                                 .otherwise(1))
+
+        def read(batches, changes=changes):
+            return changes.filter(F.col("b").isin(batches))
         for b in order_of_arrival:
-            out = normalise(spark, changes, b, os.path.join(scratch, "log", t),
+            out = normalise(spark, read, b, os.path.join(scratch, "log", t),
                             REFERENCE[t].key, every=1)
             out.write.mode("overwrite").parquet(os.path.join(scratch, "signed", t, f"b={b}"))
         signed[t] = spark.read.parquet(os.path.join(scratch, "signed", t))
