@@ -38,7 +38,7 @@ ROUND_RULES: Mapping[str, Sequence[str]] = {
 # seq of a round change: round in the high bits, 40 bits of md5 of the line below.
 ROUND_SHIFT = 1 << 40
 ROUND_HASH_DIGITS = 10
-# Fixed value: how many lines the shuffled changelog turns into DELETEs.
+# Fixed value: how many lines the shuffled changelog turns into DELETEs, unless a share is given.
 FLIP_COUNT = 1000
 
 
@@ -74,14 +74,20 @@ def flip_rank(line: Column) -> Column:
     return hash_rank(F.concat(F.lit("flip|"), line))
 
 
-def flip_deletes(changes: DataFrame, n: int = FLIP_COUNT) -> DataFrame:
-    """turn the ``n`` lines of smallest flip rank from INSERT into DELETE.
+def flip_deletes(changes: DataFrame, n: int = FLIP_COUNT, share: float | None = None,
+                 ) -> DataFrame:
+    """turn the ``n`` lines of smallest flip rank from INSERT into DELETE, or about a given
+    ``share`` of all lines, which grows with the changelog.
 
-    The threshold is a scalar subquery over a top-``n`` (TakeOrderedAndProject keeps n rows per
-    task), so no row leaves its partition and no join is needed.  Only the op field changes.
+    The threshold for ``n`` is a scalar subquery over a top-``n`` (TakeOrderedAndProject keeps n
+    rows per task), for a share a constant; so no row leaves its partition and no join is needed.
+    Only the op field changes.
     """
     ranked = changes.withColumn("_flip", flip_rank(F.col("line")))
-    threshold = ranked.select("_flip").orderBy("_flip").limit(n).agg(F.max("_flip")).scalar()
+    if share is None:
+        threshold = ranked.select("_flip").orderBy("_flip").limit(n).agg(F.max("_flip")).scalar()
+    else:
+        threshold = F.lit(int(share * (1 << 60)) - 1)
     flip = F.col("_flip") <= threshold
     new_line = F.when(flip, F.concat(F.lit("DELETE"), F.expr("substring(line, 7)"))) \
         .otherwise(F.col("line"))

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expressions import ordered_before, revenue, segment_is, shipped_after
+from ..functions.expressions import (
+    hash_rank, ordered_before, revenue, segment_is, shipped_after)
 from ..operators import parse as P
 from ..operators import replay as R
 from ..operators import synth as S
@@ -73,16 +74,20 @@ def q3_sql_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- typed tables, predicates, revenue, plain joins ---------------------------------------------
 
-@register("typed_tables", O.with_typed("""
-SELECT 'customer' AS tbl, count(*) AS n, CAST(sum(c_acctbal) AS DECIMAL(18,2)) AS money FROM tc
-UNION ALL SELECT 'orders', count(*), CAST(sum(o_totalprice) AS DECIMAL(18,2)) FROM tor
-UNION ALL SELECT 'lineitem', count(*), CAST(sum(l_extendedprice) AS DECIMAL(18,2)) FROM tl"""))
+@register("typed_tables", O.with_typed(" UNION ALL ".join(
+    f"SELECT '{t}' AS tbl, count(*) AS n, "
+    f"CAST(sum({O.md5_bits(O.fields_sql(t), 10)}) AS DECIMAL(38,0)) AS checksum, "
+    f"CAST(sum({m}) AS DECIMAL(18,2)) AS money FROM {src}"
+    for (t, src), m in zip(O.SRC.items(), ("c_acctbal", "o_totalprice", "l_extendedprice")))))
 def typed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: every typed column of every table, as an order-free checksum of all rows."""
     money = {"customer": "c_acctbal", "orders": "o_totalprice", "lineitem": "l_extendedprice"}
     t = load_tables(spark, sf_dir)
-    return _union([t[n].agg(F.lit(n).alias("tbl"), F.count(F.lit(1)).alias("n"),
-                            F.sum(m).cast("decimal(18,2)").alias("money"))
-                   for n, m in money.items()])
+    return _union([t[n].agg(
+        F.lit(n).alias("tbl"), F.count(F.lit(1)).alias("n"),
+        F.sum(hash_rank(S.fields_text(t[n], n), 10).cast("decimal(38,0)"))
+        .cast("decimal(38,0)").alias("checksum"),
+        F.sum(m).cast("decimal(18,2)").alias("money")) for n, m in money.items()])
 
 
 @register("filter_segment", O.with_typed(
@@ -135,10 +140,19 @@ def synth_changelog_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.shuffled(load_tables(spark, sf_dir))
 
 
-@register("synth_flip_deletes",
-          f"WITH {O.TYPED_CTES.strip()},\n{O.shuffled_ctes()}\nSELECT seq, tbl, line FROM sh")
+@register("synth_flip_deletes", f"""WITH {O.TYPED_CTES.strip()},
+{O.shuffled_ctes()}
+SELECT tbl, split_part(line, '|', 1) AS op, count(*) AS n,
+  CAST(sum({O.md5_bits("line", 10)}) AS DECIMAL(38,0)) AS lines,
+  CAST(sum(seq) AS DECIMAL(38,0)) AS places FROM sh GROUP BY ALL""")
 def synth_flip_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.flipped(spark, sf_dir)
+    """lines per table and operation, with order-free checksums of all lines and places."""
+    flipped = C.flipped(spark, sf_dir)
+    return flipped.groupBy("tbl", F.split_part("line", F.lit("|"), F.lit(1)).alias("op")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(hash_rank(F.col("line"), 10).cast("decimal(38,0)")).cast("decimal(38,0)")
+        .alias("lines"),
+        F.sum(F.col("seq").cast("decimal(38,0)")).cast("decimal(38,0)").alias("places"))
 
 
 # --- text changelog, validation, routing --------------------------------------------------------
@@ -173,14 +187,16 @@ def changelog_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def _routes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _routes(spark: SparkSession, sf_dir: str, tables: list[str] | None = None,
+            ) -> dict[str, DataFrame]:
     """Rounds changelog, parsed once into a bronze table, routed per table from its partition."""
-    return C.routed(C.staged(spark, C.parsed_lines(C.rounds(spark, sf_dir)), "bronze"))
+    return C.routed(C.staged(spark, C.parsed_lines(C.rounds(spark, sf_dir)), "bronze",
+                             tables=tables))
 
 
 for _t in ("customer", "orders", "lineitem"):
     def _route(spark: SparkSession, sf_dir: str, _t=_t) -> DataFrame:
-        return _routes(spark, sf_dir)[_t]
+        return _routes(spark, sf_dir, [_t])[_t]
     register(f"route_{_t}", O.with_rounds(
         f"SELECT seq, op, {', '.join(DRIVER[_t].names)} FROM rc_{_t}"))(_route)
 
@@ -194,7 +210,7 @@ def signed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 for _t in ("customer", "orders", "lineitem"):
     def _replay(spark: SparkSession, sf_dir: str, _t=_t) -> DataFrame:
-        return C.replayed(_routes(spark, sf_dir))[_t]
+        return C.replayed({_t: _routes(spark, sf_dir, [_t])[_t]})[_t]
     _extra = ", CAST(0 AS INTEGER) AS o_shippriority" if _t == "orders" else ""
     register(f"replay_{_t}", O.with_rounds(f"SELECT *{_extra} FROM live_{_t}", live=True))(_replay)
 
@@ -261,7 +277,7 @@ _CLOSED_Q3 = O.with_rounds(O.q3_over("cf_customer", "cf_orders", "cf_lineitem"),
 register("stream_q3", _CLOSED_Q3)(INC.stream_q3)
 register("incremental_revenue", _CLOSED_Q3)(INC.incremental_revenue)
 register("latest_per_key", _CLOSED_Q3)(INC.latest_per_key)
-register("stream_running_revenue")(INC.running_updates)
+register("stream_running_revenue", O.RUNNING)(INC.running_updates)
 register("drop_dead_groups", O.with_rounds(
     "SELECT l_orderkey, o_orderdate, o_shippriority FROM (" + O.q3_over("tc", "tor", "tl")
     + ") EXCEPT SELECT l_orderkey, o_orderdate, o_shippriority FROM ("
@@ -288,12 +304,17 @@ from ..session import work_dir  # noqa: E402
 from ..sources import files as FS  # noqa: E402
 
 
-@register("tbl_roundtrip", O.with_typed("SELECT * FROM tl"))
+@register("tbl_roundtrip", O.with_typed(" UNION ALL ".join(
+    f"SELECT '{t}' AS tbl, {O.fields_sql(t)} AS fields FROM {src}" for t, src in O.SRC.items())))
 def tbl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3 then A2: line items exported as ``|``-separated text and scanned back typed."""
-    path = work_dir(spark, "tbl")
-    FS.write_tbl(load_table(spark, sf_dir, "lineitem"), path)
-    return FS.read_tbl(spark, path, "lineitem")
+    """A3 then A2: every table exported as ``|``-separated text and scanned back typed."""
+    parts = []
+    for t, df in load_tables(spark, sf_dir).items():
+        path = work_dir(spark, "tbl")
+        FS.write_tbl(df, path)
+        back = FS.read_tbl(spark, path, t)
+        parts.append(back.select(F.lit(t).alias("tbl"), S.fields_text(back, t).alias("fields")))
+    return _union(parts)
 
 
 @register("result_csv_roundtrip", O.Q3_BATCH)

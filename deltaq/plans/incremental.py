@@ -11,52 +11,47 @@ from ..operators import parse as P
 from ..params import DEFAULT, Q3Params
 from ..schemas import DRIVER
 from ..session import work_dir
-from ..sources.changelog import write_changelog
+from ..operators.synth import ROUND_OPS
+from ..sources import storage
+from ..sources.changelog import ARRIVAL, write_changelog
 from ..streaming import incremental as I
 from ..streaming.normalise import normalise
 from . import changes as C
 
-FILES_PER_TRIGGER = 2
 # Compact every second batch in the registered runs, so the compaction is always exercised.
 COMPACT_EVERY = 2
-_RUNS: dict[tuple[str, str, str], I.Paths] = {}
-
-
-def _app(spark: SparkSession) -> str:
-    return spark.conf.get("spark.app.id", "app")
-
-
-def changelog_dir(spark: SparkSession, sf_dir: str) -> str:
-    """The rounds changelog of ``sf_dir`` written as text once per session."""
-    memo = (_app(spark), sf_dir, "text")
-    if memo not in _RUNS:
-        p = I.Paths(work_dir(spark, "rounds_text"))
-        write_changelog(C.rounds(spark, sf_dir), p.work)
-        _RUNS[memo] = p
-    return _RUNS[memo].work
-
-
-def changes_run(spark: SparkSession, sf_dir: str) -> I.Paths:
-    """Run the streaming changes query over the rounds changelog (once per session)."""
-    memo = (_app(spark), sf_dir, "changes")
-    if memo not in _RUNS:
-        paths = I.Paths(work_dir(spark, "stream"))
-        I.run_changes(spark, changelog_dir(spark, sf_dir), paths, DRIVER, FILES_PER_TRIGGER,
-                      compact_every=COMPACT_EVERY)
-        _RUNS[memo] = paths
-    return _RUNS[memo]
-
-
-def q3_run(spark: SparkSession, sf_dir: str) -> I.Paths:
-    memo = (_app(spark), sf_dir, "q3")
-    if memo not in _RUNS:
-        paths = changes_run(spark, sf_dir)
-        q = I.start_join(spark, paths)
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
-        _RUNS[memo] = paths
-    return _RUNS[memo]
+ROUNDS = len(ROUND_OPS)
+
+
+def changes_run(spark: SparkSession, sf_dir: str, each=None) -> I.Paths:
+    """Feed the rounds changelog to the streaming changes query, one round after another: each
+    round arrives as one micro-batch, whatever the session's settings, and the query resumes from
+    its checkpoint for the next.  ``each`` runs after every round (the queries downstream)."""
+    paths = I.Paths(work_dir(spark, "stream"))
+    text = paths.of("text")
+    changes = C.rounds(spark, sf_dir)
+    for r in range(ROUNDS):
+        write_changelog(changes.filter(F.col("rnd") == r), text, mode="append")
+        I.run_changes(spark, text, paths, DRIVER, files_per_trigger=None,
+                      compact_every=COMPACT_EVERY, order=ARRIVAL)
+        if each is not None:
+            each(paths)
+    return paths
+
+
+def q3_run(spark: SparkSession, sf_dir: str, each=None) -> I.Paths:
+    """The changes query and the join query, the join draining every round before the next; the
+    delta log is folded once on the way."""
+    done = []
+
+    def join(paths: I.Paths) -> None:
+        I.drained(I.start_join(spark, paths))
+        if each is not None:
+            each(paths)
+        done.append(len(done))
+        if len(done) == ROUNDS // 2:
+            I.fold_delta(spark, paths.delta, done[-1])
+    return changes_run(spark, sf_dir, join)
 
 
 def stream_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,42 +68,44 @@ def stream_normalized(spark: SparkSession, sf_dir: str, table: str) -> DataFrame
 
 def stream_join_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1/J2 alone: customer sums (segment) x order changes (date), netted per order row."""
-    paths = changes_run(spark, sf_dir)
-    out = paths.of("delta_co")
-    df = I.salted_orders_join(spark, paths).select(
-        "o_orderkey", "o_custkey", "o_orderdate", (F.col("cw") * F.col("ow")).alias("w"))
-    q = I.start_sink(df, out, paths.of("checkpoints", "join_co"))
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return (spark.read.parquet(out).groupBy("o_orderkey", "o_custkey", "o_orderdate")
+    def join(paths: I.Paths) -> None:
+        df = I.salted_orders_join(spark, paths).select(
+            "o_orderkey", "o_custkey", "o_orderdate", (F.col("cw") * F.col("ow")).alias("w"))
+        I.drained(I.start_sink(df, paths.of("delta_co"), paths.of("checkpoints", "join_co")))
+
+    paths = changes_run(spark, sf_dir, join)
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderdate date, w bigint"
+    return (spark.read.schema(schema).parquet(paths.of("delta_co"))
+            .groupBy("o_orderkey", "o_custkey", "o_orderdate")
             .agg(F.sum("w").alias("w")).filter(F.col("w") != 0))
 
 
+RUNNING = (f"{', '.join(c + ' ' + t for c, t in zip(I.GROUP, ('bigint', 'date', 'int')))}, "
+           "revenue decimal(18,4), live bigint, version int")
+
+
 def running_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The update-mode output of the running aggregate, one row per changed group per batch."""
-    paths = q3_run(spark, sf_dir)
-    out = paths.of("running")
-    memo = (_app(spark), sf_dir, "running")
-    if memo not in _RUNS:
+    """The update-mode output of the running aggregate: for every round, each group that the
+    round changed, with its revenue and live rows as of that round."""
+    def running(paths: I.Paths) -> None:
         def keep(batch: DataFrame, batch_id: int) -> None:
-            (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-             .write.mode("overwrite").parquet(f"{out}/b={batch_id}"))
-        q = (I.running_revenue(spark, paths.delta).writeStream.outputMode("update")
-             .foreachBatch(keep).option("checkpointLocation", paths.of("checkpoints", "running"))
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
-        _RUNS[memo] = paths
-    return spark.read.parquet(out).drop("b")
+            batch.write.mode("overwrite").parquet(paths.of("running", f"b={batch_id}"))
+        I.drained(I.running_revenue(spark, paths.delta).writeStream.outputMode("update")
+                  .foreachBatch(keep)
+                  .option("checkpointLocation", paths.of("checkpoints", "running"))
+                  .trigger(availableNow=True).start())
+
+    paths = q3_run(spark, sf_dir, running)
+    storage.make_dirs(spark, paths.of("running"))
+    return spark.read.schema(RUNNING).parquet(paths.of("running")).select(
+        *I.GROUP, "revenue", "live", "version")
 
 
 def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D5 + D7: latest running total per group (max_by batch), groups with live rows only."""
+    """D5 + D7: latest running total per group (max_by version), groups with live rows only."""
     upd = running_updates(spark, sf_dir)
     last = upd.groupBy(*I.GROUP).agg(
-        F.max_by(F.struct("revenue", "live"), "batch_id").alias("_last"))
+        F.max_by(F.struct("revenue", "live"), "version").alias("_last"))
     return (last.filter(F.col("_last.live") > 0)
             .select(*I.GROUP, F.col("_last.revenue").alias("revenue")))
 
@@ -120,19 +117,18 @@ ROUND_BITS = 40
 
 def batch_signed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Normalise the rounds changelog round by round (each round one batch), all tables."""
-    memo = (_app(spark), sf_dir, "batch_signed")
-    if memo not in _RUNS:
-        paths = I.Paths(work_dir(spark, "batch_signed"))
-        staged = C.staged(spark, C.parsed_lines(C.rounds(spark, sf_dir)), "batch_bronze")
-        for spec in DRIVER.tables:
-            changes = P.route(staged, spec.name, DRIVER).withColumn(
-                "b", F.shiftright("seq", ROUND_BITS).cast("int"))
-            for r in range(4):
-                signed = normalise(spark, changes, r, paths.of("log", spec.name), spec.key,
-                                   every=COMPACT_EVERY)
-                signed.write.mode("overwrite").parquet(paths.of("signed", spec.name, f"b={r}"))
-        _RUNS[memo] = paths
-    paths = _RUNS[memo]
+    paths = I.Paths(work_dir(spark, "batch_signed"))
+    staged = C.staged(spark, C.parsed_lines(C.rounds(spark, sf_dir)), "batch_bronze")
+    for spec in DRIVER.tables:
+        changes = P.route(staged, spec.name, DRIVER).withColumn(
+            "b", F.shiftright("seq", ROUND_BITS).cast("int"))
+
+        def read(batches: list[int], changes=changes) -> DataFrame:
+            return changes.filter(F.col("b").isin(batches))
+        for r in range(ROUNDS):
+            signed = normalise(spark, read, r, paths.of("log", spec.name), spec.key,
+                               every=COMPACT_EVERY)
+            signed.write.mode("overwrite").parquet(paths.of("signed", spec.name, f"b={r}"))
     return {t: spark.read.parquet(paths.of("signed", t)) for t in DRIVER.table_names}
 
 

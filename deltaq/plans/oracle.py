@@ -180,3 +180,34 @@ def flipped_ctes(n: int = FLIP_COUNT) -> str:
 FLIPPED_Q3 = ("WITH " + ",\n".join([TYPED_CTES.strip(), flipped_ctes(),
                                      live_ctes("fl", "op")])
               + "\n" + q3_over("live_customer", "live_orders", "live_lineitem"))
+
+
+# Signed sums per join key and round (round 1 inserts every row, 2 takes some away, 3 brings
+# some back), joined; a pair belongs to the latest round it comes from.  Per round: the groups it
+# changed, with their sums over all pairs up to it.
+def _signed_cte(name: str, table: str, where: str, group: str, sums: str) -> str:
+    src, rules = SRC[table], ROUND_RULES[table]
+    rows = " UNION ALL ".join(
+        f"SELECT {b} AS b, {w} AS w, * FROM {src} WHERE ({rules[b]}) AND ({where})"
+        for b, w in ((1, 1), (2, -1), (3, 1)))
+    return f"{name} AS (SELECT b, {group}, {sums} FROM ({rows}) GROUP BY b, {group})"
+
+
+RUNNING = ("WITH " + ",\n".join([
+    TYPED_CTES.strip(),
+    _signed_cte("sc", "customer", f"c_mktsegment = '{DEFAULT.segment}'", "c_custkey",
+                "sum(w) AS cw"),
+    _signed_cte("so", "orders", f"o_orderdate < {DEFAULT.order_date_sql}",
+                "o_orderkey, o_custkey, o_orderdate", "sum(w) AS ow"),
+    _signed_cte("sl", "lineitem", f"l_shipdate > {DEFAULT.ship_date_sql}", "l_orderkey",
+                "sum(w * l_extendedprice * (1 - l_discount)) AS lrev, sum(w) AS lw"),
+    """pairs AS (SELECT l_orderkey, o_orderdate, greatest(sc.b, so.b, sl.b) AS version,
+  cw * ow * lw AS w, cw * ow * lrev AS wrev
+  FROM sl JOIN so ON l_orderkey = o_orderkey JOIN sc ON o_custkey = c_custkey)""",
+    "changed AS (SELECT DISTINCT l_orderkey, o_orderdate, version FROM pairs)"]) + """
+SELECT c.l_orderkey, c.o_orderdate, CAST(0 AS INTEGER) AS o_shippriority,
+  CAST(ROUND(sum(p.wrev), 4) AS DECIMAL(18,4)) AS revenue, CAST(sum(p.w) AS BIGINT) AS live,
+  CAST(c.version AS INTEGER) AS version
+FROM changed c JOIN pairs p ON p.l_orderkey = c.l_orderkey AND p.o_orderdate = c.o_orderdate
+  AND p.version <= c.version
+GROUP BY c.l_orderkey, c.o_orderdate, c.version""")
