@@ -27,7 +27,7 @@ from deltaq.operators import parse as P  # noqa: E402
 from deltaq.plans import changes as C  # noqa: E402
 from deltaq.plans.catalog import _q3_of  # noqa: E402
 from deltaq.schemas import DRIVER  # noqa: E402
-from deltaq.session import local_session, work_dir  # noqa: E402
+from deltaq.session import local_session, retire_work, work_dir  # noqa: E402
 from deltaq.sources.changelog import read_changelog, write_changelog  # noqa: E402
 from deltaq.sources.tables import load_tables  # noqa: E402
 from deltaq.streaming import incremental as I  # noqa: E402
@@ -61,7 +61,7 @@ def main() -> None:
 
     def stream_q3() -> int:
         paths = I.Paths(work_dir(spark, "bench_stream"))
-        I.run_changes(spark, text_dir, paths, files_per_trigger=2)
+        I.run_changes(spark, text_dir, paths, files_per_trigger=2, compact_every=2)
         q = I.start_join(spark, paths)
         q.awaitTermination()
         progress = [p for p in q.recentProgress if p.get("stateOperators")]
@@ -93,6 +93,7 @@ def main() -> None:
         "cpus": int(cpus),
     }
     print(json.dumps(out))
+    retire_work(spark)
     spark.stop()
 
 
