@@ -29,6 +29,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.replay import stored
 from ..sources import storage
@@ -78,9 +79,10 @@ def fold(spark: SparkSession, read: Callable[[list[int]], DataFrame], log_path:
     """Write the compaction of batches 0..``upto``; what it replaces is removed one round later,
     so that a retried batch still finds what it read."""
     since = last_compaction(upto, every)
-    rows = read(list(range(since + 1, upto + 1))).drop(BATCH_COL)
+    rows = read(list(range(since + 1, upto + 1)))
+    schema, rows = rows.schema, rows.drop(BATCH_COL)
     if since >= 0:
-        base = _compacted(spark, log_path, since).drop("kb", BATCH_COL)
+        base = _compacted(spark, log_path, since, schema).drop("kb", BATCH_COL)
         rows = base.unionByName(rows, allowMissingColumns=True)
     (compact(rows, key, upto, log_path, seq, op).withColumn("kb", bucket_of(key))
      .write.mode("overwrite").partitionBy("kb").parquet(f"{log_path}/compact/upto={upto}"))
@@ -89,8 +91,10 @@ def fold(spark: SparkSession, read: Callable[[list[int]], DataFrame], log_path:
             storage.remove(spark, f"{log_path}/compact/{name}")
 
 
-def _compacted(spark: SparkSession, log_path: str, upto: int) -> DataFrame:
-    return spark.read.parquet(f"{log_path}/compact/upto={upto}")
+def _compacted(spark: SparkSession, log_path: str, upto: int, changes: T.StructType) -> DataFrame:
+    """A compaction, with the columns of the changes and the bucket ``kb``; it may be empty."""
+    schema = T.StructType([*changes.fields, T.StructField("kb", T.IntegerType())])
+    return spark.read.schema(schema).parquet(f"{log_path}/compact/upto={upto}")
 
 
 def normalise(spark: SparkSession, read: Callable[[list[int]], DataFrame], batch_id: int,
@@ -114,7 +118,7 @@ def normalise(spark: SparkSession, read: Callable[[list[int]], DataFrame], batch
         # At most BUCKETS numbers: the folders that hold a touched key.
         asked = keys.select(bucket_of([f"_k_{k}" for k in key]).alias("kb")).distinct()
         wanted = sorted(r.kb for r in asked.collect())
-        base = _compacted(spark, log_path, since)
+        base = _compacted(spark, log_path, since, recent.schema)
         log = base.filter(F.col("kb").isin(wanted)).drop("kb").unionByName(
             recent, allowMissingColumns=True)
     match = None
