@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from deltaq.llm import mixing, near_dups, packing, pii, toxicity
 from deltaq.llm.common import materialize, ship, table
 
+#: Near-duplicates of the stage share at least so much, in per cent, of their five-word shingles.
+DEDUP_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -31,7 +34,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of near-duplicates."""
     ship(spark)
-    return near_dups.without_near_duplicates(docs)
+    return near_dups.without_near_duplicates(docs, DEDUP_PERCENT)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

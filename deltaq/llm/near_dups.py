@@ -2,15 +2,16 @@
 
 A document's set holds the hashes (64 bits) of its distinct 5-word shingles; documents with equal
 sets are one node, named by their smallest doc_id.  Every node has 128 minwise tokens.  Each of
-``TREES`` independent trees deals the nodes by chosen tokens: at a tree node one position, and with
-probability 1/0.85 - 1 a second, is chosen, the same for all that are there, and each document goes
-to the child of its token at that position.  Documents that share no token with any other leave
+a threshold's independent trees deals the nodes by chosen tokens: at a tree node one position, and
+with probability 1 / threshold - 1 a second, is chosen, the same for all that are there, and each
+document goes to the child of its token at that position.  Documents that share no token with any other leave
 the tree; a child with few documents is compared exhaustively; a larger one branches again.  What
 is still large at the last level is dealt over blocks that are compared pair by pair of blocks, so
 nothing is capped.
 
 Comparison reads signatures first (agreeing tokens), then full sets: a link needs
-100 * |intersection| >= 85 * |union| of the sets themselves.  It runs in two passes.  The first takes
+100 * |intersection| >= percent * |union| of the sets themselves.  The percentage is a parameter, 85
+for the registered query and 80 for the pipeline's stage; see ``Threshold`` for what hangs on it.  It runs in two passes.  The first takes
 one partner per document in each small set, the most similar one before it, which unites dense
 groups with few pairs.  The second looks at all pairs in different components: signatures name the
 documents that have any such partner, these get their exact difference from one document of their
@@ -18,8 +19,9 @@ small set (few hashes among near copies), and from the differences every pair's
 follows exactly inside the cell, which hands on a spanning forest of its links.  So no group is
 expanded into all its pairs, and no link between components is lost.
 
-Recall: a pair of similarity 0.85 survives a level of one tree with probability 0.87, so it misses
-all ten trees with about 1e-9 at one level and 2e-4 at four.
+Recall: at 85 per cent a pair at the threshold survives a level of one tree with probability 0.87, so
+it misses all ten trees with about 1e-9 at one level and 2e-4 at four; at 80 per cent it survives a
+level with 0.84, and there are twelve trees for the same recall.
 
 Edge cases: null and empty texts and those without words have an empty set and link with nothing;
 texts of fewer than 5 words are one shingle; very long texts are read in segments; a null doc_id
@@ -30,7 +32,9 @@ id repeated with other texts can cause, count as linked; an empty table gives an
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +48,9 @@ from deltaq.llm.graph import connected_components, forest, runs, with_cells
 WORDS = 5
 PERCENT = 85
 TOKENS = 128            # minwise tokens per document
-TREES = 10
 LEVELS = 4
+MISSES = 4.1e-5         # chance, second positions at every level, that a pair misses all trees
 SMALL = 256             # documents that are compared exhaustively, and block size beyond
-#: Agreeing tokens (of 128) from which a pair is verified: 3.8 deviations below 85 per cent.
-AGREE = round(TOKENS * (0.85 - 3.8 * (0.85 * 0.15 / TOKENS) ** 0.5))
-SECOND = 100 / PERCENT - 1
 #: Ids up to this many (8 bytes each) are broadcast, more are joined by a shuffle.
 BROADCAST_IDS = 200_000
 SEGMENT = 1 << 22
@@ -61,6 +62,33 @@ _POWERS = np.array([pow(_STEP, k, 1 << 64) for k in range(WORDS)], np.uint64)
 _MULTIPLIERS = mix64(np.arange(1, TOKENS + 1, dtype=np.uint64) * _GOLD) | np.uint64(1)
 
 
+@dataclass(frozen=True)
+class Threshold:
+    """What hangs on the similarity, in per cent, from which documents are linked."""
+
+    percent: int = PERCENT
+
+    @property
+    def agree(self) -> int:
+        """Agreeing tokens (of 128) from which a pair is verified: 3.8 deviations below."""
+        x = self.percent / 100
+        return round(TOKENS * (x - 3.8 * (x * (1 - x) / TOKENS) ** 0.5))
+
+    @property
+    def second(self) -> float:
+        """Probability of a second position, with which a pair goes on in one child on average."""
+        return 100 / self.percent - 1
+
+    @property
+    def trees(self) -> int:
+        """As many as leave a pair at the threshold a chance of ``MISSES`` after all levels."""
+        found = 1.0
+        for _ in range(LEVELS):
+            missed = 1 - self.percent / 100 * found
+            found = 1 - (1 - self.second) * missed - self.second * missed ** 2
+        return math.ceil(math.log(MISSES) / math.log(1 - found))
+
+
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -142,29 +170,32 @@ def _child(node: np.ndarray, seed: np.ndarray, position: np.ndarray,
                  + position.astype(np.uint64))
 
 
-def _roots(tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _roots(tokens: np.ndarray, at: Threshold) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows, child) of the first level: trees choose different positions."""
     rows = np.arange(len(tokens))
-    step = TOKENS // TREES
-    for tree in range(TREES):
+    second, trees = at.second, at.trees
+    step = TOKENS // trees
+    for tree in range(trees):
         seed = mix64(np.array([tree + 1], np.uint64))
-        wide = (mix64(seed)[0] >> np.uint64(40)) / (1 << 24) < SECOND
+        wide = (mix64(seed)[0] >> np.uint64(40)) / (1 << 24) < second
         for position in (tree * step, tree * step + step // 2)[:1 + wide]:
             yield rows, _child(seed, seed, np.array([position]), tokens[:, position])
 
 
-def _below(node: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _below(node: np.ndarray, tokens: np.ndarray, at: Threshold,
+           ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows, child) of each row's chosen paths below its tree node."""
     rows = np.arange(len(node))
     seed = mix64(node + _GOLD)
     again = mix64(seed + _GOLD)
-    wide = (mix64(again ^ _GOLD) >> np.uint64(40)).astype(np.float64) / (1 << 24) < SECOND
+    wide = (mix64(again ^ _GOLD) >> np.uint64(40)).astype(np.float64) / (1 << 24) < at.second
     for s, r in ((seed, rows), (again, rows[wide])):
         position = (s[r] % np.uint64(TOKENS)).astype(np.int64)
         yield r, _child(node[r], s[r], position, tokens[r, position])
 
 
-def _branch(parts: Iterator[pa.RecordBatch], roots: bool) -> Iterator[pa.RecordBatch]:
+def _branch(parts: Iterator[pa.RecordBatch], roots: bool, at: Threshold,
+            ) -> Iterator[pa.RecordBatch]:
     """Rows (rep, tokens[, node]) to rows (node, rep) one level deeper."""
     for part in parts:
         if part.num_rows == 0:
@@ -172,8 +203,8 @@ def _branch(parts: Iterator[pa.RecordBatch], roots: bool) -> Iterator[pa.RecordB
         rep = part.column("rep").to_numpy()
         tokens = np.frombuffer(b"".join(part.column("tokens").to_pylist()), np.uint32).reshape(
             len(rep), TOKENS)
-        paths = _roots(tokens) if roots else _below(
-            part.column("node").to_numpy().view(np.uint64), tokens)
+        paths = _roots(tokens, at) if roots else _below(
+            part.column("node").to_numpy().view(np.uint64), tokens, at)
         for rows, child in paths:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(child.view(np.int64)), pa.array(rep[rows])], names=["node", "rep"])
@@ -185,18 +216,18 @@ def _sized(paths: DataFrame) -> DataFrame:
     return paths.join(sizes.filter("size > 1"), "node")
 
 
-def chosen_paths(reps: DataFrame) -> DataFrame:
+def chosen_paths(reps: DataFrame, at: Threshold) -> DataFrame:
     """(node, rep, size, first): the leaves of all trees that hold more than one document."""
     tokens = reps.select("rep", "tokens")
     level = materialize(_sized(tokens.mapInArrow(
-        lambda parts: _branch(parts, True), "node long, rep long")), "paths")
+        lambda parts: _branch(parts, True, at), "node long, rep long")), "paths")
     leaves = level.filter(F.col("size") <= SMALL)
     for depth in range(1, LEVELS):
         large = level.filter(F.col("size") > SMALL)
         if is_empty(large):
             return leaves
         below = large.select("node", "rep").join(tokens, "rep").mapInArrow(
-            lambda parts: _branch(parts, False), "node long, rep long")
+            lambda parts: _branch(parts, False, at), "node long, rep long")
         level = materialize(_sized(below), "paths")
         leaves = leaves.unionByName(level if depth == LEVELS - 1
                                     else level.filter(F.col("size") <= SMALL))
@@ -216,7 +247,7 @@ def _sketches(cell: pa.Table) -> np.ndarray:
         len(cell), TOKENS)
 
 
-def partners(leaves: DataFrame, sketches: DataFrame) -> DataFrame:
+def partners(leaves: DataFrame, sketches: DataFrame, at: Threshold) -> DataFrame:
     """First pass, distinct (a, b): for each document of a small set, the most similar one with a
     smaller id.  Large sets are cut into blocks, each with the set's first document added."""
     blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / SMALL)).cast("int")
@@ -226,6 +257,7 @@ def partners(leaves: DataFrame, sketches: DataFrame) -> DataFrame:
         "node", "rep", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
     cells = (own.unionByName(pivot).distinct().join(sketches, "rep")
              .repartition("node", "block").sortWithinPartitions("node", "block", "rep"))
+    enough = at.agree
 
     def pick(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in runs(parts, ["node", "block"]):
@@ -234,7 +266,7 @@ def partners(leaves: DataFrame, sketches: DataFrame) -> DataFrame:
             rep, s = cell.column("rep").to_numpy(), _sketches(cell)
             agree = np.tril(_agreement(s, s), -1)       # documents are in id order
             best = agree.argmax(axis=1)
-            some = agree[np.arange(len(rep)), best] >= AGREE
+            some = agree[np.arange(len(rep)), best] >= enough
             if some.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rep[best[some]]), pa.array(rep[some])], names=["a", "b"])
@@ -242,7 +274,8 @@ def partners(leaves: DataFrame, sketches: DataFrame) -> DataFrame:
     return cells.mapInArrow(pick, "a long, b long").filter("a <> b").distinct()
 
 
-def remaining(leaves: DataFrame, sketches: DataFrame, component: DataFrame) -> DataFrame:
+def remaining(leaves: DataFrame, sketches: DataFrame, component: DataFrame,
+              at: Threshold) -> DataFrame:
     """Second pass, distinct (node, rep, component): documents with a similar enough signature in
     another component, per small set."""
     c = component.withColumnRenamed("vertex", "rep")
@@ -254,6 +287,7 @@ def remaining(leaves: DataFrame, sketches: DataFrame, component: DataFrame) -> D
     cells = (with_cells(rows, F.col("size"), F.col("rep"), SMALL)
              .select(*order, "_b", "rep", "component", "sketch").repartition(*order)
              .sortWithinPartitions(*order))
+    enough = at.agree
 
     def pick(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in runs(parts, order):
@@ -261,7 +295,7 @@ def remaining(leaves: DataFrame, sketches: DataFrame, component: DataFrame) -> D
             rep, s = cell.column("rep").to_numpy(), _sketches(cell)
             comp, b = cell.column("component").to_numpy(), cell.column("_b").to_numpy()
             left, right = np.flatnonzero(b == i), np.flatnonzero(b == j)
-            alike = ((_agreement(s[left], s[right]) >= AGREE)
+            alike = ((_agreement(s[left], s[right]) >= enough)
                      & (comp[left][:, None] != comp[right][None, :]))
             some = np.unique(np.concatenate([left[alike.any(axis=1)], right[alike.any(axis=0)]]))
             if len(some):
@@ -312,8 +346,9 @@ def _common(values: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np
     return out.astype(np.int64)
 
 
-def exact_links(rows: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+def exact_links(rows: DataFrame, docs: DataFrame, reps: DataFrame, at: Threshold) -> DataFrame:
     """Spanning links (a, b) between components, exactly, among rows (node, rep, component)."""
+    percent = at.percent
     groups = rows.groupBy("node").agg(F.min("rep").alias("pivot"), F.count("*").alias("size"))
     rows = materialize(rows.join(groups, "node"), "second-rows")
     asked = materialize(rows.select("rep", "pivot").distinct(), "second-pairs")
@@ -338,7 +373,7 @@ def exact_links(rows: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
                     + _common(lacks, left, right))
             common = kept + _common(adds, left, right)
             union = size[left][:, None] + size[right][None, :] - common
-            x, y = np.nonzero((100 * common >= PERCENT * union)
+            x, y = np.nonzero((100 * common >= percent * union)
                               & (comp[left][:, None] != comp[right][None, :]))
             if len(x):
                 child, root = forest(rep[left[x]], rep[right[y]])
@@ -380,8 +415,9 @@ def full_sets(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
         ["rep", "key"]).select("rep", "set"), "sets")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, at: Threshold) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
+    percent = at.percent
     sets = full_sets(pairs, docs, reps)
     first = sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a"))
     second = sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b"))
@@ -393,11 +429,11 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
             good = []
             for x, y in zip(part.column("set_a"), part.column("set_b")):
                 s, t = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                if min(len(s), len(t)) * 100 < PERCENT * max(len(s), len(t)):
+                if min(len(s), len(t)) * 100 < percent * max(len(s), len(t)):
                     good.append(False)
                     continue
                 common = len(np.intersect1d(s, t, assume_unique=True))
-                good.append(100 * common >= PERCENT * (len(s) + len(t) - common))
+                good.append(100 * common >= percent * (len(s) + len(t) - common))
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [part.column("a").filter(keep), part.column("b").filter(keep)], names=["a", "b"])
@@ -405,8 +441,10 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     return materialize(both.mapInArrow(check, "a long, b long"), "verified")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept; documents are linked from a
+    similarity of ``percent`` per cent."""
+    at = Threshold(percent)
     described = materialize(describe(docs), "shingles")
     reps = materialize(described.filter("key is not null and doc_id is not null").groupBy("key")
                        .agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens")),
@@ -419,15 +457,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column("rep"), pa.array(tokens, pa.binary())], names=["rep", "sketch"])
 
-    leaves = materialize(chosen_paths(reps), "leaves")
+    leaves = materialize(chosen_paths(reps, at), "leaves")
     sketches = materialize(reps.select("rep", "tokens").join(
         leaves.select("rep").distinct(), "rep", "left_semi").mapInArrow(
         small, "rep long, sketch binary"), "sketches")
-    found = verified(materialize(partners(leaves, sketches), "partners"), docs, reps)
+    found = verified(materialize(partners(leaves, sketches, at), "partners"), docs, reps, at)
     component = connected_components(found)
-    more = materialize(remaining(leaves, sketches, component), "remaining")
+    more = materialize(remaining(leaves, sketches, component, at), "remaining")
     if not is_empty(more):
-        component = connected_components(found.unionByName(exact_links(more, docs, reps)))
+        component = connected_components(found.unionByName(exact_links(more, docs, reps, at)))
     named = reps.select("key", "rep").join(
         component.withColumnRenamed("vertex", "rep"), "rep", "left").select(
         "key", F.coalesce("component", "rep").alias("_component"))
@@ -441,9 +479,9 @@ def op6_minhash_dedup(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs)
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents, one of each group of near-duplicates, with the columns of ``docs``."""
-    kept = materialize(near_duplicates(docs), "kept").filter("kept and doc_id is not null").select(
+    kept = materialize(near_duplicates(docs, percent), "kept").filter("kept and doc_id is not null").select(
         F.col("doc_id").alias("_kept")).distinct()
     rows = docs.select(F.struct("*").alias("_row")).withColumn(
         "_id", F.col("_row.doc_id").cast("long"))
