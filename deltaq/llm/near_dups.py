@@ -1,7 +1,7 @@
 """Near-duplicate documents by a chosen-path set similarity join over minwise tokens.
 
 A document's set holds the hashes (64 bits) of its distinct 5-word shingles; documents with equal
-sets are one node, named by their smallest doc_id.  Every node has 128 minwise tokens.  Each of
+sets are one node, numbered for itself and standing for its smallest doc_id.  Every node has 128 minwise tokens.  Each of
 a threshold's independent trees deals the nodes by chosen tokens: at a tree node one position, and
 with probability 1 / threshold - 1 a second, is chosen, the same for all that are there, and each
 document goes to the child of its token at that position.  Documents that share no token with any other leave
@@ -25,8 +25,10 @@ level with 0.84, and there are twelve trees for the same recall.
 
 Edge cases: null and empty texts and those without words have an empty set and link with nothing;
 texts of fewer than 5 words are one shingle; very long texts are read in segments; a null doc_id
-takes no part (component_id null, kept true); texts whose smallest id is the same id, which only an
-id repeated with other texts can cause, count as linked; an empty table gives an empty result.
+takes no part (component_id null, kept true), the filter holds such rows against each other; an id
+repeated with other texts is a document per set, so components that are not linked may bear the same
+component_id, and kept is true for the smallest doc_id's (smallest key's) rows of each; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deltaq.llm.common import is_empty, materialize, mix64
@@ -391,10 +393,12 @@ def _among(rows: DataFrame, column: str, ids: DataFrame, n: int) -> DataFrame:
 
 
 def full_sets(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(rep, set): the full shingle sets of the documents in the two columns of ``pairs``."""
+    """(rep, set): the full shingle sets of the nodes in the two columns of ``pairs``."""
     x, y = pairs.columns
-    ids = materialize(pairs.select(F.explode(F.array(x, y)).alias("rep")).distinct(), "asked")
-    n = ids.count()
+    ids = pairs.select(F.explode(F.array(x, y)).alias("rep")).distinct()
+    asked = materialize(reps.select("rep", "key", F.col("doc").alias("_doc")).join(
+        ids, "rep", "left_semi"), "asked")
+    n = asked.count()
 
     def full(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -403,16 +407,16 @@ def full_sets(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
                 [part.column(0), pa.array([_key(s) if len(s) else None for s in found],
                                           pa.binary()),
                  pa.array([s.tobytes() for s in found], pa.binary())],
-                names=["rep", "key", "set"])
+                names=["_doc", "key", "set"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"),
                         F.col("text").cast("string").cast("binary").alias("_text"))
     # An id repeated with other texts is told apart by the key of its set.
-    sets = _among(texts, "_doc", ids, n).mapInArrow(full, "rep long, key binary, set binary")
-    asked = reps.select("rep", "key").join(ids, "rep", "left_semi")
+    sets = _among(texts, "_doc", asked.select("_doc").distinct(), n).mapInArrow(
+        full, "_doc long, key binary, set binary")
     return materialize(sets.join(
-        F.broadcast(asked) if n <= BROADCAST_IDS else asked, ["rep", "key"]).dropDuplicates(
-        ["rep", "key"]).select("rep", "set"), "sets")
+        F.broadcast(asked) if n <= BROADCAST_IDS else asked, ["_doc", "key"]).dropDuplicates(
+        ["rep"]).select("rep", "set"), "sets")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, at: Threshold) -> DataFrame:
@@ -441,14 +445,14 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, at: Threshold)
     return materialize(both.mapInArrow(check, "a long, b long"), "verified")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept; documents are linked from a
-    similarity of ``percent`` per cent."""
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept, and the key of its set."""
     at = Threshold(percent)
     described = materialize(describe(docs), "shingles")
-    reps = materialize(described.filter("key is not null and doc_id is not null").groupBy("key")
-                       .agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens")),
-                       "sets-of-copies")
+    nodes = described.filter("key is not null and doc_id is not null").groupBy("key").agg(
+        F.min("doc_id").alias("doc"), F.first("tokens").alias("tokens"))
+    # Numbers, which the written table holds fast, name nodes whatever their documents' ids.
+    reps = materialize(nodes.withColumn("rep", F.monotonically_increasing_id()), "sets-of-copies")
 
     def small(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -466,13 +470,25 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     more = materialize(remaining(leaves, sketches, component, at), "remaining")
     if not is_empty(more):
         component = connected_components(found.unionByName(exact_links(more, docs, reps, at)))
-    named = reps.select("key", "rep").join(
-        component.withColumnRenamed("vertex", "rep"), "rep", "left").select(
-        "key", F.coalesce("component", "rep").alias("_component"))
+    # A component is represented by its smallest doc_id, and of that by its smallest key.
+    linked = reps.select("rep", "key", "doc").join(
+        component.withColumnRenamed("vertex", "rep"), "rep")
+    first = linked.groupBy("component").agg(F.min(F.struct("doc", "key")).alias("_first"))
+    named = linked.join(first, "component").select("rep", "_first")
+    named = reps.select("rep", "key", "doc").join(named, "rep", "left").select(
+        "key", F.coalesce("_first.doc", "doc").alias("_component"),
+        F.coalesce(F.col("_first.key") == F.col("key"), F.lit(True)).alias("_leads"))
     out = described.select("doc_id", "n_shingles", "key").join(named, "key", "left")
     component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
+    kept = (F.col("doc_id") == component_id) & F.coalesce("_leads", F.lit(True))
     return out.select("doc_id", "n_shingles", component_id.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component_id, F.lit(True)).alias("kept"))
+                      F.coalesce(kept, F.lit(True)).alias("kept"), "key")
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept; documents are linked from a
+    similarity of ``percent`` per cent."""
+    return _grouped(docs, percent).drop("key")
 
 
 def op6_minhash_dedup(docs: DataFrame) -> DataFrame:
@@ -480,20 +496,36 @@ def op6_minhash_dedup(docs: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents, one of each group of near-duplicates, with the columns of ``docs``."""
-    kept = materialize(near_duplicates(docs, percent), "kept").filter("kept and doc_id is not null").select(
-        F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.select(F.struct("*").alias("_row")).withColumn(
-        "_id", F.col("_row.doc_id").cast("long"))
-    repeated = docs.groupBy(F.col("doc_id").cast("long").alias("_again")).agg(
-        F.count("*").alias("_c")).filter("_c > 1 and _again is not null").select("_again")
-    repeated = materialize(repeated, "repeated-ids")
-    none = rows.filter("_id is null").select("_row")
-    rows = rows.join(kept, F.col("_id") == F.col("_kept"), "left_semi")
+    """The documents, one of each group of near-duplicates, with the columns of ``docs``.  Rows
+    without an id are held against each other only."""
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("text").cast("string").alias("text"))
+    some = _one_of_each(rows.filter("doc_id is not null"), percent)
+    none = rows.filter("doc_id is null")
+    if not is_empty(none):
+        none = materialize(none.withColumn("doc_id", F.monotonically_increasing_id()), "no-ids")
+        some = some.unionByName(_one_of_each(none, percent))
+    return some.select("_row.*")
+
+
+def _one_of_each(rows: DataFrame, percent: int) -> DataFrame:
+    """(_row) of rows (_row, doc_id, text): of each component its first document, once."""
+    kept = materialize(_grouped(rows.select("doc_id", "text"), percent).filter("kept").select(
+        F.col("doc_id").alias("_kept"), F.coalesce("key", F.lit(b"")).alias("_key")).distinct(),
+        "kept")
+    repeated = materialize(rows.groupBy(F.col("doc_id").alias("_again")).agg(
+        F.count("*").alias("_c")).filter("_c > 1").select("_again"), "repeated-ids")
+    ids = kept.select("_kept").distinct()
+    rows = rows.join(ids, F.col("doc_id") == F.col("_kept"), "left_semi")
     if is_empty(repeated):
-        return none.unionByName(rows.select("_row")).select("_row.*")
-    once = rows.join(repeated, F.col("_id") == F.col("_again"), "left_anti")
-    again = rows.join(repeated, F.col("_id") == F.col("_again"), "left_semi").withColumn(
-        "_k", F.row_number().over(Window.partitionBy("_id").orderBy(
-            F.xxhash64("_row.text")))).filter("_k = 1")
-    return none.unionByName(once.select("_row")).unionByName(again.select("_row")).select("_row.*")
+        return rows.select("_row")
+    once = rows.join(repeated, F.col("doc_id") == F.col("_again"), "left_anti")
+    # Rows of a repeated id are told apart by the keys of their sets; one stays of each id and key.
+    again = materialize(rows.join(repeated, F.col("doc_id") == F.col("_again"), "left_semi")
+                        .withColumn("_n", F.monotonically_increasing_id()), "repeated-rows")
+    keys = describe(again.select(F.col("_n").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("_n"), F.coalesce("key", F.lit(b"")).alias("_key"))
+    one = again.select("_n", F.col("doc_id").alias("_kept"), F.xxhash64("text").alias("_h")).join(
+        keys, "_n").groupBy("_kept", "_key").agg(F.min(F.struct("_h", "_n"))["_n"].alias("_n"))
+    one = one.join(kept, ["_kept", "_key"], "left_semi").select("_n")
+    return once.select("_row").unionByName(again.join(one, "_n", "left_semi").select("_row"))

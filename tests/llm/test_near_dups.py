@@ -141,3 +141,19 @@ def test_settings_follow_the_threshold():
     at85, at80 = near_dups.Threshold(85), near_dups.Threshold(80)
     assert (at85.agree, at85.trees, at80.agree, at80.trees) == (93, 10, 85, 12)
     assert at80.second == 0.25
+
+
+def test_an_id_repeated_with_other_texts_loses_none(spark, docs):
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(20))
+
+    rows = [(1, text("a")), (5, text("a")), (5, text("b")), (5, text("c")), (5, text("c")),
+            (7, text("c")), (8, text("b").upper()), (5, text("e")), (5, text("e") + " more"),
+            (6, text("d")), (None, text("n")), (None, text("n")), (None, text("n") + " more"),
+            (None, text("a"))]
+    got = near_dups.without_near_duplicates(docs(rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in got if r.doc_id and "e1" not in r.text) == [
+        (1, text("a")), (5, text("b")), (5, text("c")), (6, text("d"))]
+    assert len([r for r in got if "e1" in r.text.split()]) == 1      # near copies under one id
+    none = sorted(r.text for r in got if r.doc_id is None)
+    assert none[0] == text("a") and len(none) == 2 and none[1].startswith(text("n"))
