@@ -13,6 +13,10 @@ equal, or one equals a part that occurs, all but the smallest draw again until n
 forms grow by a character when their alphabet is used up.  Replacements keep the mention's own
 punctuation and case.
 
+Digits of a card's length are searched as one run of groups, however long: cards with a valid check
+digit in a usual grouping come first, then addresses, phone and social security numbers, and in what
+lies between them cards in any grouping.
+
 Result: every row, with ``text`` rewritten and ``n_entities``; texts without entities are returned
 as they are.
 
@@ -82,12 +86,21 @@ PATTERNS = {
     "person": rf"(?=[MHFSDPГ])(?<![\p{{L}}\p{{N}}]){_TITLE}\.? \p{{Lu}}[\p{{L}}’'-]+(?: \p{{Lu}}[\p{{L}}’'-]+)"
               r"{0,2}",
 }
+#: Where a card may begin, all the groups of digits that follow; an e-mail or IPv6 address among them
+#: ends the run.
+_RUN = (rf"(?={PATTERNS['card']})[0-9]++"
+        r"(?:[ .-](?![0-9A-Za-z._%+-]*+@|[0-9A-Fa-f]{1,4}:[0-9A-Fa-f])[0-9]++(?![A-Za-z]))*")
+#: Usual groupings of card numbers.
+_CARDS = ("[0-9]{13,19}", "[0-9]{4}([ -])[0-9]{4}\\1[0-9]{4}\\1[0-9]{4}\\1[0-9]{3}",
+          "[0-9]{4}([ -])[0-9]{4}\\1[0-9]{4}\\1[0-9]{4}", "[0-9]{4}([ -])[0-9]{6}\\1[0-9]{4,5}")
+_IN_RUN = "|".join(f"(?:{PATTERNS[k]})" for k in ("ip", "phone", "ssn"))
 _LETTER_FIRST = ("credential", "access_key", "email", "ipv6", "iban", "person")
 _OTHER_FIRST = ("email", "ipv6", "ip", "card", "phone", "ssn")
 
 
 def _any_of(kinds: tuple[str, ...]) -> str:
-    return "(?:" + "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k in kinds) + ")"
+    return "(?:" + "|".join(f"(?:{_RUN if k == 'card' else p})" for k, p in PATTERNS.items()
+                            if k in kinds) + ")"
 
 
 #: Any entity.  None begins inside a word, so most places are passed over by the first look.
@@ -128,6 +141,58 @@ def kind_of(mention: Column) -> Column:
     return out
 
 
+def _valid(number: Column) -> Column:
+    return F.when(number != "", _check_sum(_digits(number)) % 10 == 0).otherwise(False)
+
+
+def _mark_cards(run: Column) -> Column:
+    """A run with a mark before and after each valid card in a usual grouping."""
+
+    def step(s: Column, group: Column) -> Column:
+        digits = _digits(group)
+        start, after = s["at"] + F.length(group) - F.length(digits), s["at"] + F.length(group)
+        rest = F.substring(run, start + 1, F.lit(32))
+        cards = F.filter(F.array(*[F.regexp_extract(
+            rest, rf"^(?:{c})(?![0-9A-Za-z]|-[0-9])", 0) for c in _CARDS]), _valid)
+        card = F.when((start >= s["end"]) & ~group.rlike("^[.-]"), F.get(cards, F.lit(0)))
+        end = F.coalesce(start + F.length(card), s["end"])
+        return F.struct(after.alias("at"), end.alias("end"), F.concat(
+            s["out"], F.substring(group, F.lit(1), F.length(group) - F.length(digits)),
+            F.when(card.isNotNull(), _MARK).otherwise(""), digits,
+            F.when(end == after, _MARK).otherwise("")).alias("out"))
+
+    none = F.struct(F.lit(0).alias("at"), F.lit(0).alias("end"), F.lit("").alias("out"))
+    return F.aggregate(F.regexp_extract_all(run, F.lit("[ .-]?[0-9]+"), F.lit(0)), none, step,
+                       lambda s: s["out"])
+
+
+def _piece(text: Column, kind: Column) -> Column:
+    return F.struct(text.alias("mention"), kind.alias("kind"))
+
+
+def _cut(text: Column, pattern: str, hit, between) -> Column:
+    """Pieces of a text: ``hit`` of each match, ``between`` of what lies between them."""
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.flatten(F.transform(F.split(text, pattern, -1), lambda b, i: F.concat(
+        between(b), F.when(i < F.size(hits), F.array(hit(F.get(hits, i)))).otherwise(
+            F.array().cast(_PIECES)))))
+
+
+_MARK = "\u0001"
+_PIECES = "array<struct<mention:string,kind:string>>"
+
+
+def pieces_of(mention: Column) -> Column:
+    """The mention and its type; a run of groups of digits in pieces, null for what is no entity."""
+    null = F.lit(None).cast("string")
+    typed = lambda m: _piece(m, kind_of(m))
+    loose = lambda b: _cut(b, PATTERNS["card"], typed, lambda x: F.array(_piece(x, null)))
+    run = F.flatten(F.transform(F.split(_mark_cards(mention), _MARK, -1), lambda x, i: F.when(
+        i % 2 == 1, F.array(_piece(x, F.lit("card")))).otherwise(_cut(x, _IN_RUN, typed, loose))))
+    return F.when(mention.rlike("^[0-9](?:[ .-]?[0-9]){12,}$"), run).otherwise(
+        F.array(typed(mention)))
+
+
 def _bare(pattern: str) -> str:
     """A pattern without the looks around it, for a mention that stands alone."""
     import re
@@ -330,14 +395,17 @@ def replace_entities(docs: DataFrame, key: str = KEY, n_entities: str | None = N
     text = F.col("_row.text").cast("string")
     rows = docs.select(F.struct("*").alias("_row"))
     mentions = F.when(hinted(text), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
-    found = F.transform(mentions, lambda m: F.struct(m.alias("mention"), kind_of(m).alias("kind")))
+    found = F.transform(mentions, pieces_of)
     # A generator of one row: filters cannot pull the search below it and repeat it.
     searched = rows.select("_row", F.inline(F.array(F.struct(found.alias("_found")))))
-    with_any = F.coalesce(F.exists("_found", lambda x: x["kind"].isNotNull()), F.lit(False))
+    with_any = F.coalesce(F.exists(F.flatten("_found"), lambda x: x["kind"].isNotNull()), F.lit(False))
     hits = materialize(searched.filter(with_any).select(
         "_row", "_found", F.monotonically_increasing_id().alias("_id")), "pii-texts")
-    each = hits.select("_id", F.posexplode("_found").alias("_at", "_x")).select(
-        "_id", "_at", "_x.mention", "_x.kind")
+    # Pieces are numbered by their mention's place and their own in it.
+    place = lambda i, j: F.shiftleft(i.cast("long"), 32) + j
+    each = hits.select("_id", F.posexplode("_found").alias("_i", "_m")).select(
+        "_id", "_i", F.posexplode("_m").alias("_j", "_x")).select(
+        "_id", place(F.col("_i"), F.col("_j")).alias("_at"), "_x.mention", "_x.kind")
     parts = materialize(each.filter("kind is not null").select(
         "_id", "_at", F.posexplode(parts_of(F.col("mention"), F.col("kind"))).alias("_k", "_p"))
         .select("_id", "_at", "_k", "_p.*"), "pii-parts")
@@ -355,7 +423,8 @@ def replace_entities(docs: DataFrame, key: str = KEY, n_entities: str | None = N
     joined = hits.join(by_text, "_id").select(
         "_row", "_count", "_by", F.split(text, ENTITY, -1).alias("_between"), "_found")
     rewritten = F.array_join(F.transform("_between", lambda piece, i: F.concat(
-        piece, F.coalesce(F.element_at("_by", i), F.get("_found", i)["mention"], F.lit("")))), "")
+        piece, F.coalesce(F.array_join(F.transform(F.get("_found", i), lambda x, j: F.coalesce(
+            F.element_at("_by", place(i, j)), x["mention"])), ""), F.lit("")))), "")
     changed = joined.select("_row", F.col("_count").cast("int").alias("_count"),
                             rewritten.alias("_text"))
 

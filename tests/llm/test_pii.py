@@ -90,3 +90,25 @@ def test_long_text_repeated_rows_null_ids_and_columns(spark, docs):
 
 def test_empty_table(spark, docs):
     assert pii.op4_pii_surrogates(docs([])).collect() == []
+
+
+def test_entities_beside_other_numbers_are_found(spark, docs):
+    phone, ssn = "415-555-0134", "123-45-6789"
+    card = "4805 4762 0017 0562"
+    rows = [(1, f"ZIP 94107 {phone}", 1), (2, f"2024-01-15 {phone}", 1), (3, f"tel {phone} 2024", 1),
+            (4, "415 555 0134 415 555 0199", 2), (5, f"{ssn} 1990", 1), (6, f"2024 {card}", 1),
+            (7, f"{card} 123", 1), (8, f"1234567890 123 192.168.0.7 {phone}", 2),
+            (9, "12345 67890 123 415.555.0134 end", 1), (10, f"{card} {phone} {card}", 3),
+            (11, "12345 67890 1234 12@x.org", 1), (12, f"48054 76200 170562 {phone}", 2),
+            (13, "1234 5678 9012 3456", 0)]
+    got = run(docs, [r[:2] for r in rows])
+    for i, text, n in rows:
+        new = got[i][0]
+        assert got[i][1] == n and (new == text) == (n == 0), (i, new)
+        for old in (phone, ssn, card, "415 555 0134", "415 555 0199", "192.168.0.7", "12@x.org",
+                    "415.555.0134", "48054 76200 170562"):
+            assert old not in new, (i, new)
+    assert got[1][0].startswith("ZIP 94107 ") and got[5][0].endswith(" 1990")
+    assert re.fullmatch(r"2024 4\d{3} \d{4} \d{4} \d{4}", got[6][0]) and luhn(got[6][0][5:])
+    assert got[3][0].endswith(" 2024") and got[9][0].endswith(" end")
+    assert got[1][0][-12:] == got[2][0][-12:] == got[3][0][4:16]
