@@ -10,7 +10,8 @@ normal form.  So the same part is replaced alike in every document, whatever its
 
 Distinct parts stay distinct: replacements of all parts of a type are compared, and where two are
 equal, or one equals a part that occurs, all but the smallest draw again until none is left; short
-forms grow by a character when their alphabet is used up.  Replacements keep the mention's own
+forms grow by a character when their alphabet is used up, and an address whose private block is
+crowded goes to a larger one (10/8, then the reserved 240/4).  Replacements keep the mention's own
 punctuation and case.
 
 Digits of a card's length are searched as one run of groups, however long: cards with a valid check
@@ -313,11 +314,16 @@ def draw(kind: Column, scope: Column, normal: Column, attempt: Column, key: str
     octet = lambda i: (_number(h, F.lit(i)) % 256).cast("string")
     public = [i for i in range(1, 224) if i not in (10, 100, 127, 169, 172, 192, 198, 203)]
     first = F.get(F.array(*[F.lit(str(i)) for i in public]), _number(h, F.lit(0), 4) % len(public))
-    ip = (F.when(normal.rlike(r"^(10|127)\."), F.concat_ws(
-        ".", F.substring_index(normal, ".", 1), octet(1), octet(2), octet(3)))
-        .when(normal.rlike(r"^(192\.168|169\.254|172\.(1[6-9]|2[0-9]|3[01]))\."), F.concat_ws(
-            ".", F.substring_index(normal, ".", 2), octet(2), octet(3)))
-        .otherwise(F.concat_ws(".", first, octet(1), octet(2), octet(3))))
+    # A block of 65,536 fills up, and so may 10/8 and 127/8: later draws are from larger blocks.
+    reserved = F.concat_ws(".", (_number(h, F.lit(0)) % 16 + 240).cast("string"), octet(1),
+                           octet(2), octet(3))
+    small = normal.rlike(r"^(192\.168|169\.254|172\.(1[6-9]|2[0-9]|3[01]))\.")
+    ip = (F.when(normal.rlike(r"^(10|127)\.") & (extra > 0) | small & (extra > GROW_AFTER), reserved)
+          .when(small & (extra > 0), F.concat_ws(".", F.lit("10"), octet(1), octet(2), octet(3)))
+          .when(normal.rlike(r"^(10|127)\."), F.concat_ws(
+              ".", F.substring_index(normal, ".", 1), octet(1), octet(2), octet(3)))
+          .when(small, F.concat_ws(".", F.substring_index(normal, ".", 2), octet(2), octet(3)))
+          .otherwise(F.concat_ws(".", first, octet(1), octet(2), octet(3))))
     top = F.substring_index(normal, ".", -1)
     domain = F.concat(reshape(F.concat(F.substring(normal, F.lit(1), n - F.length(top) - 1),
                                        F.repeat(F.lit("a"), extra)), h), F.lit("."), top)

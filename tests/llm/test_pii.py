@@ -112,3 +112,18 @@ def test_entities_beside_other_numbers_are_found(spark, docs):
     assert re.fullmatch(r"2024 4\d{3} \d{4} \d{4} \d{4}", got[6][0]) and luhn(got[6][0][5:])
     assert got[3][0].endswith(" 2024") and got[9][0].endswith(" end")
     assert got[1][0][-12:] == got[2][0][-12:] == got[3][0][4:16]
+
+
+def test_a_full_private_block_gets_distinct_addresses(spark):
+    from pyspark.sql import functions as F
+
+    late = spark.range(1).select(pii.draw(F.lit("ip"), F.lit(""), F.lit("192.168.0.1"),
+                                          F.lit(pii.GROW_AFTER + 1)).alias("new")).first()["new"]
+    assert late.startswith("10.")              # else the next step would never end
+    found = spark.range(1 << 16).select(
+        F.lit("ip").alias("kind"), F.lit("").alias("scope"), F.concat_ws(
+            ".", F.lit("192.168"), F.shiftright("id", 8), F.col("id") % 256).alias("normal"))
+    got = pii.replacements(found).collect()
+    new = {r.new for r in got}
+    assert len(got) == len(new) == 1 << 16 and not new & {r.normal for r in got}
+    assert all(re.fullmatch(r"(10|24\d|25[0-5])(\.\d{1,3}){3}", x) for x in new)
