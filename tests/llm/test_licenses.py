@@ -59,3 +59,59 @@ def test_every_known_sentence_is_normal_and_hinted(sentence):
     import re
     assert re.search(licenses._HINT, sentence)
     assert re.fullmatch(r"[a-z0-9.+-]+( [a-z0-9.+-]+)*", sentence)
+
+
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the
+GNU General Public License as published by the Free Software Foundation, either version {} of the
+License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even
+the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public
+License for more details.
+
+You should have received a copy of the GNU General Public License along with this program. If not, see
+<https://www.gnu.org/licenses/>."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES ARE DISCLAIMED."""
+CC = "This work is licensed under a Creative Commons {} 4.0 International License."
+PUBLISHED = {
+    "MIT": MIT, "Apache-2.0": APACHE, "GPL-3.0-or-later": GPL.format(3),
+    "GPL-2.0-or-later": GPL.format(2).replace("software:", "software;"),
+    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "BSD-3-Clause": BSD.format("3. Neither the name of the copyright holder nor the names of its "
+                               "contributors may be used without prior written permission.\n"),
+    "BSD-2-Clause": BSD.format(""), "BSD": "Released under the BSD License.",
+    "CC-BY-4.0": CC.format("Attribution"), "CC-BY-SA-4.0": CC.format("Attribution-ShareAlike"),
+    "CC-BY-NC-4.0": CC.format("Attribution-NonCommercial"),
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.", "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC0-1.0": "The person who associated a work with this deed has dedicated the work to the public\n"
+               "domain by waiving all of their rights.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or\n"
+           "without fee is hereby granted, provided that the above copyright notice appears.\n\nTHE "
+           'SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES.',
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If "
+               "a copy of the MPL was not distributed with this\nfile, You can obtain one at "
+               "https://mozilla.org/MPL/2.0/.",
+    "Unlicense": "This is free and unencumbered software released into the public\ndomain.",
+}
+
+
+def test_published_text_of_every_rule_is_found_bare_and_in_comments(spark, docs):
+    assert set(PUBLISHED) == {name for name, _ in licenses.RULES}
+    rows, want = [], {}
+    for name, text in PUBLISHED.items():
+        for mark in ("", "-- ", "# ", " * "):
+            want[len(rows)] = name
+            rows.append((len(rows), "\n".join(mark + line for line in text.split("\n"))))
+    got = scan(docs, rows)
+    assert {i: got[i][0] for i in want} == want
+    other = scan(docs, [(1, PUBLISHED["MPL-2.0"].replace("v. 2.0", "v. 1.1"))])
+    assert other[1][0] == ""
