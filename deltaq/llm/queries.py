@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from deltaq.llm import (
-    licenses, mixing, near_dups, packing, pii, pivots, token_counts, token_files, topk, toxicity)
+    certified_packing, licenses, mixing, near_dups, packing, periodic, pii, pivots, spelling,
+    token_counts, token_files, topk, toxicity)
 from deltaq.llm.common import ship, table
 
 
@@ -29,6 +30,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": _over("documents", licenses.op8_licenses),
     "op9_token_files": _over("documents", token_files.op9_token_files),
     "op10_packing": _over("documents", packing.op10_packing),
+    "op11_periodic_runs": _over("documents", periodic.op11_periodic_runs),
+    "op12_spelling_groups": _over("documents", spelling.op12_spelling_groups),
+    "op13_certified_packing": _over("documents", certified_packing.op13_certified_packing),
     "pipeline": corpus_pipeline.run,
 }
 
