@@ -18,6 +18,8 @@ from ..operators import replay as R
 from ..operators import synth as S
 from ..params import DEFAULT
 from ..schemas import DRIVER, REVENUE
+from ..session import work_dir
+from ..sources.changelog import read_changelog, write_changelog
 from ..sources.tables import load_table, load_tables, with_shippriority
 from . import changes as C
 from . import oracle as O
@@ -64,7 +66,6 @@ def q3_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("q3_sql_file", O.Q3_BATCH)
 def q3_sql_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A8 from a file: the query text is stored as a .sql file and read back before running."""
-    from ..session import work_dir
     path = work_dir(spark, "query_sql")
     write_sql_file(spark, path)
     t = load_tables(spark, sf_dir)
@@ -260,6 +261,20 @@ def replay_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _q3_of(live)
 
 
+@register("replay_appended_q3", O.with_rounds(
+    O.q3_over("live_customer", "live_orders", "live_lineitem"), live=True))
+def replay_appended_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A changelog appended round by round (A5), read back in the order of its batches and parts
+    (A1), replayed, then the flagship query."""
+    path = work_dir(spark, "replay_appended")
+    changes = C.rounds(spark, sf_dir)
+    for r in range(len(S.ROUND_OPS)):
+        write_changelog(changes.filter(F.col("rnd") == r), path, mode="append")
+    lines = read_changelog(spark, path)
+    live = C.replayed(C.routed(C.staged(spark, P.parse(lines, DRIVER), "appended_bronze")))
+    return _q3_of(live)
+
+
 @register("replay_flipped_q3", O.FLIPPED_Q3)
 def replay_flipped_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shuffled changelog with DELETE-flipped lines, replayed, then the flagship query."""
@@ -300,7 +315,6 @@ for _t in ("customer", "orders", "lineitem"):
 # --- files and reconciliation -------------------------------------------------------------------
 
 from ..operators import reconcile as E  # noqa: E402
-from ..session import work_dir  # noqa: E402
 from ..sources import files as FS  # noqa: E402
 
 

@@ -1,62 +1,181 @@
 """Changelog text source and sink (A1, A5).
 
 A changelog is a folder of text files of lines ``OP|table|fields``; the order of lines is the order
-of changes.  The reader derives an integer ``seq`` (decimal(38,0)) from
-
-    batch (8 digits)  file number (8)  block start of the split (12)  row in the task (10)
-
-The file number is the first number in the file's name, compared as a number, so ``part-99999``
-comes before ``part-100000``.  Within a split the row number grows with the line, and splits of one
-file are ordered by their start.  One number needs no global sort and no pass to count lines, and
-its maximum is a hash aggregate.  The writer keeps the contract: it range-partitions by the change
-order, so part numbers follow it.
-
-Two orders are offered for streams: ``NAME`` (the batch digits stay 0; a late file takes the place
-its number gives it) and ``ARRIVAL`` (the micro-batch leads; within it, file numbers).  In NAME
-order a file name without a number is an error, in ARRIVAL order it counts as 0.
+of changes.  The reader gives every line an integer ``seq`` (decimal(38,0)) made of
+
+    the file's place (16 digits)  block start of the split (12)  row in the task (10)
+
+A file's *place* follows all the numbers of its path below the folder, compared as numbers, and the
+text between them (``part-99999`` before ``part-100000``, ``2026-12-03-001`` before
+``2026-12-03-002``, ``log-2-9`` before ``log-2-10``).  The random id that Spark puts into the names
+of part files says nothing about order and is left out.  Two files with the same place have no
+order, so they are an error, never a guess.  Within a split the row number grows with the line, and
+splits of one file are ordered by their start: one number, no global sort, no pass to count lines,
+and its maximum is a hash aggregate.
+
+The writer keeps the contract: it range-partitions by the change order, so part numbers follow it,
+and every append goes to a folder of its own, ``batch=0``, ``batch=1``, ..., whose number leads.
+
+A folder read at once has places 0, 1, 2, ... in that order, whatever the names look like (``NAME``).
+A stream cannot know the names to come.  Two orders are offered there: ``ARRIVAL`` (the micro-batch
+leads with 8 digits; within it, places 0, 1, 2, ... as above) and ``NAME``, where a late file takes
+the place its numbers give it: each number gets a fixed width (``widths``, by default two of eight
+digits; dated names need such as ``(4, 2, 2, 3)``; the writer's own names need nothing), and a name
+with more or longer numbers, or with none, is an error.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import storage
+
 NAME = "name"
 ARRIVAL = "arrival"
 SEQ_TYPE = "decimal(38,0)"
-_ROW, _BLOCK, _FILE = 10, 12, 8
-
-
-def file_number(name: Column, order: str = NAME) -> Column:
-    """The first number in a file name."""
-    digits = F.regexp_extract(name, "([0-9]+)", 1)
-    absent = (F.raise_error(F.concat(F.lit("no number in the name of changelog file "), name))
-              .cast("bigint") if order == NAME else F.lit(0).cast("bigint"))
-    return F.when(digits == "", absent).otherwise(digits.cast("bigint"))
-
-
-def line_order(name: Column, block: Column, batch_id: int = 0, order: str = NAME) -> Column:
-    """``seq`` of a line from its file name and block start, as one integer."""
+BATCH = "batch"
+_ROW, _BLOCK, _FILE, _LEAD = 10, 12, 16, 8
+#: Digits of the numbers of a file's path in a stream in NAME order.
+WIDTHS = (8, 8)
+#: Files whose places are broadcast to the lines (about 100 bytes each); more are joined by shuffle.
+BROADCAST_FILES = 200_000
+
+_PART = re.compile(
+    "(part-[0-9]+)-[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}")
+#: What the writer makes: a folder of part files, with appended ones in folders of their batch.
+_OWN = re.compile(f"(?:{BATCH}=([0-9]+)/)?{_PART.pattern}(?:-c([0-9]+))?[.a-z0-9]*".replace(
+    "(part-[0-9]+)", "part-([0-9]+)"))
+_OWN_WIDTHS = (5, 7, 4)
+_SLASHES = "^([a-z0-9]+):///"
+_PIECES = re.compile("([0-9]+)")
+
+
+class OrderError(ValueError):
+    """Files of a changelog whose order their names do not tell."""
+
+
+def natural_key(path: str) -> tuple:
+    """Texts and numbers of a path in turn, the numbers as numbers."""
+    pieces = _PIECES.split(_PART.sub(r"\1", path))
+    return tuple(int(x) if i % 2 else x for i, x in enumerate(pieces))
+
+
+def natural_places(paths: Iterable[str]) -> dict[str, int]:
+    """path -> 0, 1, 2, ... in natural order; files that tie are an error."""
+    ordered = sorted((natural_key(p), p) for p in set(paths))
+    for (key, path), (other, again) in zip(ordered, ordered[1:]):
+        if key == other:
+            raise OrderError(f"nothing in their names orders {path} and {again}")
+    return {path: place for place, (_, path) in enumerate(ordered)}
+
+
+def fixed_place(path: str, widths: Sequence[int] = WIDTHS) -> int:
+    """One integer from the numbers of a path, each in its width; the same for any other files."""
+    if sum(widths) > _FILE:
+        raise ValueError(f"widths have {sum(widths)} digits, {_FILE} at most")
+    own = _OWN.fullmatch(path)
+    if own:
+        batch, part, file = own.groups()
+        numbers: Sequence[int] = (int(batch) + 1 if batch else 0, int(part), int(file or 0))
+        widths = _OWN_WIDTHS
+    else:
+        numbers = natural_key(path)[1::2]
+    if not numbers:
+        raise OrderError(f"no number in the name of changelog file {path}")
+    if len(numbers) > len(widths) or any(n >= 10 ** w for n, w in zip(numbers, widths)):
+        raise OrderError(f"the numbers of {path} do not fit widths {tuple(widths)}")
+    place = 0
+    for i, w in enumerate(widths):      # a name with fewer numbers comes before its extensions
+        place = place * 10 ** w + (numbers[i] if i < len(numbers) else 0)
+    return place
+
+
+def fixed_places(paths: Iterable[str], widths: Sequence[int] = WIDTHS) -> dict[str, int]:
+    places = {p: fixed_place(p, widths) for p in set(paths)}
+    seen: dict[int, str] = {}
+    for path, place in sorted(places.items()):
+        if place in seen:
+            raise OrderError(f"nothing in their names orders {seen[place]} and {path}")
+        seen[place] = path
+    return places
+
+
+def below(root: str, file: str) -> str:
+    """A file's path below the folder of the changelog (both as Spark and Hadoop spell them)."""
+    root, file = spelled(root.rstrip("/")), spelled(file)
+    return file[len(root) + 1:] if file.startswith(root + "/") else file
+
+
+def spelled(path: str) -> str:
+    """A path in one spelling: listings write ``file:/x`` as well as ``file:///x``."""
+    return re.sub(_SLASHES, r"\1:/", path)
+
+
+def with_order(lines: DataFrame, places: dict[str, int], batch_id: int | None = None) -> DataFrame:
+    """``(seq, value)`` of lines that carry ``_file`` and ``_block``; ``places`` by ``_file``.  The
+    places are one row a file: broadcast while those are few, joined by shuffle beyond."""
+    spark = lines.sparkSession
+    table = spark.createDataFrame([(spelled(f), p) for f, p in places.items()],
+                                  "_file string, _place bigint")
+    if len(places) <= BROADCAST_FILES:
+        table = F.broadcast(table)
+    # Lines are numbered before anything can move them.
+    numbered = lines.withColumn("_row", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    unknown = F.raise_error(F.concat(F.lit("no place for changelog file "), "_file"))
+    return numbered.join(table, "_file", "left").select(
+        line_order(F.coalesce("_place", unknown.cast("bigint")), F.col("_block"), F.col("_row"), batch_id).alias("seq"), "value")
+
+
+def line_order(place: Column, block: Column, row: Column, batch_id: int | None = None) -> Column:
+    """``seq`` of a line as one integer; a micro-batch's number leads where one is given."""
     def shift(x: Column, digits: int, places: int) -> Column:
         return (x.cast(f"decimal({digits},0)")
                 * F.lit(Decimal(10) ** places).cast(f"decimal({places + 1},0)"))
 
-    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    seq = (shift(file_number(name, order), _FILE, _BLOCK + _ROW).cast(SEQ_TYPE)
+    digits = _FILE if batch_id is None else _FILE - _LEAD
+    seq = (shift(place, digits, _BLOCK + _ROW).cast(SEQ_TYPE)
            + (shift(block, _BLOCK, _ROW) + row.cast(f"decimal({_ROW},0)")).cast("decimal(23,0)"))
-    if order == ARRIVAL:
-        lead = Decimal(batch_id) * Decimal(10) ** (_FILE + _BLOCK + _ROW)
+    if batch_id is not None:
+        lead = Decimal(batch_id) * Decimal(10) ** (_FILE - _LEAD + _BLOCK + _ROW)
         seq = seq.cast("decimal(31,0)") + F.lit(lead).cast(SEQ_TYPE)
     return seq.cast(SEQ_TYPE)
 
 
+def source_columns(lines: DataFrame) -> DataFrame:
+    file = F.regexp_replace("_metadata.file_path", _SLASHES, "$1:/")
+    return lines.select("value", file.alias("_file"),
+                        F.col("_metadata.file_block_start").alias("_block"))
+
+
 def read_changelog(spark: SparkSession, path: str) -> DataFrame:
-    """A1 (batch): ``(seq, value)`` for every line."""
-    return spark.read.text(path).select(
-        line_order(F.col("_metadata.file_name"), F.col("_metadata.file_block_start"))
-        .alias("seq"), "value")
+    """A1 (batch): ``(seq, value)`` for every line.  The names are those of Spark's own listing,
+    which the driver holds; no line is read for them."""
+    lines = spark.read.text(path)
+    root = storage.qualified(spark, path)
+    files = {f: below(root, f) for f in lines.inputFiles()}
+    places = natural_places(files.values())
+    return with_order(source_columns(lines), {f: places[n] for f, n in files.items()})
+
+
+def batch_order(batch: DataFrame, root: str, batch_id: int, order: str = NAME,
+                widths: Sequence[int] = WIDTHS) -> tuple[DataFrame, dict[str, int]]:
+    """A1 (stream): ``(seq, value)`` of one micro-batch of ``source_columns``, and the places of its
+    files by their path below ``root``.  The files of a micro-batch are those the stream's log
+    names, as many as the driver handed out; one pass over the batch tells them."""
+    files = {r["_file"]: below(root, r["_file"])
+             for r in batch.select("_file").distinct().collect()}
+    if order == ARRIVAL:
+        places = natural_places(files.values())
+    else:
+        places = fixed_places(files.values(), widths)
+    lines = with_order(batch, {f: places[n] for f, n in files.items()},
+                       batch_id if order == ARRIVAL else None)
+    return lines, places
 
 
 def read_changelog_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 1,
@@ -73,7 +192,13 @@ def read_changelog_stream(spark: SparkSession, path: str, files_per_trigger: int
 
 def write_changelog(changes: DataFrame, path: str, order: str = "seq", line: str = "line",
                     partitions: int | None = None, mode: str = "overwrite") -> None:
-    """A5: write ``line`` in ``order`` as text; part numbers follow the change order."""
-    n = partitions or changes.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    """A5: write ``line`` in ``order`` as text; part numbers follow the change order, and each
+    append goes to the folder of the next batch number, so it comes after all before it."""
+    spark = changes.sparkSession
+    n = partitions or spark.conf.get("spark.sql.shuffle.partitions")
+    if mode == "append":
+        done = [int(x[len(BATCH) + 1:]) for x in storage.children(spark, path)
+                if x.startswith(f"{BATCH}=")]
+        path, mode = f"{path.rstrip('/')}/{BATCH}={max(done, default=-1) + 1}", "overwrite"
     (changes.repartitionByRange(int(n), F.col(order)).sortWithinPartitions(order)
      .select(F.col(line).alias("value")).write.mode(mode).text(path))

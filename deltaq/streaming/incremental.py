@@ -32,6 +32,7 @@ row per changed group per micro-batch, with the version that changed it.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -46,7 +47,8 @@ from ..params import DEFAULT, Q3Params
 from ..schemas import DRIVER, Layout
 from ..sources import storage
 from ..sources.bronze import read_bronze, write_bronze
-from ..sources.changelog import NAME, line_order, read_changelog_stream
+from ..sources.changelog import (
+    NAME, WIDTHS, OrderError, batch_order, read_changelog_stream, source_columns)
 from .normalise import BATCH_COL, COMPACT_EVERY, normalise
 
 GROUP = ["l_orderkey", "o_orderdate", "o_shippriority"]
@@ -94,15 +96,35 @@ def prepare(spark: SparkSession, paths: Paths) -> Paths:
     return paths
 
 
+def check_places(spark: SparkSession, paths: Paths, batch_id: int, places: dict[str, int]) -> None:
+    """Keep the files of a micro-batch (one row each) and fail where one takes the place of a file
+    of an earlier batch."""
+    folder = paths.of("files")
+    (spark.createDataFrame(list(places.items()), "file string, place bigint").coalesce(1)
+     .write.mode("overwrite").parquet(f"{folder}/{BATCH_COL}={batch_id}"))
+    tie = (spark.read.schema(f"file string, place bigint, {BATCH_COL} int").parquet(folder)
+           .groupBy("place").agg(F.min("file").alias("a"), F.max("file").alias("b"))
+           .filter("a <> b").first())
+    if tie:
+        raise OrderError(f"nothing in their names orders {tie.a} and {tie.b}")
+
+
 def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
                     params: Q3Params = DEFAULT, compact_every: int = COMPACT_EVERY,
-                    order: str = NAME):
-    """The foreachBatch body of the changes query."""
+                    order: str = NAME, root: str = "", widths: Sequence[int] = WIDTHS,
+                    on_batch: Callable[[int, DataFrame], DataFrame] | None = None):
+    """The foreachBatch body of the changes query.  ``root`` is the folder of the changelog;
+    ``on_batch`` may watch the parsed lines of each batch (see ``observe``)."""
+    root = storage.qualified(spark, root) if root else ""
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        lines = batch.select(
-            line_order(F.col("_file"), F.col("_block"), batch_id, order).alias("seq"), "value")
+        lines, places = batch_order(batch, root, batch_id, order, widths)
+        if order == NAME:
+            check_places(spark, paths, batch_id, places)
         part = f"{BATCH_COL}={batch_id}"
-        write_bronze(P.parse(lines, layout), paths.of("bronze", part), layout)
+        parsed = P.parse(lines, layout)
+        write_bronze(on_batch(batch_id, parsed) if on_batch else parsed,
+                     paths.of("bronze", part), layout)
 
         def one(spec) -> None:
             # The bronze table is the change log: of it, only the batches asked for are read.
@@ -129,12 +151,14 @@ def start_changes(spark: SparkSession, changelog_dir: str, paths: Paths,
                   available_now: bool = True, processing_time: str | None = None,
                   params: Q3Params = DEFAULT, wrap=None,
                   compact_every: int = COMPACT_EVERY, order: str = NAME,
-                  bytes_per_trigger: str | None = None) -> StreamingQuery:
+                  bytes_per_trigger: str | None = None, widths: Sequence[int] = WIDTHS,
+                  on_batch: Callable[[int, DataFrame], DataFrame] | None = None,
+                  ) -> StreamingQuery:
     """Start the changes query; ``wrap`` may decorate the batch function (tests use it)."""
-    src = read_changelog_stream(spark, changelog_dir, files_per_trigger, bytes_per_trigger).select(
-        "value", F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"))
-    fn = process_changes(spark, prepare(spark, paths), layout, params, compact_every, order)
+    src = source_columns(
+        read_changelog_stream(spark, changelog_dir, files_per_trigger, bytes_per_trigger))
+    fn = process_changes(spark, prepare(spark, paths), layout, params, compact_every, order,
+                         changelog_dir, widths, on_batch)
     w = (src.writeStream.foreachBatch(wrap(fn) if wrap else fn)
          .option("checkpointLocation", paths.of("checkpoints", "changes")))
     w = w.trigger(availableNow=True) if available_now else \
@@ -292,16 +316,20 @@ def drained(query: StreamingQuery) -> None:
 
 def run_changes(spark: SparkSession, changelog_dir: str, paths: Paths, layout: Layout = DRIVER,
                 files_per_trigger: int | None = 1, params: Q3Params = DEFAULT,
-                compact_every: int = COMPACT_EVERY, order: str = NAME) -> None:
+                compact_every: int = COMPACT_EVERY, order: str = NAME,
+                widths: Sequence[int] = WIDTHS,
+                on_batch: Callable[[int, DataFrame], DataFrame] | None = None) -> None:
     drained(start_changes(spark, changelog_dir, paths, layout, files_per_trigger, params=params,
-                          compact_every=compact_every, order=order))
+                          compact_every=compact_every, order=order, widths=widths,
+                          on_batch=on_batch))
 
 
 def run_q3(spark: SparkSession, changelog_dir: str, paths: Paths, params: Q3Params = DEFAULT,
            layout: Layout = DRIVER, files_per_trigger: int | None = 1, order: str = NAME,
-           ) -> DataFrame:
+           widths: Sequence[int] = WIDTHS) -> DataFrame:
     """Drain the changelog through both streaming queries, then return the snapshot."""
-    run_changes(spark, changelog_dir, paths, layout, files_per_trigger, params, order=order)
+    run_changes(spark, changelog_dir, paths, layout, files_per_trigger, params, order=order,
+                widths=widths)
     drained(start_join(spark, paths))
     return snapshot(spark, paths.delta)
 

@@ -89,10 +89,11 @@ def test_part_numbers_order_as_numbers_in_the_batch_reader(spark, scratch):
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
-def test_a_name_without_a_number_is_an_error_in_name_order(spark, scratch):
+def test_a_name_without_a_number_is_an_error_of_a_stream_in_name_order(spark, scratch):
     write_file(os.path.join(scratch, "in"), "abc.txt", [cust("INSERT", 1)])
     with pytest.raises(Exception, match="no number"):
-        read_changelog(spark, os.path.join(scratch, "in")).collect()
+        I.run_changes(spark, os.path.join(scratch, "in"),
+                      I.Paths(os.path.join(scratch, "work")), REFERENCE)
 
 
 @pytest.mark.parametrize("markers", ["true", "false"])
