@@ -15,6 +15,7 @@ from ..functions.expressions import (
     hash_rank, ordered_before, revenue, segment_is, shipped_after)
 from ..operators import parse as P
 from ..operators import replay as R
+from ..operators import running as U
 from ..operators import synth as S
 from ..params import DEFAULT
 from ..schemas import DRIVER, REVENUE
@@ -228,6 +229,23 @@ def noop_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _union(parts)
 
 
+@register("running_revenue_by_change", O.with_rounds(O.BY_CHANGE, live=True))
+def running_revenue_by_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line-item change that takes effect on an order of the flagship query (live,
+    before its date, of a live customer in the segment), with the order's revenue after it."""
+    routes = _routes(spark, sf_dir)
+    live = C.replayed({t: routes[t] for t in ("customer", "orders")})
+    cust = live["customer"].filter(segment_is(DEFAULT)).select("c_custkey")
+    orders = live["orders"].filter(ordered_before(DEFAULT)).join(
+        cust, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
+    effects = U.line_item_effects(routes["lineitem"], DRIVER["lineitem"].key)
+    effects = effects.join(orders.select("o_orderkey", "o_orderdate", "o_shippriority"),
+                           F.col("l_orderkey") == F.col("o_orderkey"))
+    return U.running_revenue(effects, ["l_orderkey", "o_orderdate", "o_shippriority"]).select(
+        "l_orderkey", "o_orderdate", "o_shippriority", "l_linenumber", "seq", "op", "revenue",
+        "live")
+
+
 @register("active_counts", O.with_rounds(O.ACTIVE_BODY, live=True))
 def active_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live copies per key, all three tables."""

@@ -151,6 +151,28 @@ NOOP_BODY = (
         f"AS prev_op FROM rc_{t}" for t in SRC)
     + ") WHERE op = 'DELETE' GROUP BY tbl")
 
+# D4 per change: what each change adds or takes away (a DELETE: all that its key got since the
+# DELETE before it), summed per order up to the change.
+BY_CHANGE = f""",
+ev AS (SELECT l_orderkey, l_linenumber, seq, op,
+  CASE WHEN op = 'INSERT' AND l_shipdate > {DEFAULT.ship_date_sql}
+       THEN l_extendedprice * (1 - l_discount) ELSE 0 END AS r,
+  CASE WHEN op = 'INSERT' AND l_shipdate > {DEFAULT.ship_date_sql} THEN 1 ELSE 0 END AS c
+  FROM rc_lineitem),
+since AS (SELECT *, count(*) FILTER (WHERE op = 'DELETE') OVER (
+  PARTITION BY l_orderkey, l_linenumber ORDER BY seq
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS g FROM ev),
+eff AS (SELECT l_orderkey, l_linenumber, seq, op,
+  CASE WHEN op = 'DELETE' THEN -sum(r) OVER part ELSE r END AS r,
+  CASE WHEN op = 'DELETE' THEN -sum(c) OVER part ELSE c END AS c
+  FROM since WINDOW part AS (PARTITION BY l_orderkey, l_linenumber, g))
+SELECT l_orderkey, o_orderdate, CAST(0 AS INTEGER) AS o_shippriority, l_linenumber, eff.seq, op,
+  CAST(sum(r) OVER total AS DECIMAL(18,4)) AS revenue, CAST(sum(c) OVER total AS BIGINT) AS live
+FROM eff JOIN live_orders ON l_orderkey = o_orderkey
+WHERE c <> 0 AND o_orderdate < {DEFAULT.order_date_sql} AND o_custkey IN (
+  SELECT c_custkey FROM live_customer WHERE c_mktsegment = '{DEFAULT.segment}')
+WINDOW total AS (PARTITION BY l_orderkey ORDER BY eff.seq)"""
+
 ACTIVE_BODY = " UNION ALL ".join(
     f"SELECT '{t}' AS tbl, {KEYS[t][0]} AS k1, "
     + (f"{KEYS[t][1]}" if len(KEYS[t]) > 1 else "CAST(NULL AS INTEGER)")
