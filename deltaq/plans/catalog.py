@@ -308,6 +308,14 @@ from . import incremental as INC  # noqa: E402
 _CLOSED_Q3 = O.with_rounds(O.q3_over("cf_customer", "cf_orders", "cf_lineitem"), closed=True)
 
 register("stream_q3", _CLOSED_Q3)(INC.stream_q3)
+register("stream_keyed_q3", _CLOSED_Q3)(INC.stream_keyed_q3)
+register("stream_semi_join_orders", O.with_rounds(f"""
+SELECT o_orderkey, o_custkey, o_orderdate, count(*) AS w FROM cf_orders
+WHERE o_orderdate < {DEFAULT.order_date_sql} AND o_custkey IN (
+  SELECT c_custkey FROM cf_customer WHERE c_mktsegment = '{DEFAULT.segment}' UNION ALL
+  SELECT c_custkey FROM tc WHERE c_mktsegment = '{DEFAULT.segment}'
+    AND ({INC.REPEATED['customer']}))
+GROUP BY o_orderkey, o_custkey, o_orderdate""", closed=True))(INC.stream_semi_join_orders)
 register("incremental_revenue", _CLOSED_Q3)(INC.incremental_revenue)
 register("latest_per_key", _CLOSED_Q3)(INC.latest_per_key)
 register("stream_running_revenue", O.RUNNING)(INC.running_updates)

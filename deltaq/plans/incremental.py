@@ -11,10 +11,12 @@ from ..operators import parse as P
 from ..params import DEFAULT, Q3Params
 from ..schemas import DRIVER
 from ..session import work_dir
-from ..operators.synth import ROUND_OPS
+from ..operators.synth import ROUND_OPS, ROUND_RULES, round_changes
 from ..sources import storage
 from ..sources.changelog import ARRIVAL, write_changelog
+from ..sources.tables import load_tables
 from ..streaming import incremental as I
+from ..streaming import keyed as K
 from ..streaming.normalise import normalise
 from . import changes as C
 
@@ -23,14 +25,15 @@ COMPACT_EVERY = 2
 ROUNDS = len(ROUND_OPS)
 
 
-def changes_run(spark: SparkSession, sf_dir: str, each=None) -> I.Paths:
+def changes_run(spark: SparkSession, sf_dir: str, each=None, changes: DataFrame | None = None,
+                rounds: int = ROUNDS) -> I.Paths:
     """Feed the rounds changelog to the streaming changes query, one round after another: each
     round arrives as one micro-batch, whatever the session's settings, and the query resumes from
     its checkpoint for the next.  ``each`` runs after every round (the queries downstream)."""
     paths = I.Paths(work_dir(spark, "stream"))
     text = paths.of("text")
-    changes = C.rounds(spark, sf_dir)
-    for r in range(ROUNDS):
+    changes = C.rounds(spark, sf_dir) if changes is None else changes
+    for r in range(rounds):
         write_changelog(changes.filter(F.col("rnd") == r), text, mode="append")
         I.run_changes(spark, text, paths, DRIVER, files_per_trigger=None,
                       compact_every=COMPACT_EVERY, order=ARRIVAL)
@@ -80,6 +83,33 @@ def stream_join_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.sum("w").alias("w")).filter(F.col("w") != 0))
 
 
+def stream_keyed_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1-J4 on Spark's keyed state: both joins drain every round; the snapshot of their changes."""
+    paths = changes_run(spark, sf_dir, lambda paths: K.drain(spark, paths))
+    return K.keyed_snapshot(spark, paths)
+
+
+# A round after the others that inserts some customers once more, so that many are
+# live twice.
+REPEATED = {"customer": "c_custkey % 3 = 0", "orders": "FALSE", "lineitem": "FALSE"}
+
+
+def stream_semi_join_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J7 in the stream: orders (before the date) that have a live customer in the segment, each as
+    often as it is live itself, however often its customer is."""
+    rules = {t: (*rules, REPEATED[t]) for t, rules in ROUND_RULES.items()}
+    changes = round_changes(load_tables(spark, sf_dir), DRIVER, rules, (*ROUND_OPS, "INSERT"))
+
+    def gate(paths: I.Paths) -> None:
+        I.drained(I.start_sink(K.gated_orders(spark, I.prepare(spark, paths)), paths.of("gated"),
+                               paths.of("checkpoints", "gated")))
+
+    paths = changes_run(spark, sf_dir, gate, changes, ROUNDS + 1)
+    return (spark.read.schema(K.JOINED_ORDERS).parquet(paths.of("gated"))
+            .groupBy("o_orderkey", "o_custkey", "o_orderdate").agg(F.sum("w").alias("w"))
+            .filter(F.col("w") != 0))
+
+
 RUNNING = (f"{', '.join(c + ' ' + t for c, t in zip(I.GROUP, ('bigint', 'date', 'int')))}, "
            "revenue decimal(18,4), live bigint, version int")
 
