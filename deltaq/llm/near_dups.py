@@ -4,7 +4,8 @@ A document's set holds the hashes (64 bits) of its distinct 5-word shingles; doc
 sets are one node, numbered for itself and standing for its smallest doc_id.  Every node has 128 minwise tokens.  Each of
 a threshold's independent trees deals the nodes by chosen tokens: at a tree node one position, and
 with probability 1 / threshold - 1 a second, is chosen, the same for all that are there, and each
-document goes to the child of its token at that position.  Documents that share no token with any other leave
+document goes to the child of its token at that position.  A node of the first level that is one
+dense group is not branched, as no token splits it.  Documents that share no token with any other leave
 the tree; a child with few documents is compared exhaustively; a larger one branches again.  What
 is still large at the last level is dealt over blocks that are compared pair by pair of blocks, so
 nothing is capped.
@@ -55,6 +56,8 @@ MISSES = 4.1e-5         # chance, second positions at every level, that a pair m
 SMALL = 256             # documents that are compared exhaustively, and block size beyond
 #: Ids up to this many (8 bytes each) are broadcast, more are joined by a shuffle.
 BROADCAST_IDS = 200_000
+BROADCAST_NODES = 10_000    # rows of 0.5 kB
+DENSE = 0.5             # share of a node's documents like its first one from which it is not branched
 SEGMENT = 1 << 22
 MAX_WORDS = 100_000     # word hashes a worker remembers
 
@@ -218,12 +221,44 @@ def _sized(paths: DataFrame) -> DataFrame:
     return paths.join(sizes.filter("size > 1"), "node")
 
 
+def dense_nodes(large: DataFrame, tokens: DataFrame, at: Threshold) -> DataFrame:
+    """(node): large tree nodes most of whose documents are like their first one.  Such a group
+    shares nearly all tokens, so no choice of tokens would split it: it is compared in blocks, like
+    what is still large at the last level, instead of being dragged through all levels."""
+    firsts = materialize(large.filter(F.col("rep") == F.col("first")).select("node", "rep").join(
+        tokens, "rep").select("node", F.col("tokens").alias("_first")), "node-firsts")
+    # One row a large node, so at most one for every SMALL rows of the level.
+    few = firsts.count() <= BROADCAST_NODES
+    rows = large.select("node", "rep").join(tokens, "rep").join(
+        F.broadcast(firsts) if few else firsts, "node").select("node", "tokens", "_first")
+
+    def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            if part.num_rows:
+                x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint32).reshape(
+                    -1, TOKENS) for c in ("tokens", "_first"))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node"), pa.array((x == y).sum(1) >= at.agree)],
+                    names=["node", "alike"])
+
+    return (rows.mapInArrow(compare, "node long, alike boolean").groupBy("node")
+            .agg(F.avg(F.col("alike").cast("int")).alias("_share"))
+            .filter(F.col("_share") >= DENSE).select("node"))
+
+
 def chosen_paths(reps: DataFrame, at: Threshold) -> DataFrame:
     """(node, rep, size, first): the leaves of all trees that hold more than one document."""
     tokens = reps.select("rep", "tokens")
     level = materialize(_sized(tokens.mapInArrow(
         lambda parts: _branch(parts, True, at), "node long, rep long")), "paths")
     leaves = level.filter(F.col("size") <= SMALL)
+    dense = materialize(dense_nodes(level.filter(F.col("size") > SMALL), tokens, at), "dense")
+    if not is_empty(dense):
+        # At most one row for every SMALL of the level's.
+        few = dense.count() <= BROADCAST_IDS
+        dense = F.broadcast(dense) if few else dense
+        leaves = leaves.unionByName(level.join(dense, "node", "left_semi"))
+        level = level.join(dense, "node", "left_anti")
     for depth in range(1, LEVELS):
         large = level.filter(F.col("size") > SMALL)
         if is_empty(large):
@@ -345,7 +380,9 @@ def _common(values: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np
         x = np.zeros((len(values), min(4096, len(names) - at)), np.float32)
         x[owner[here], number[here] - at] = 1
         out += x[left] @ x[right].T
-    return out.astype(np.int64)
+    lengths = np.array([len(v) for v in values])
+    itself = left[:, None] == right[None, :]
+    return np.where(itself, lengths[left][:, None], out.astype(np.int64))
 
 
 def exact_links(rows: DataFrame, docs: DataFrame, reps: DataFrame, at: Threshold) -> DataFrame:
@@ -510,13 +547,17 @@ def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFram
 
 def _one_of_each(rows: DataFrame, percent: int) -> DataFrame:
     """(_row) of rows (_row, doc_id, text): of each component its first document, once."""
-    kept = materialize(_grouped(rows.select("doc_id", "text"), percent).filter("kept").select(
-        F.col("doc_id").alias("_kept"), F.coalesce("key", F.lit(b"")).alias("_key")).distinct(),
-        "kept")
+    grouped = materialize(_grouped(rows.select("doc_id", "text"), percent).select(
+        F.col("doc_id").alias("_kept"), F.coalesce("key", F.lit(b"")).alias("_key"), "kept"),
+        "grouped")
     repeated = materialize(rows.groupBy(F.col("doc_id").alias("_again")).agg(
         F.count("*").alias("_c")).filter("_c > 1").select("_again"), "repeated-ids")
-    ids = kept.select("_kept").distinct()
-    rows = rows.join(ids, F.col("doc_id") == F.col("_kept"), "left_semi")
+    # The ids that go are few beside those that stay: while they fit a broadcast, no text is moved.
+    gone = materialize(grouped.groupBy(F.col("_kept").alias("_gone")).agg(
+        F.max("kept").alias("_stays")).filter("not _stays").select("_gone"), "gone")
+    few = gone.count() <= BROADCAST_IDS
+    rows = rows.join(F.broadcast(gone) if few else gone, F.col("doc_id") == F.col("_gone"),
+                     "left_anti")
     if is_empty(repeated):
         return rows.select("_row")
     once = rows.join(repeated, F.col("doc_id") == F.col("_again"), "left_anti")
@@ -527,5 +568,6 @@ def _one_of_each(rows: DataFrame, percent: int) -> DataFrame:
         F.col("doc_id").alias("_n"), F.coalesce("key", F.lit(b"")).alias("_key"))
     one = again.select("_n", F.col("doc_id").alias("_kept"), F.xxhash64("text").alias("_h")).join(
         keys, "_n").groupBy("_kept", "_key").agg(F.min(F.struct("_h", "_n"))["_n"].alias("_n"))
+    kept = grouped.filter("kept").select("_kept", "_key").distinct()
     one = one.join(kept, ["_kept", "_key"], "left_semi").select("_n")
     return once.select("_row").unionByName(again.join(one, "_n", "left_semi").select("_row"))

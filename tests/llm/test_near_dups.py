@@ -16,7 +16,7 @@ def shingle_set(text):
     return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets = {i: shingle_set(t) for i, t in rows if i is not None}
     component = {i: i for i in sets}
 
@@ -30,7 +30,7 @@ def brute(rows):
         for j in ids[:n]:
             a, b = sets[i], sets[j]
             common = len(a & b)
-            if common and 100 * common >= 85 * (len(a) + len(b) - common):
+            if common and 100 * common >= percent * (len(a) + len(b) - common):
                 x, y = root(i), root(j)
                 component[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), root(i)) for i in ids}
@@ -76,11 +76,45 @@ def test_null_ids_and_repeated_rows(spark, docs):
 
 def test_filter_keeps_one_row_of_a_group(spark, docs):
     text = "a b c d e f g h i j"
-    rows = [(3, text), (1, text), (1, text), (2, text + " k"), (5, "x"), (None, text)]
+    # The sets of 1 and 2 share 6 of 7 shingles (0.857), those of 2 and 4 share 7 of 8 (0.875).
+    rows = [(3, text), (1, text), (1, text), (2, text + " k"), (4, text + " k l"), (5, "x"),
+            (None, text)]
     kept = near_dups.without_near_duplicates(docs(rows, "kept"))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "kept"]
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted(
-        [(0, text), (1, text), (2, text + " k"), (5, "x")])
+        [(0, text), (1, text), (5, "x")])
+
+
+def test_filter_leaves_apart_what_is_less_alike(spark, docs):
+    text = "a b c d e f g h i j"
+    rows = [(1, text), (4, text + " k l")]
+    kept = near_dups.without_near_duplicates(docs(rows))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
+
+
+def test_dense_groups_are_not_branched(spark, docs, monkeypatch):
+    """One group larger than a block, of near copies: a leaf at once, with the same components."""
+    monkeypatch.setattr(near_dups, "SMALL", 16)
+    rng = random.Random(2)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        w[rng.randrange(400)] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, " ".join(rng.choices(base, k=60))) for i in range(30)]
+    table = docs(rows)
+    described = near_dups.materialize(near_dups.describe(table), "t").filter("key is not null")
+    reps = described.selectExpr("doc_id as rep", "tokens")
+    at = near_dups.Threshold(85)
+    paths = near_dups._sized(reps.mapInArrow(
+        lambda parts: near_dups._branch(parts, True, at), "node long, rep long"))
+    large = near_dups.materialize(paths.filter("size > 16"), "t")
+    dense = {r.node for r in near_dups.dense_nodes(large, reps, at).collect()}
+    assert dense == {r.node for r in large.collect()} and dense
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in near_dups.op6_minhash_dedup(table).collect()}
+    assert got == brute(rows)
 
 
 def test_empty_table(spark, docs):

@@ -21,7 +21,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 def test_registered():
     names = set(E.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and set(queries.ORACLE_SQL) <= set(E.oracle_sql())
 
 
@@ -49,7 +49,7 @@ def test_stages(spark):
     assert {r.doc_id for r in after.collect()} == clean
 
     before, after = out["minhash_dedup"]
-    groups = brute([(r.doc_id, r.text) for r in before.collect()])
+    groups = brute([(r.doc_id, r.text) for r in before.collect()], corpus_pipeline.DEDUP_PERCENT)
     assert sorted(r.doc_id for r in after.collect()) == sorted(
         i for i, (_, c) in groups.items() if c == i)
 
