@@ -414,6 +414,9 @@ def reconcile_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _reconciled(spark, sf_dir)
     return E.preview(r.missing, "missing").unionByName(E.preview(r.extra, "extra"))
 
+register("stream_live_audit", O.with_rounds(
+    "SELECT tbl, op, 'accepted' AS status, count(*) AS n FROM rc GROUP BY tbl, op"))(
+    INC.stream_live_audit)
 register("stream_audit", O.with_rounds(
     "SELECT tbl, op, 'accepted' AS status, count(*) AS n FROM rc GROUP BY tbl, op"))(
     INC.stream_audit)

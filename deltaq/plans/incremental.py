@@ -17,6 +17,7 @@ from ..sources.changelog import ARRIVAL, write_changelog
 from ..sources.tables import load_tables
 from ..streaming import incremental as I
 from ..streaming import keyed as K
+from ..streaming.live_audit import LiveAudit
 from ..streaming.normalise import normalise
 from . import changes as C
 
@@ -26,7 +27,7 @@ ROUNDS = len(ROUND_OPS)
 
 
 def changes_run(spark: SparkSession, sf_dir: str, each=None, changes: DataFrame | None = None,
-                rounds: int = ROUNDS) -> I.Paths:
+                rounds: int = ROUNDS, on_batch=None) -> I.Paths:
     """Feed the rounds changelog to the streaming changes query, one round after another: each
     round arrives as one micro-batch, whatever the session's settings, and the query resumes from
     its checkpoint for the next.  ``each`` runs after every round (the queries downstream)."""
@@ -36,7 +37,7 @@ def changes_run(spark: SparkSession, sf_dir: str, each=None, changes: DataFrame
     for r in range(rounds):
         write_changelog(changes.filter(F.col("rnd") == r), text, mode="append")
         I.run_changes(spark, text, paths, DRIVER, files_per_trigger=None,
-                      compact_every=COMPACT_EVERY, order=ARRIVAL)
+                      compact_every=COMPACT_EVERY, order=ARRIVAL, on_batch=on_batch)
         if each is not None:
             each(paths)
     return paths
@@ -205,3 +206,10 @@ def drop_dead_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D10 over the streaming run: every line the changes query saw, by table, op and status."""
     return I.audit(spark, changes_run(spark, sf_dir), DRIVER)
+
+
+def stream_live_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D10 as it happens: the counts that each micro-batch gave while its lines were written."""
+    live = LiveAudit(spark, work_dir(spark, "live_audit"), DRIVER)
+    changes_run(spark, sf_dir, on_batch=live.watch)
+    return live.counts()

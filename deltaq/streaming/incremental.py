@@ -51,6 +51,9 @@ from ..sources.changelog import (
     NAME, WIDTHS, OrderError, batch_order, read_changelog_stream, source_columns)
 from .normalise import BATCH_COL, COMPACT_EVERY, normalise
 
+#: (batch id, parsed lines) -> the lines to write, and what to call when they are written.
+OnBatch = Callable[[int, DataFrame], tuple[DataFrame, Callable[[], None]]]
+
 GROUP = ["l_orderkey", "o_orderdate", "o_shippriority"]
 WREV = T.DecimalType(38, 4)
 
@@ -112,9 +115,9 @@ def check_places(spark: SparkSession, paths: Paths, batch_id: int, places: dict[
 def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
                     params: Q3Params = DEFAULT, compact_every: int = COMPACT_EVERY,
                     order: str = NAME, root: str = "", widths: Sequence[int] = WIDTHS,
-                    on_batch: Callable[[int, DataFrame], DataFrame] | None = None):
+                    on_batch: OnBatch | None = None):
     """The foreachBatch body of the changes query.  ``root`` is the folder of the changelog;
-    ``on_batch`` may watch the parsed lines of each batch (see ``observe``)."""
+    ``on_batch`` may watch the parsed lines of each batch (see ``live_audit``)."""
     root = storage.qualified(spark, root) if root else ""
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -123,8 +126,10 @@ def process_changes(spark: SparkSession, paths: Paths, layout: Layout = DRIVER,
             check_places(spark, paths, batch_id, places)
         part = f"{BATCH_COL}={batch_id}"
         parsed = P.parse(lines, layout)
-        write_bronze(on_batch(batch_id, parsed) if on_batch else parsed,
-                     paths.of("bronze", part), layout)
+        parsed, written = on_batch(batch_id, parsed) if on_batch else (parsed, None)
+        write_bronze(parsed, paths.of("bronze", part), layout)
+        if written:
+            written()
 
         def one(spec) -> None:
             # The bronze table is the change log: of it, only the batches asked for are read.
@@ -152,7 +157,7 @@ def start_changes(spark: SparkSession, changelog_dir: str, paths: Paths,
                   params: Q3Params = DEFAULT, wrap=None,
                   compact_every: int = COMPACT_EVERY, order: str = NAME,
                   bytes_per_trigger: str | None = None, widths: Sequence[int] = WIDTHS,
-                  on_batch: Callable[[int, DataFrame], DataFrame] | None = None,
+                  on_batch: OnBatch | None = None,
                   ) -> StreamingQuery:
     """Start the changes query; ``wrap`` may decorate the batch function (tests use it)."""
     src = source_columns(
@@ -318,7 +323,7 @@ def run_changes(spark: SparkSession, changelog_dir: str, paths: Paths, layout: L
                 files_per_trigger: int | None = 1, params: Q3Params = DEFAULT,
                 compact_every: int = COMPACT_EVERY, order: str = NAME,
                 widths: Sequence[int] = WIDTHS,
-                on_batch: Callable[[int, DataFrame], DataFrame] | None = None) -> None:
+                on_batch: OnBatch | None = None) -> None:
     drained(start_changes(spark, changelog_dir, paths, layout, files_per_trigger, params=params,
                           compact_every=compact_every, order=order, widths=widths,
                           on_batch=on_batch))
