@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -48,6 +51,15 @@ def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hand_back() -> None:
+    """Give memory that a finished task has freed back to the system: a Python worker lives on for
+    the tasks of later stages, which share an executor's memory with it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):      # where the C library is another
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 

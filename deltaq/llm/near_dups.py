@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deltaq.llm.common import is_empty, materialize, mix64
+from deltaq.llm.common import hand_back, is_empty, materialize, mix64
 from deltaq.llm.graph import connected_components, forest, runs, with_cells
 
 WORDS = 5
@@ -159,6 +159,8 @@ def describe(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
                  pa.array(tokens, pa.binary())], names=["doc_id", "n_shingles", "key", "tokens"])
+        _HASHES.clear()
+        hand_back()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary")
                        ).mapInArrow(
