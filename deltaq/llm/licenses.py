@@ -3,9 +3,12 @@
 A text is cut into sentences; each is normalised (lower case, anything but letters, digits and
 ``.+-`` to one space, full stops at word ends and hyphens that stand alone gone, so comment marks
 do not matter; the stop in "license, v. 2.0" ends no sentence) and mapped to the identifiers of the known
-licence sentences it holds, in order.  The identifiers of a document, in order, are then matched
-against rules: a licence is found where its rule's identifiers follow each other, unknown
-sentences between them aside.
+licence sentences it holds, in order.  One search per sentence finds them all: the known sentences
+are one pattern that branches word by word, so its cost at a place does not grow with their number.
+"Not released under ..." and "no longer licensed under ..." name no licence.  The identifiers of a
+document, in order, are then matched against rules: a licence is found where its rule's identifiers
+follow each other, unknown sentences between them aside.  Of an SPDX expression the first identifier
+is read.
 
 Result per document: ``licenses`` (names joined by ``;``, in the order of the rules),
 ``sentence_ids`` (joined by ``,``), and ``status``: ``known`` (a rule matched), ``partial`` (known
@@ -19,6 +22,8 @@ ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +74,51 @@ SENTENCES = {
     33: "this work is licensed under the gnu lesser general public license version 3",
     34: "released under the bsd license",
     35: "the person who associated a work with this deed has dedicated the work to the public domain",
+    36: "licensed under the apache license 2.0",
+    37: "this program is free software you can redistribute it and or modify it under the terms of "
+        "the gnu affero general public license as published by the free software foundation either "
+        "version 3 of the license or at your option any later version",
+    38: "this work is licensed under the gnu affero general public license version 3",
+    39: "this library is free software you can redistribute it and or modify it under the terms of "
+        "the gnu lesser general public license as published by the free software foundation either "
+        "version 2.1 of the license or at your option any later version",
+    40: "this library is free software you can redistribute it and or modify it under the terms of "
+        "the gnu lesser general public license as published by the free software foundation either "
+        "version 3 of the license or at your option any later version",
+    41: "this work is licensed under the gnu lesser general public license version 2.1",
+    42: "distributed under the boost software license version 1.0",
+    43: "permission is hereby granted free of charge to any person or organization obtaining a copy "
+        "of the software and accompanying documentation covered by this license",
+    44: "this program and the accompanying materials are made available under the terms of the "
+        "eclipse public license 2.0",
+    45: "this program and the accompanying materials are made available under the terms of the "
+        "eclipse public license v2.0",
+    46: "this software is provided as-is without any express or implied warranty",
+    47: "permission is granted to anyone to use this software for any purpose including commercial "
+        "applications and to alter it and redistribute it freely subject to the following "
+        "restrictions",
+    48: "the contents of this file are subject to the terms of the common development and "
+        "distribution license",
 }
+# Identifiers after "SPDX-License-Identifier:", by the name they stand for.  Their
+# sentences are numbered from 101 on.
+SPDX = {
+    "MIT": ("MIT",), "Apache-2.0": ("Apache-2.0",), "GPL-3.0": ("GPL-3.0", "GPL-3.0-only"),
+    "GPL-3.0-or-later": ("GPL-3.0-or-later", "GPL-3.0+"), "GPL-2.0": ("GPL-2.0", "GPL-2.0-only"),
+    "GPL-2.0-or-later": ("GPL-2.0-or-later", "GPL-2.0+"),
+    "LGPL-3.0": ("LGPL-3.0", "LGPL-3.0-only"), "LGPL-3.0-or-later": ("LGPL-3.0-or-later",),
+    "LGPL-2.1": ("LGPL-2.1", "LGPL-2.1-only"),
+    "LGPL-2.1-or-later": ("LGPL-2.1-or-later", "LGPL-2.1+"),
+    "AGPL-3.0": ("AGPL-3.0", "AGPL-3.0-only"), "AGPL-3.0-or-later": ("AGPL-3.0-or-later",),
+    "BSD-3-Clause": ("BSD-3-Clause",), "BSD-2-Clause": ("BSD-2-Clause",),
+    "CC-BY-4.0": ("CC-BY-4.0",), "CC-BY-SA-4.0": ("CC-BY-SA-4.0",),
+    "CC-BY-NC-4.0": ("CC-BY-NC-4.0",), "CC-BY-ND-4.0": ("CC-BY-ND-4.0",),
+    "CC-BY-NC-SA-4.0": ("CC-BY-NC-SA-4.0",), "CC0-1.0": ("CC0-1.0",), "ISC": ("ISC",),
+    "MPL-2.0": ("MPL-2.0",), "Unlicense": ("Unlicense",), "BSL-1.0": ("BSL-1.0",),
+    "EPL-2.0": ("EPL-2.0",), "Zlib": ("Zlib",), "CDDL": ("CDDL-1.0", "CDDL-1.1"),
+}
+_SPDX = [(name, f"spdx-license-identifier {i.lower()}") for name, ids in SPDX.items() for i in ids]
+SENTENCES |= {101 + k: s for k, (_, s) in enumerate(_SPDX)}
 # Ordered rules, licence name to the identifiers that must follow each other.
 RULES = [
     ("MIT", (1,)), ("MIT", (2,)), ("MIT", (3, 4, 5)), ("MIT", (3, 4)),
@@ -82,7 +131,11 @@ RULES = [
     ("CC-BY-NC-4.0", (20,)), ("CC-BY-NC-4.0", (27,)), ("CC-BY-ND-4.0", (23,)),
     ("CC-BY-NC-SA-4.0", (24,)), ("CC0-1.0", (35,)),
     ("ISC", (28, 29)), ("MPL-2.0", (30,)), ("Unlicense", (31,)),
-]
+    ("Apache-2.0", (36,)), ("AGPL-3.0-or-later", (37,)), ("AGPL-3.0", (38,)),
+    ("LGPL-2.1-or-later", (39,)), ("LGPL-3.0-or-later", (40,)), ("LGPL-2.1", (41,)),
+    ("BSL-1.0", (42,)), ("BSL-1.0", (43,)), ("EPL-2.0", (44,)), ("EPL-2.0", (45,)),
+    ("Zlib", (46, 47)), ("CDDL", (48,)),
+] + [(name, (101 + k,)) for k, (name, _) in enumerate(_SPDX)]
 #: Every known sentence holds one of these words, so sentences without any are passed over.
 KEYWORDS = ("licen", "permission", "permitted", "warrant", "redistribut", "copyright",
             "neither the name", "public domain", "public license")
@@ -90,6 +143,9 @@ _HINT = "|".join(KEYWORDS)
 #: Between the words of a keyword there may be a line end and a comment mark.
 _GAPPED = _HINT.replace(" ", "[^a-z0-9]+")
 _CUT = "\u0001"
+#: A declaration that is denied, as normalised.
+_DENIED = (" (?:not|never|no longer|isn t|aren t|wasn t)(?: be| been| being| currently| yet)?"
+           " (?:released|licensed|distributed) under ")
 
 
 def sentences_of(text: Column) -> Column:
@@ -104,12 +160,26 @@ def sentences_of(text: Column) -> Column:
     return F.transform(words, lambda s: F.trim(F.regexp_replace(s, "(^| )-+(?= |$)", "")))
 
 
+def _branching(sentences: list[list[str]]) -> str:
+    """A pattern for any of the sentences (lists of words, none the beginning of another)."""
+    by_word: dict[str, list[list[str]]] = {}
+    for first, *rest in sentences:
+        by_word.setdefault(first, []).append(rest)
+    branches = [re.escape(word) + (" " + _branching(rests) if rests[0] else "")
+                for word, rests in by_word.items()]
+    return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+
+
+#: Any known sentence at a word's beginning; a look ahead, so sentences may overlap.
+_KNOWN = f" (?=({_branching([s.split(' ') for s in SENTENCES.values()])}) )"
+
+
 def ids_of(sentence: Column) -> Column:
-    """Identifiers of the known sentences in one normalised sentence, by place."""
-    padded = F.concat(F.lit(" "), sentence, F.lit(" "))
-    found = F.array(*[F.struct(F.instr(padded, F.lit(f" {s} ")).alias("at"), F.lit(i).alias("id"))
-                      for i, s in SENTENCES.items()])
-    return F.transform(F.array_sort(F.filter(found, lambda x: x["at"] > 0)), lambda x: x["id"])
+    """Identifiers of the known sentences in one normalised sentence, by first place."""
+    padded = F.regexp_replace(F.concat(F.lit(" "), sentence, F.lit(" ")), _DENIED, " ")
+    found = F.array_distinct(F.regexp_extract_all(padded, F.lit(_KNOWN), F.lit(1)))
+    numbers = F.create_map(*[F.lit(x) for i, s in SENTENCES.items() for x in (s, i)])
+    return F.transform(found, lambda s: F.element_at(numbers, s))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -138,16 +208,10 @@ def op8_licenses(docs: DataFrame) -> DataFrame:
     return scan(docs)
 
 
-#: The SQL is as it was: it knows neither the MPL's sentence as it is written nor comment marks of
-#: hyphens, and agrees with ``scan`` on texts without them.
-_SQL_SENTENCES = SENTENCES | {30: SENTENCES[30].replace(" v 2.0", " v. 2.0")}
-
-
 def _sql() -> str:
-    hint = _HINT.replace(" ", r"\s+")
     ids = " || ".join(
         f"(CASE WHEN instr(p, ' {s} ') > 0 THEN [{{'place': instr(p, ' {s} '), 'id': {i}}}] "
-        "ELSE [] END)" for i, s in _SQL_SENTENCES.items())
+        "ELSE [] END)" for i, s in SENTENCES.items())
     names = list(dict.fromkeys(n for n, _ in RULES))
     hits = ", ".join("CASE WHEN " + " OR ".join(
         f"contains(r, ',{','.join(map(str, ids_))},')" for n, ids_ in RULES if n == name)
@@ -155,14 +219,18 @@ def _sql() -> str:
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS n, doc_id, lower(coalesce(text, '')) AS t
            FROM documents),
-s AS (SELECT n, unnest(string_split(regexp_replace(regexp_replace(t, '([.!?])\s+',
-        '\1' || chr(1), 'g'), '\n[ \t\r]*\n\s*', chr(1), 'g'), chr(1))) AS s,
-        generate_subscripts(string_split(regexp_replace(regexp_replace(t, '([.!?])\s+',
-        '\1' || chr(1), 'g'), '\n[ \t\r]*\n\s*', chr(1), 'g'), chr(1)), 1) AS k
-      FROM d WHERE regexp_matches(t, '{hint}')),
-w AS (SELECT n, k, trim(regexp_replace(regexp_replace(s, '[^a-z0-9.+-]+', ' ', 'g'),
-        '\.+( |$)', '\1', 'g')) AS w FROM s WHERE regexp_matches(s, '{hint}')),
-f AS (SELECT n, k, w, list_sort({ids}) AS f FROM (SELECT *, ' ' || w || ' ' AS p FROM w)),
+c AS (SELECT n, string_split(regexp_replace(regexp_replace(regexp_replace(t,
+        '(license[^a-z0-9]+v)\.([^a-z0-9]+2\.0)', '\1 \2', 'g'),
+        '([.!?])[\s\x0B]+', '\1' || chr(1), 'g'),
+        '\n[ \t\r]*\n[\s\x0B]*', chr(1), 'g'), chr(1)) AS c
+      FROM d WHERE regexp_matches(t, '{_GAPPED}')),
+s AS (SELECT n, unnest(c) AS s, generate_subscripts(c, 1) AS k FROM c),
+w AS (SELECT n, k, array_to_string(list_filter(string_split(trim(regexp_replace(regexp_replace(
+        s, '[^a-z0-9.+-]+', ' ', 'g'), '\.+( |$)', '\1', 'g')), ' '),
+        lambda x: NOT regexp_full_match(x, '-+')), ' ') AS w
+      FROM s WHERE regexp_matches(s, '{_GAPPED}')),
+f AS (SELECT n, k, w, list_sort({ids}) AS f
+      FROM (SELECT *, regexp_replace(' ' || w || ' ', '{_DENIED}', ' ', 'g') AS p FROM w)),
 g AS (SELECT n, array_to_string(flatten(list(list_transform(f, lambda x: x.id) ORDER BY k)), ',')
         AS sentence_ids, bool_or(regexp_matches(w, 'licen[cs]')) AS speaks FROM f GROUP BY n),
 r AS (SELECT doc_id, coalesce(sentence_ids, '') AS sentence_ids,

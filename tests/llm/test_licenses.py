@@ -79,6 +79,9 @@ provided that the following conditions are met:
 {}
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
 WARRANTIES ARE DISCLAIMED."""
+LGPL = """This library is free software; you can redistribute it and/or modify it under the terms of
+the GNU Lesser General Public License as published by the Free Software Foundation; either version {}
+of the License, or (at your option) any later version."""
 CC = "This work is licensed under a Creative Commons {} 4.0 International License."
 PUBLISHED = {
     "MIT": MIT, "Apache-2.0": APACHE, "GPL-3.0-or-later": GPL.format(3),
@@ -101,6 +104,21 @@ PUBLISHED = {
                "a copy of the MPL was not distributed with this\nfile, You can obtain one at "
                "https://mozilla.org/MPL/2.0/.",
     "Unlicense": "This is free and unencumbered software released into the public\ndomain.",
+    "AGPL-3.0-or-later": GPL.format(3).replace("GNU General", "GNU Affero General"),
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "LGPL-2.1-or-later": LGPL.format("2.1"), "LGPL-3.0-or-later": LGPL.format("3"),
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0. (See accompanying\nfile "
+               "LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)",
+    "EPL-2.0": "This program and the accompanying materials are made available under the\nterms of "
+               "the Eclipse Public License 2.0 which is available at\nhttp://www.eclipse.org/legal",
+    "Zlib": "This software is provided 'as-is', without any express or implied\nwarranty. In no event "
+            "will the authors be held liable for any damages.\n\nPermission is granted to anyone to "
+            "use this software for any purpose,\nincluding commercial applications, and to alter it "
+            "and redistribute it\nfreely, subject to the following restrictions:",
+    "CDDL": "The contents of this file are subject to the terms of the\nCommon Development and "
+            "Distribution License (the \"License\").\nYou may not use this file except in compliance "
+            "with the License.",
 }
 
 
@@ -115,3 +133,43 @@ def test_published_text_of_every_rule_is_found_bare_and_in_comments(spark, docs)
     assert {i: got[i][0] for i in want} == want
     other = scan(docs, [(1, PUBLISHED["MPL-2.0"].replace("v. 2.0", "v. 1.1"))])
     assert other[1][0] == ""
+
+
+def by_sql(rows):
+    import duckdb
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cursor = db.execute(licenses.OP8_SQL)
+    names = [c[0] for c in cursor.description]
+    found = (dict(zip(names, r)) for r in cursor.fetchall())
+    return {r["doc_id"]: (r["licenses"], r["sentence_ids"], r["status"]) for r in found}
+
+
+def test_operator_and_sql_agree_on_published_texts(spark, docs):
+    rows = [(1000 * k + m, "\n".join(mark + line for line in text.split("\n")))
+            for k, text in enumerate(PUBLISHED.values())
+            for m, mark in enumerate(("", "-- ", "# ", " * ", "//\u000b"))]
+    assert scan(docs, rows) == by_sql(rows)
+
+
+def test_spdx_lines_shorter_names_and_denials(spark, docs):
+    rows = [(1, "// SPDX-License-Identifier: MIT\nint main() {}"), (2, "SPDX-License-Identifier: GPL-2.0+"),
+            (3, "Licensed under the Apache License 2.0"),
+            (4, "This is not released under the MIT license."),
+            (5, "It is no longer licensed under the MIT license. Licensed under CC BY 4.0."),
+            (6, "It isn't licensed under the MIT License, but released under the BSD license"),
+            (7, "Released under the MIT license, released under the MIT license"),
+            (8, "/* SPDX-License-Identifier: MIT OR Apache-2.0 */"),
+            (9, "SPDX-License-Identifier: Other-1.0"), (10, "Not all is lost. Released under the MIT license")]
+    got = scan(docs, rows)
+    assert [got[i][0] for i in range(1, 11)] == [
+        "MIT", "GPL-2.0-or-later", "Apache-2.0", "", "CC-BY-4.0", "BSD", "MIT", "MIT", "", "MIT"]
+    assert got[4][2] == "unknown" and got[7][1] == "1"
+    assert got == by_sql(rows)
+
+
+def test_no_known_sentence_begins_another():
+    every = sorted(s + " " for s in licenses.SENTENCES.values())
+    assert not any(b.startswith(a) for a, b in zip(every, every[1:]))
+    assert len(set(every)) == len(every)
