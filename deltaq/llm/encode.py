@@ -18,7 +18,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-MAX_UNITS = 600_000       # units a worker remembers
+MAX_UNITS = 300_000       # units a worker remembers
 GROUP_CHARS = 1 << 20     # texts are encoded in groups of about this many characters
 SEGMENT = 1 << 22         # longer texts are cut at white space first
 

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deltaq.llm.common import batches, materialize
+from deltaq.llm.common import batches, hand_back, materialize
 from deltaq.llm.encode import encoder, tokenizer_path
 
 WINDOW = 4096       # tokens in a sequence
@@ -134,7 +134,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int | None = 2,
 
         def rows() -> Iterator[tuple]:
             for part in parts:
-                found = encoder(file).ids(part.column(1).to_pylist())
+                found = encoder(file).ids(t.as_py() for t in part.column(1))
                 for doc_id, ids in zip(part.column(0).to_pylist(), found):
                     if end_id is not None:
                         ids = np.append(ids, np.uint32(end_id))
@@ -142,6 +142,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int | None = 2,
             yield from packer.leftovers(task)
 
         yield from batches(TYPES, rows())
+        hand_back()
 
     packed = materialize(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deltaq.llm.common import materialize, ship, table
+from deltaq.llm.common import hand_back, materialize, ship, table
 
 BINS = 1 << 20
 SAMPLE = 20_000
@@ -173,13 +173,15 @@ def _clear_features(texts: DataFrame, toxic: int, clean: int) -> np.ndarray:
         seen = np.zeros((2, BINS), np.int32)
         every = Features()
         for part in parts:
-            for text, y in zip(part.column("text").to_pylist(), part.column("y").to_pylist()):
-                found = every.of(text)
+            for text, y in zip(part.column("text"), part.column("y").to_pylist()):
+                found = every.of(text.as_py())
                 seen[int(y > 0), np.fromiter(found.keys(), np.int64, len(found))] += 1
         some = np.flatnonzero(seen.any(axis=0))
         yield pa.RecordBatch.from_arrays(
             [pa.array(some.astype(np.int32)), pa.array(seen[1, some].astype(np.int64)),
              pa.array(seen[0, some].astype(np.int64))], names=["bin", "a", "c"])
+        del every, seen
+        hand_back()
 
     counts = (texts.select("text", "y").mapInArrow(count, "bin int, a long, c long")
               .groupBy("bin").agg(F.sum("a").alias("a"), F.sum("c").alias("c"))
@@ -267,7 +269,7 @@ class Scorer:
         self.model = model
         self.features = Features(model.bins)
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
+    def scores(self, texts: Iterable[str | None]) -> np.ndarray:
         return np.array([self._score(t) for t in texts], np.float64)
 
     def _score(self, text: str | None) -> float:
@@ -285,12 +287,14 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for part in parts:
-            above = model.above(scorer.scores(part.column("text").to_pylist()))
+            above = model.above(scorer.scores(t.as_py() for t in part.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(above.sum(axis=1)),
                  pa.array((above >= 0.5).sum(axis=1).astype(np.int32)), pa.array(above[:, 0]),
                  pa.array(above[:, 0] >= 0.5)],
                 names=["doc_id", "severity", "grade", "p_toxic", "toxic"])
+        del scorer
+        hand_back()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         score, "doc_id long, severity double, grade int, p_toxic double, toxic boolean")
@@ -303,8 +307,10 @@ def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for part in parts:
-            above = model.above(scorer.scores(part.column(at).to_pylist()))
+            above = model.above(scorer.scores(t.as_py() for t in part.column(at)))
             yield part.filter(pa.array(above[:, 0] < 0.5))
+        del scorer
+        hand_back()
 
     return docs.mapInArrow(keep, docs.schema)
 
