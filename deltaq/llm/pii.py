@@ -1,8 +1,9 @@
 """Surrogates for personal data, with DataFrame functions only.
 
 Entities are found by patterns: e-mail addresses, IPv4 and IPv6 addresses, card numbers (with a
-valid check digit), phone and social security numbers, bank account numbers, credentials, and names
-after a form of address.  Each mention consists of parts (an address's local part and its domain,
+valid check digit), phone numbers (with separators, or a plus sign before the digits) and social
+security numbers, bank account numbers (in groups, or unbroken with a valid check number),
+credentials, and names after a form of address.  Each mention consists of parts (an address's local part and its domain,
 the words of a name), and each part gets a replacement of its own type: digits for digits, letters
 for letters of the same case and script, a number with a valid check digit for one, a private
 address for one, a given name of the same gender, all drawn from a keyed digest of the part in
@@ -36,6 +37,8 @@ from deltaq.llm.common import is_empty, materialize
 KEY = "surrogate-key-1"
 #: Draws after which a form may grow.
 GROW_AFTER = 6
+#: Replacements drawn by one task.
+DRAWS = 1_000
 
 # Forms of address and given names by gender, syllables and endings of new names.
 ADDRESS = {"m": ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Господин"),
@@ -72,17 +75,23 @@ _TITLE = "(?:" + "|".join(t for g in ("f", "m", "u") for t in sorted(
 #: Patterns in order of precedence.
 PATTERNS = {
     "credential": r"(?i:(?<![a-z])(?:password|passwd|pwd|secret|api_?key|token)"
-                  r"\s{0,2}[=:]\s{0,2}[\"']?)[^\s\"'<>]{6,}",
-    "access_key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}",
-    "ipv6": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
+                  r"[\"']?\s{0,2}[=:]\s{0,2}[\"']?)[^\s\"'<>]{6,}",
+    "access_key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
+                  r"|(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36,}(?![A-Za-z0-9])",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.)+\p{L}{2,}",
+    "ipv6": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"
+            r"|(?<![0-9A-Za-z:])(?=[0-9A-Fa-f:]*+(?![0-9A-Za-z]))(?=[A-Fa-f:]*[0-9])[0-9A-Fa-f]{4}:"
+            r"(?:[0-9A-Fa-f]{1,4}:){0,5}:(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?"
+            r"(?![0-9A-Za-z:])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: [0-9A-Z]{4}){3,7}(?: [0-9A-Z]{1,3})?"
-            r"(?![A-Za-z0-9])",
+            r"(?![A-Za-z0-9])|(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[0-9A-Z]{11,30}(?![A-Za-z0-9])",
     "card": r"(?<![0-9A-Za-z.+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|-[0-9])",
     "phone": r"(?<![0-9A-Za-z.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}"
              r"[ .-][0-9]{4}(?![0-9A-Za-z])|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){3,5}"
-             r"(?![0-9A-Za-z])",
+             r"(?![0-9A-Za-z])|(?<![0-9A-Za-z])\+[0-9]{8,15}(?![0-9A-Za-z])"
+             r"|(?<![0-9A-Za-z.+-])0[0-9]{2,4}[ -][0-9]{3,4}[ -][0-9]{3,4}"
+             r"(?![0-9A-Za-z]|[ .-][0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "person": rf"(?=[MHFSDPГ])(?<![\p{{L}}\p{{N}}]){_TITLE}\.? \p{{Lu}}[\p{{L}}’'-]+(?: \p{{Lu}}[\p{{L}}’'-]+)"
               r"{0,2}",
@@ -105,12 +114,12 @@ def _any_of(kinds: tuple[str, ...]) -> str:
 
 
 #: Any entity.  None begins inside a word, so most places are passed over by the first look.
-ENTITY = (rf"(?<![A-Za-z0-9])(?:(?=[A-Za-z\u0413._%-]){_any_of(_LETTER_FIRST)}"
+ENTITY = (rf"(?<![A-Za-z0-9])(?:(?=[\p{{L}}._%-]){_any_of(_LETTER_FIRST)}"
           rf"|(?=[0-9+(._%-]){_any_of(_OTHER_FIRST)})")
 #: Every entity holds a digit, an @, a form of address before a capital, or a credential's name with
 #: = or : after it.  Texts without any are passed over; the looks ahead keep the search quick.
 _TITLED = rf"(?=[MHFSDPГ]){_TITLE}\.? \p{{Lu}}"
-_NAMED = r"(?i:password|passwd|pwd|secret|api_?key|token)\s{0,2}[=:]"
+_NAMED = r"(?i:password|passwd|pwd|secret|api_?key|token)[\"']?\s{0,2}[=:]"
 
 
 def hinted(text: Column) -> Column:
@@ -132,12 +141,29 @@ def _check_sum(digits: Column) -> Column:
         + F.substring(digits, i, F.lit(1)).cast("int") * 2 % 10))
 
 
+def _mod97(account: Column) -> Column:
+    """A bank account number's remainder, its country and check digits counted last."""
+
+    def step(rest: Column, c: Column) -> Column:
+        return F.when(c < 58, (rest * 10 + c - 48) % 97).otherwise((rest * 100 + c - 55) % 97)
+
+    codes = F.transform(F.split(account, ""), F.ascii)
+    turned = F.concat(F.slice(codes, F.lit(5), F.greatest(F.size(codes) - 4, F.lit(0))),
+                      F.slice(codes, 1, 4))
+    return F.aggregate(F.filter(turned, lambda c: c > 0), F.lit(0), step)
+
+
 def kind_of(mention: Column) -> Column:
-    """The type of a mention; null for a number that is no card after all."""
+    """The type of a mention; null for a number that is no card after all, and for a word of capitals
+    and digits that is no bank account number."""
     out = None
     for kind, pattern in PATTERNS.items():
         whole = mention.rlike(f"^(?:{_bare(pattern)})$")
-        value = F.when(_check_sum(_digits(mention)) % 10 == 0, kind) if kind == "card" else kind
+        value = F.lit(kind)
+        if kind == "card":
+            value = F.when(_check_sum(_digits(mention)) % 10 == 0, kind)
+        elif kind == "iban":
+            value = F.when(F.contains(mention, F.lit(" ")) | (_mod97(mention) == 1), kind)
         out = F.when(whole, value) if out is None else out.when(whole, value)
     return out
 
@@ -259,12 +285,13 @@ def reshape(form: Column, h: Column) -> Column:
     def one(i: Column) -> Column:
         c, n = F.substring(form, i, F.lit(1)), _number(h, i)
         return (F.when(c.rlike("[0-9]"), _pick(ALPHABETS["digit"], n))
-                .when(c.rlike("[a-z]"), _pick(ALPHABETS["lower"], n))
-                .when(c.rlike("[A-Z]"), _pick(ALPHABETS["upper"], n))
+                .when(c.rlike("[a-zß-ÿ]"), _pick(ALPHABETS["lower"], n))
+                .when(c.rlike("[A-ZÀ-Þ]"), _pick(ALPHABETS["upper"], n))
                 .when(c.rlike("[а-яё]"), _pick(ALPHABETS["cyrillic"], n))
                 .when(c.rlike("[А-ЯЁ]"), _pick(ALPHABETS["Cyrillic"], n))
                 .when(c.rlike("[α-ωά-ώ]"), _pick(ALPHABETS["greek"], n))
-                .when(c.rlike("[Α-ΩΆ-Ώ]"), _pick(ALPHABETS["Greek"], n)).otherwise(c))
+                .when(c.rlike("[Α-ΩΆ-Ώ]"), _pick(ALPHABETS["Greek"], n))
+                .when(c.rlike(r"\p{L}"), _pick(ALPHABETS["lower"], n)).otherwise(c))
 
     return F.when(F.length(form) > 0, F.array_join(F.transform(
         F.sequence(F.lit(1), F.length(form)), one), "")).otherwise(form)
@@ -311,6 +338,9 @@ def draw(kind: Column, scope: Column, normal: Column, attempt: Column, key: str
     payload = F.concat(F.substring(normal, 1, 1), F.substring(loose, F.lit(2), n - 2), F.lit("0"))
     card = F.concat(F.substring(payload, F.lit(1), n - 1),
                     ((10 - _check_sum(payload) % 10) % 10).cast("string"))
+    bare_iban = F.concat(F.substring(normal, 1, 2), F.lit("00"), F.substring(loose, F.lit(5), n - 4))
+    iban = F.concat(F.substring(normal, 1, 2), F.lpad((98 - _mod97(bare_iban)).cast("string"), 2, "0"),
+                    F.substring(bare_iban, F.lit(5), n - 4))
     octet = lambda i: (_number(h, F.lit(i)) % 256).cast("string")
     public = [i for i in range(1, 224) if i not in (10, 100, 127, 169, 172, 192, 198, 203)]
     first = F.get(F.array(*[F.lit(str(i)) for i in public]), _number(h, F.lit(0), 4) % len(public))
@@ -332,8 +362,7 @@ def draw(kind: Column, scope: Column, normal: Column, attempt: Column, key: str
             .when(kind == "ssn", F.concat(_pick("12345678", _number(h, F.lit(0))),
                                           F.substring(loose, F.lit(2), n - 1)))
             .when(kind == "ip", ip).when(kind == "ipv6", _hex(normal, h))
-            .when(kind == "iban", F.concat(F.substring(normal, 1, 2),
-                                           F.substring(loose, F.lit(3), n - 2)))
+            .when(kind == "iban", iban)
             .when(kind == "access_key", F.concat(F.substring(normal, 1, 4),
                                                  F.substring(loose, F.lit(5), n - 4)))
             .when((kind == "credential") & normal.rlike("^[0-9a-f]+$"), _hex(grown, h))
@@ -346,6 +375,10 @@ def replacements(found: DataFrame, key: str = KEY) -> DataFrame:
     kind and scope are equal, and none equals a part of that kind and scope."""
     parts = materialize(found.groupBy("kind", "scope", "normal").agg(F.lit(0).alias("attempt")),
                         "parts")
+    # A dictionary is a small file beside the texts; drawing is dealt out all the same.
+    tasks = min(int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                -(-parts.count() // DRAWS) or 1)
+    parts = parts.repartition(tasks, "kind", "scope", "normal")
     who = ["kind", "scope"]
     taken = parts.select(*who, F.col("normal").alias("new"), F.lit("").alias("holder"))
     drawn = materialize(parts.withColumn("new", draw(
