@@ -24,7 +24,7 @@ from ..sources.changelog import read_changelog, write_changelog
 from ..sources.tables import load_table, load_tables, with_shippriority
 from . import changes as C
 from . import oracle as O
-from .q3 import q3, q3_sql, read_sql_file, write_sql_file
+from .q3 import colocate_items, q3, q3_colocated, q3_sql, read_sql_file, write_sql_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,6 +58,24 @@ def q3_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _q3_of(load_tables(spark, sf_dir))
 
 
+@register("q3_filtered", O.Q3_BATCH)
+def q3_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 as for an order side too large to broadcast: a bitmap of its keys reaches the line items
+    before they are shuffled."""
+    t = load_tables(spark, sf_dir)
+    return q3(t["customer"], with_shippriority(t["orders"]), t["lineitem"], DEFAULT,
+              broadcast_orders=-1)
+
+
+@register("q3_colocated", O.Q3_BATCH)
+def q3_colocated_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 over tables bucketed on the order key: no exchange under the join."""
+    t = load_tables(spark, sf_dir)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return q3_colocated(t["customer"], with_shippriority(t["orders"]),
+                        colocate_items(t["lineitem"], buckets), buckets)
+
+
 @register("q3_sql", O.Q3_BATCH)
 def q3_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = load_tables(spark, sf_dir)

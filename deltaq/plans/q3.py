@@ -8,7 +8,12 @@ the two selective sides first (orders x customers) and write the result, which i
 line items.  Its row count is then known: up to ``BROADCAST_ORDERS`` rows it is broadcast and the
 line items are never shuffled; beyond that both sides are shuffled on the order key, a skewed
 partition (a hot order) is split by AQE (``forceOptimizeSkewedJoin``, since the GROUP BY sits on the
-same key), and the partial aggregation collapses a hot key inside each task.
+same key), and the partial aggregation collapses a hot key inside each task.  Up to
+``FILTER_ORDERS`` rows, a bitmap of hashed order keys is broadcast first (128 MB at most), so only
+line items that may match are shuffled.
+
+``colocate_items`` stores line items bucketed on the order key; ``q3_colocated`` then joins without
+an exchange of either side.
 
 Pre-aggregating line items per order before the join was measured and rejected: the order-date
 filter keeps about 3% of orders, so summing every shipped item first costs more than it saves.
@@ -17,12 +22,15 @@ Bag semantics come from the inner joins themselves (repeated rows multiply).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expressions import ordered_before, revenue, segment_is, shipped_after, to_revenue
 from ..operators.replay import stored
 from ..params import DEFAULT, Q3Params
+from ..session import work_dir
 
 
 def qualifying_customers(customer: DataFrame, params: Q3Params = DEFAULT) -> DataFrame:
@@ -42,18 +50,91 @@ def qualifying_items(lineitem: DataFrame, params: Q3Params = DEFAULT) -> DataFra
 BROADCAST_ORDERS = 500_000
 
 
-def q3(customer: DataFrame, orders: DataFrame, lineitem: DataFrame,
-       params: Q3Params = DEFAULT, broadcast_orders: int = BROADCAST_ORDERS) -> DataFrame:
-    ords = stored(qualifying_orders(orders, params).join(
+#: Bits of the filter per order row (one line item in so many passes by chance), and the order rows
+#: up to which it is made: 2**30 bits are 128 MB.
+FILTER_BITS = 16
+FILTER_ORDERS = (1 << 30) // FILTER_BITS
+
+
+def counted_orders(customer: DataFrame, orders: DataFrame, params: Q3Params = DEFAULT) -> DataFrame:
+    """The orders that count, of customers that count (one row per pair), written."""
+    return stored(qualifying_orders(orders, params).join(
         qualifying_customers(customer, params), F.col("o_custkey") == F.col("c_custkey"))
         .drop("o_custkey", "c_custkey"), "q3_orders")
-    small = F.broadcast(ords) if ords.count() <= broadcast_orders else ords
-    joined = qualifying_items(lineitem, params).join(
-        small, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def _place(key: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+
+
+def key_bitmap(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """Rows (bucket, bitmap): the hashed keys as bits, 32,768 to a row."""
+    place = keys.select(_place(key, bits).alias("_place"))
+    return place.groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
+
+
+def may_match(rows: DataFrame, key: str, bitmap: DataFrame, bits: int) -> DataFrame:
+    """The rows whose key may be in the bitmap (all that are, and few others), unshuffled."""
+    place = _place(key, bits)
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    hit = F.call_function("getbit", byte.cast("int"), (at % 8).cast("int")) == 1
+    return (rows.join(F.broadcast(bitmap), F.bitmap_bucket_number(place) == F.col("_bucket"))
+            .filter(hit).drop("_bucket", "_bits"))
+
+
+def _by_order(joined: DataFrame) -> DataFrame:
     return (joined.groupBy("l_orderkey", "o_orderdate", "o_shippriority")
             .agg(to_revenue(F.sum("rev")).alias("revenue")))
 
 
+def q3(customer: DataFrame, orders: DataFrame, lineitem: DataFrame,
+       params: Q3Params = DEFAULT, broadcast_orders: int = BROADCAST_ORDERS,
+       filter_orders: int = FILTER_ORDERS) -> DataFrame:
+    ords = counted_orders(customer, orders, params)
+    n = ords.count()
+    items = qualifying_items(lineitem, params)
+    if n <= broadcast_orders:
+        ords = F.broadcast(ords)
+    elif n <= filter_orders:
+        bits = n * FILTER_BITS
+        items = may_match(items, "l_orderkey",
+                          stored(key_bitmap(ords, "o_orderkey", bits), "q3_filter"), bits)
+    return _by_order(items.join(ords, F.col("l_orderkey") == F.col("o_orderkey")))
+
+
+#: Buckets that a hot order's line items are dealt over; each order row is stored once for each.
+SALTS = 8
+
+
+def _bucketed(df: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
+    spark = df.sparkSession
+    table = f"dq_{name}_{uuid.uuid4().hex[:12]}"
+    (df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", work_dir(spark, name))
+     .saveAsTable(table))
+    return spark.table(table)
+
+
+def colocate_items(lineitem: DataFrame, buckets: int) -> DataFrame:
+    """Line items as a table bucketed on order key and a salt, laid out once for many queries.  Each
+    task writes its own files of every bucket, so no task holds a hot order."""
+    salted = lineitem.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    return _bucketed(salted, "items_by_order", buckets, "l_orderkey", "_salt")
+
+
+def q3_colocated(customer: DataFrame, orders: DataFrame, items: DataFrame, buckets: int,
+                 params: Q3Params = DEFAULT) -> DataFrame:
+    """The flagship over ``colocate_items``: the order side, small beside the items, is bucketed the
+    same way, and bucket joins bucket; only sums per order and salt are shuffled."""
+    ords = counted_orders(customer, orders, params).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_osalt"))
+    ords = _bucketed(ords, "orders_by_order", buckets, "o_orderkey", "_osalt")
+    rows = items.filter(shipped_after(params)).select("l_orderkey", "_salt", revenue().alias("rev"))
+    return _by_order(rows.join(ords.hint("merge"), (F.col("l_orderkey") == F.col("o_orderkey"))
+                               & (F.col("_salt") == F.col("_osalt"))))
+
+
 # The query text, with named parameters; views ``customer``, ``orders`` and ``lineitem`` are
 # registered by the caller under the names given.
 Q3_SQL = """
