@@ -10,10 +10,12 @@ address for one, a given name of the same gender, all drawn from a keyed digest
 normal form.  So the same part is replaced alike in every document, whatever its punctuation.
 
 Distinct parts stay distinct: replacements of all parts of a type are compared, and where two are
-equal, or one equals a part that occurs, all but the smallest draw again until none is left; short
-forms grow by a character when their alphabet is used up, and an address whose private block is
-crowded goes to a larger one (10/8, then the reserved 240/4).  Replacements keep the mention's own
-punctuation and case.
+equal, or one equals a part that occurs or a replacement settled before, all but the smallest draw
+again.  Each form has a way out of a crowded space, so drawing ends: names grow by a syllable a
+round, other words and numbers by a character, an address of a private block goes to a larger one
+(10/8, then the reserved 240/4) and then, as IPv6 addresses in any short form do, to an IPv6 address
+of full length.  Access keys are long enough as they are.  Replacements keep the mention's own
+punctuation and case; a number that had to grow has its further digits at the front.
 
 Digits of a card's length are searched as one run of groups, however long: cards with a valid check
 digit in a usual grouping come first, then addresses, phone and social security numbers, and in what
@@ -29,6 +31,8 @@ whatever their names, are handed through.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,13 +136,20 @@ def _digits(x: Column) -> Column:
     return F.regexp_replace(x, "[^0-9]", "")
 
 
-def _check_sum(digits: Column) -> Column:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, wherever the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _check_sum(number: Column) -> Column:
     """Sum of the digits as card numbers weigh them, the last digit counting once."""
-    n = F.length(digits)
-    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda s, i: s + F.when(
-        (n - i) % 2 == 0, F.substring(digits, i, F.lit(1)).cast("int")).otherwise(
-        F.floor(F.substring(digits, i, F.lit(1)).cast("int") * 2 / 10).cast("int")
-        + F.substring(digits, i, F.lit(1)).cast("int") * 2 % 10))
+
+    def of(digits: Column) -> Column:
+        n, at = F.length(digits), lambda i: F.substring(digits, i, F.lit(1)).cast("int")
+        return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda s, i: s + F.when(
+            (n - i) % 2 == 0, at(i)).otherwise(F.floor(at(i) * 2 / 10).cast("int") + at(i) * 2 % 10))
+
+    return _let(number, of)
 
 
 def _mod97(account: Column) -> Column:
@@ -303,13 +314,13 @@ def _hex(form: Column, h: Column) -> Column:
         _pick("0123456789abcdef", _number(h, i))).otherwise(F.substring(form, i, F.lit(1)))), "")
 
 
-def _name(kind: Column, normal: Column, h: Column, extra: Column) -> Column:
+def _name(kind: Column, normal: Column, h: Column, extra: int) -> Column:
     """A new name: three or more syllables and an ending of the type, in the part's script."""
     out = None
     for script, test in (("cyrillic", "[а-яё]"), ("greek", "[α-ωά-ώ]"), ("latin", "")):
         syllables = F.array(*map(F.lit, SYLLABLES[script]))
-        body = F.array_join(F.transform(F.sequence(F.lit(1), 3 + extra), lambda i: F.get(
-            syllables, _number(h, i, 4) % len(SYLLABLES[script]))), "")
+        body = F.concat(*[F.get(syllables, _number(h, F.lit(i), 4) % len(SYLLABLES[script]))
+                          for i in range(1, 4 + extra)])
         ending = None
         for which, values in ENDINGS[script].items():
             chosen = F.get(F.array(*map(F.lit, values)), _number(h, F.lit(0)) % len(values))
@@ -321,47 +332,61 @@ def _name(kind: Column, normal: Column, h: Column, extra: Column) -> Column:
     return out
 
 
-def draw(kind: Column, scope: Column, normal: Column, attempt: Column, key: str = KEY) -> Column:
+def draw(kind: Column, scope: Column, normal: Column, attempt: int, key: str = KEY) -> Column:
     """The replacement of a part in normal form at the given attempt."""
-    h = F.sha2(F.concat_ws("|", F.lit(key), kind, scope, normal, attempt.cast("string")), 512)
-    extra = F.greatest(F.lit(0), attempt - GROW_AFTER).cast("int")
-    grown = F.concat(normal, F.repeat(F.lit("0"), extra))
+    digest = F.sha2(F.concat_ws("|", F.lit(key), kind, scope, normal, F.lit(str(attempt))), 512)
+    return _let(digest, lambda h: _drawn(kind, normal, h, max(0, attempt - GROW_AFTER)))
+
+
+def _drawn(kind: Column, normal: Column, h: Column, extra: int) -> Column:
+    """A replacement from a digest; from ``extra`` 1 on, forms grow."""
+    more = F.lit("0" * extra)
+    grown = F.concat(normal, more)
     loose = reshape(grown, h)
     n = F.length(normal)
     # Numbers: the first digit of ten-digit groups is not 0 or 1; a card keeps its issuer's digit.
     lead = _pick("23456789", _number(h, F.lit(0)))
-    phone = F.when(n >= 10, F.concat(
-        F.substring(normal, F.lit(1), n - 10), lead,
-        F.substring(loose, n - 8, F.lit(2)), _pick("23456789", _number(h, F.lit(50))),
-        F.substring(loose, n - 5, F.lit(6)))).otherwise(
-        F.concat(lead, F.substring(loose, F.lit(2), n - 1)))
-    payload = F.concat(F.substring(normal, 1, 1), F.substring(loose, F.lit(2), n - 2), F.lit("0"))
-    card = F.concat(F.substring(payload, F.lit(1), n - 1),
-                    ((10 - _check_sum(payload) % 10) % 10).cast("string"))
-    bare_iban = F.concat(F.substring(normal, 1, 2), F.lit("00"), F.substring(loose, F.lit(5), n - 4))
-    iban = F.concat(F.substring(normal, 1, 2), F.lpad((98 - _mod97(bare_iban)).cast("string"), 2, "0"),
-                    F.substring(bare_iban, F.lit(5), n - 4))
+    phone = _let(loose, lambda x: F.when(n >= 10, F.concat(
+        F.substring(x, n + 1, F.lit(extra)), F.substring(normal, F.lit(1), n - 10), lead,
+        F.substring(x, n - 8, F.lit(2)), _pick("23456789", _number(h, F.lit(50))),
+        F.substring(x, n - 5, F.lit(6)))).otherwise(
+        F.concat(lead, F.substring(x, F.lit(2), n - 1 + extra))))
+    payload = F.concat(F.substring(normal, 1, 1), F.substring(loose, F.lit(2), n - 2 + extra),
+                       F.lit("0"))
+    card = _let(payload, lambda x: F.concat(
+        F.substring(x, F.lit(1), n - 1 + extra),
+        ((10 - _check_sum(x) % 10) % 10).cast("string")))
+    iban = _let(F.concat(F.substring(normal, 1, 2), F.lit("00"),
+                         F.substring(loose, F.lit(5), n - 4 + extra)),
+                lambda x: F.concat(F.substring(x, 1, 2), F.lpad(
+                    (98 - _mod97(x)).cast("string"), 2, "0"),
+                    F.substring(x, F.lit(5), n - 4 + extra)))
     octet = lambda i: (_number(h, F.lit(i)) % 256).cast("string")
     public = [i for i in range(1, 224) if i not in (10, 100, 127, 169, 172, 192, 198, 203)]
     first = F.get(F.array(*[F.lit(str(i)) for i in public]), _number(h, F.lit(0), 4) % len(public))
-    # A block of 65,536 fills up, and so may 10/8 and 127/8: later draws are from larger blocks.
+    # A block of 65,536 fills up, and so may any other: later draws are from larger ones.
     reserved = F.concat_ws(".", (_number(h, F.lit(0)) % 16 + 240).cast("string"), octet(1),
                            octet(2), octet(3))
+    ten = F.concat_ws(".", F.lit("10"), octet(1), octet(2), octet(3))
+    full = _hex(F.lit(":".join(["0000"] * 8)), h)
     small = normal.rlike(r"^(192\.168|169\.254|172\.(1[6-9]|2[0-9]|3[01]))\.")
-    ip = (F.when(normal.rlike(r"^(10|127)\.") & (extra > 0) | small & (extra > GROW_AFTER), reserved)
-          .when(small & (extra > 0), F.concat_ws(".", F.lit("10"), octet(1), octet(2), octet(3)))
-          .when(normal.rlike(r"^(10|127)\."), F.concat_ws(
-              ".", F.substring_index(normal, ".", 1), octet(1), octet(2), octet(3)))
-          .when(small, F.concat_ws(".", F.substring_index(normal, ".", 2), octet(2), octet(3)))
-          .otherwise(F.concat_ws(".", first, octet(1), octet(2), octet(3))))
+    large = normal.rlike(r"^(10|127)\.")
+    if extra > 2 * GROW_AFTER:
+        ip = F.concat(F.lit("fd"), F.substring(full, F.lit(3), F.lit(37)))
+    else:
+        ip = (F.when(large, reserved if extra else F.concat_ws(
+                  ".", F.substring_index(normal, ".", 1), octet(1), octet(2), octet(3)))
+              .when(small, reserved if extra > GROW_AFTER else ten if extra else F.concat_ws(
+                  ".", F.substring_index(normal, ".", 2), octet(2), octet(3)))
+              .otherwise(F.concat_ws(".", first, octet(1), octet(2), octet(3))))
     top = F.substring_index(normal, ".", -1)
     domain = F.concat(reshape(F.concat(F.substring(normal, F.lit(1), n - F.length(top) - 1),
-                                       F.repeat(F.lit("a"), extra)), h), F.lit("."), top)
+                                       F.lit("a" * extra)), h), F.lit("."), top)
     return (F.when(kind == "local", loose).when(kind == "domain", domain)
             .when(kind == "phone", phone).when(kind == "card", card)
             .when(kind == "ssn", F.concat(_pick("12345678", _number(h, F.lit(0))),
-                                          F.substring(loose, F.lit(2), n - 1)))
-            .when(kind == "ip", ip).when(kind == "ipv6", _hex(normal, h))
+                                          F.substring(loose, F.lit(2), n - 1 + extra)))
+            .when(kind == "ip", ip).when(kind == "ipv6", full if extra else _hex(normal, h))
             .when(kind == "iban", iban)
             .when(kind == "access_key", F.concat(F.substring(normal, 1, 4),
                                                  F.substring(loose, F.lit(5), n - 4)))
@@ -372,31 +397,26 @@ def draw(kind: Column, scope: Column, normal: Column, attempt: Column, key: str
 
 def replacements(found: DataFrame, key: str = KEY) -> DataFrame:
     """One row per distinct part (kind, scope, normal) with its replacement ``new``: no two of a
-    kind and scope are equal, and none equals a part of that kind and scope."""
-    parts = materialize(found.groupBy("kind", "scope", "normal").agg(F.lit(0).alias("attempt")),
-                        "parts")
-    # A dictionary is a small file beside the texts; drawing is dealt out all the same.
-    tasks = min(int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                -(-parts.count() // DRAWS) or 1)
-    parts = parts.repartition(tasks, "kind", "scope", "normal")
-    who = ["kind", "scope"]
-    taken = parts.select(*who, F.col("normal").alias("new"), F.lit("").alias("holder"))
-    drawn = materialize(parts.withColumn("new", draw(
-        F.col("kind"), F.col("scope"), F.col("normal"), F.col("attempt"), key)), "draws")
-    while True:
-        # A replacement's holder: a part that occurs comes first, then the smallest normal form.
-        holders = taken.unionByName(drawn.select(*who, "new", F.col("normal").alias("holder")))
-        holders = holders.groupBy(*who, "new").agg(F.min("holder").alias("holder"),
-                                                   F.count("*").alias("_c")).filter("_c > 1")
-        clash = materialize(drawn.join(holders, [*who, "new"]).filter("normal <> holder").select(
-            *who, "normal", F.lit(1).alias("_again")), "clashes")
-        if is_empty(clash):
-            return drawn.drop("attempt")
-        again = drawn.join(clash, [*who, "normal"], "left").withColumn(
-            "attempt", F.col("attempt") + F.coalesce("_again", F.lit(0)))
-        drawn = materialize(again.withColumn("new", F.when(F.col("_again") == 1, draw(
-            F.col("kind"), F.col("scope"), F.col("normal"), F.col("attempt"), key)).otherwise(
-            F.col("new"))).drop("_again"), "draws")
+    kind and scope are equal, and none equals a part of that kind and scope.  A round draws for the
+    parts still open; what it settles is not drawn or written again."""
+    part, dress = ["kind", "scope", "normal"], ["kind", "scope", "new"]
+    parts = materialize(found.select(part).distinct(), "parts")
+    most = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    taken = parts.select("kind", "scope", F.col("normal").alias("new"))
+    settled, open_parts, left, attempt = None, parts, parts.count(), 0
+    while settled is None or left:
+        # A dictionary is a small file beside the texts; drawing is dealt out all the same.
+        tasks = min(most, -(-left // DRAWS) or 1)
+        drawn = materialize(open_parts.repartition(tasks, *part).withColumn("new", draw(
+            F.col("kind"), F.col("scope"), F.col("normal"), attempt, key)), "draws")
+        # Of equal replacements that are free, the smallest normal form's stays.
+        done = materialize(drawn.join(taken, dress, "left_anti").groupBy(dress).agg(
+            F.min("normal").alias("normal")).select(*part, "new"), "settled")
+        settled = done if settled is None else settled.unionByName(done)
+        taken = taken.unionByName(done.select(dress))
+        open_parts = materialize(drawn.join(done, part, "left_anti").select(part), "open")
+        left, attempt = open_parts.count(), attempt + 1
+    return settled
 
 
 def render(shown: Column, kind: Column, new: Column) -> Column:
@@ -408,9 +428,17 @@ def render(shown: Column, kind: Column, new: Column) -> Column:
         return F.array_join(F.transform(F.sequence(F.lit(1), F.length(shown)), lambda i: _spread(
             shown, i, pattern, count, new, k)), "")
 
+    # Digits a number has grown by come before its first one; a grown account number stands unbroken.
+    def grown(x: Column) -> Column:
+        first = F.length(F.regexp_extract(x, "^[^0-9]*", 0))
+        return F.when(k <= m, x).otherwise(F.concat(
+            F.substring(x, F.lit(1), first), F.substring(new, F.lit(1), k - m),
+            F.substring(x, first + 1, F.length(x))))
+
     compact = F.length(F.replace(shown, F.lit(" "), F.lit("")))
     upper = shown.rlike(r"^\p{Lu}[\p{Lu}’'-]+$")
-    return (F.when(kind.isin("phone", "card", "ssn"), spread("[0-9]", m))
+    return (F.when(kind.isin("phone", "card", "ssn"), grown(spread("[0-9]", m)))
+            .when((kind == "iban") & (k > compact), new)
             .when(kind == "iban", spread("[0-9A-Z]", compact))
             .when(kind.isin("surname", "given_f", "given_m", "given_u"),
                   F.when(upper, F.upper(new)).otherwise(F.initcap(new)))
