@@ -44,12 +44,15 @@ class Reconciliation:
         rows = self.joined.filter(F.col("_in_exp").isNotNull() & F.col("_in_act").isNotNull())
         return rows.select(*[F.col(f"_e_{c}").alias(c) for c in self.columns])
 
-    def summary(self) -> DataFrame:
-        """E5 + E7: counts, accuracy = matching * 100 / larger side, identical flag."""
+    def summary(self, equal: int = 0) -> DataFrame:
+        """E5 + E7: counts, accuracy = matching * 100 / larger side, identical flag; ``equal`` rows
+        known to be in both sides count in."""
         agg = self.joined.agg(
             F.count("_in_exp").alias("n_expected"), F.count("_in_act").alias("n_actual"),
             F.count(F.when(F.col("_in_exp").isNotNull() & F.col("_in_act").isNotNull(), 1))
             .alias("n_matching"))
+        if equal:
+            agg = agg.select(*[(F.col(c) + F.lit(equal)).alias(c) for c in agg.columns])
         n_e, n_a, m = F.col("n_expected"), F.col("n_actual"), F.col("n_matching")
         accuracy = (F.when((n_e > 0) & (n_a > 0),
                            m.cast("double") * F.lit(100.0) / F.greatest(n_e, n_a).cast("double"))

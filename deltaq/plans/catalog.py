@@ -359,6 +359,7 @@ for _t in ("customer", "orders", "lineitem"):
 # --- files and reconciliation -------------------------------------------------------------------
 
 from ..operators import reconcile as E  # noqa: E402
+from ..operators import reconcile_tree as T  # noqa: E402
 from ..sources import files as FS  # noqa: E402
 
 
@@ -403,7 +404,7 @@ register("reconcile_extra", O.with_rounds(
 register("reconcile_matching", O.with_rounds(
     _SETS + "SELECT * FROM exp INTERSECT SELECT * FROM act", closed=True))(
     lambda spark, sf_dir: _reconciled(spark, sf_dir).matching)
-register("reconcile_summary", O.with_rounds(_SETS + """,
+_SUMMARY = O.with_rounds(_SETS + """,
 cnt AS (SELECT (SELECT count(*) FROM (SELECT DISTINCT * FROM exp)) AS n_expected,
                (SELECT count(*) FROM (SELECT DISTINCT * FROM act)) AS n_actual,
                (SELECT count(*) FROM (SELECT * FROM exp INTERSECT SELECT * FROM act)) AS n_matching)
@@ -414,7 +415,32 @@ SELECT n_expected, n_actual, n_matching, n_expected - n_matching AS n_missing,
                  / CAST(greatest(n_expected, n_actual) AS DOUBLE)
             WHEN n_expected > 0 OR n_actual > 0 THEN CAST(0.0 AS DOUBLE) END AS accuracy,
        n_expected = n_matching AND n_actual = n_matching AS identical
-FROM cnt""", closed=True))(lambda spark, sf_dir: _reconciled(spark, sf_dir).summary())
+FROM cnt""", closed=True)
+register("reconcile_summary", _SUMMARY)(
+    lambda spark, sf_dir: _reconciled(spark, sf_dir).summary())
+
+
+@register("reconcile_tree_summary", _SUMMARY)
+def reconcile_tree_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5, E7 by a tree of checksums over order keys: the flagship's result before and after the
+    rounds; only ranges that differ are compared row by row."""
+    expected = R.stored(q3_batch(spark, sf_dir), "tree_before")
+    actual = R.stored(_q3_of(C.replayed(_routes(spark, sf_dir))), "tree_after")
+    return T.reconcile_tree(expected, actual, "l_orderkey", sets=True).summary()
+
+
+@register("reconcile_tree_lineitem", O.with_rounds("""
+SELECT 'missing' AS side, * FROM (SELECT * FROM tl EXCEPT SELECT * FROM cf_lineitem)
+UNION ALL
+SELECT 'extra' AS side, * FROM (SELECT * FROM cf_lineitem EXCEPT SELECT * FROM tl)""", closed=True))
+def reconcile_tree_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1-E3 on the largest table: line items before the rounds against those live after them, by a
+    tree of checksums over order keys."""
+    before = load_table(spark, sf_dir, "lineitem")
+    live = C.replayed({"lineitem": _routes(spark, sf_dir, ["lineitem"])["lineitem"]})["lineitem"]
+    r = T.reconcile_tree(before, live.select(*before.columns), "l_orderkey")
+    return r.missing.select(F.lit("missing").alias("side"), "*").unionByName(
+        r.extra.select(F.lit("extra").alias("side"), "*"))
 
 
 @register("reconcile_preview", O.with_rounds(_SETS + """,
