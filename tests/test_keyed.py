@@ -84,3 +84,18 @@ def test_state_stays_flat_while_rows_come_and_go(spark, scratch):
     assert rows[0] == rows[2] == rows[4] == rows[6] and min(rows[0]) >= 20
     assert rows[1] == rows[3] == rows[5] == [0, 0]
     assert as_set(K.keyed_snapshot(spark, paths)) == python_replay(up)
+
+
+def test_a_session_without_rocksdb_gets_it_for_the_keyed_queries_only(spark, scratch):
+    """The session's state store has no keyed state (Spark's default); its settings stay its own."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(provider)
+    default = old.rsplit(".", 1)[0] + ".HDFSBackedStateStoreProvider"
+    spark.conf.set(provider, default)
+    try:
+        paths = feed(spark, scratch, STEPS[:2], lambda paths, n: K.drain(spark, paths, 1))
+        assert spark.conf.get(provider) == default
+    finally:
+        spark.conf.set(provider, old)
+    lines = [x for step in STEPS[:2] for x in step]
+    assert as_set(K.keyed_snapshot(spark, paths)) == python_replay(lines)
