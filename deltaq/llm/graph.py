@@ -43,16 +43,31 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def with_cells(rows: DataFrame, size: Column, row_id: Column, block: int) -> DataFrame:
+def with_cells(rows: DataFrame, size: Column, row_id: Column, block: int,
+               united: Column | None = None, n_united: Column | None = None) -> DataFrame:
     """Deal the rows of a list over blocks of about ``block`` rows, and copy each row to every cell
     (_i, _j), _i <= _j, its block ``_b`` takes part in.  A short list is one cell; a long one is
-    split so that no task ever holds more than two blocks."""
-    blocks = F.greatest(F.lit(1), F.ceil(size / block)).cast("int")
-    dealt = rows.withColumn("_n", blocks).withColumn("_b", F.pmod(F.xxhash64(row_id, F.lit(5)),
-                                                                  F.col("_n")).cast("int"))
-    dealt = dealt.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    split so that no task ever holds more than two blocks.  Rows of a long list that are ``united``
+    (``n_united`` of them) need not meet each other: they get blocks of their own, which take part
+    in cells with the other blocks only."""
+    hashed = F.xxhash64(row_id, F.lit(5))
+    if united is None:
+        dealt = rows.withColumn("_n", F.greatest(F.lit(1), F.ceil(size / block)).cast("int"))
+        dealt = dealt.withColumns({"_b": F.pmod(hashed, F.col("_n")).cast("int"), "_m": F.col("_n")})
+    else:
+        def count(x: Column) -> Column:
+            return F.greatest(F.lit(1), F.ceil(x / block)).cast("int")
+
+        short = size <= block
+        dealt = rows.withColumn("_n", F.when(short, 1).otherwise(count(size - n_united)))
+        dealt = dealt.withColumn("_u", F.when(short, 0).otherwise(count(n_united)))
+        own = F.col("_n") + F.pmod(hashed, F.greatest(F.lit(1), F.col("_u"))).cast("int")
+        dealt = dealt.withColumns({
+            "_b": F.when(united & ~short, own).otherwise(F.pmod(hashed, F.col("_n")).cast("int")),
+            "_m": F.when(united, F.col("_n")).otherwise(F.col("_n") + F.col("_u"))}).drop("_u")
+    dealt = dealt.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
     return dealt.withColumns({"_i": F.least("_b", "_o"), "_j": F.greatest("_b", "_o")}).drop(
-        "_n", "_o")
+        "_n", "_m", "_o")
 
 
 def runs(parts: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

@@ -3,8 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from deltaq.llm import near_dups
+from deltaq.llm.graph import with_cells
 
 
 def words_of(text):
@@ -117,6 +119,67 @@ def test_dense_groups_are_not_branched(spark, docs, monkeypatch):
     assert got == brute(rows)
 
 
+def _edged_group(n=120):
+    """Near copies of one text, each a block of words off, and documents that share half of it:
+    these have the smallest ids, so a tree node's first document is like few of it."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(base[:260] + [f"y{i}x{j}" for j in range(140)])) for i in range(20)]
+    for i in range(20, n):
+        w = list(base)
+        w[rng.randrange(400)] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def _first_level(docs, rows, at):
+    described = near_dups.materialize(near_dups.describe(docs(rows)), "t")
+    reps = described.selectExpr("doc_id as rep", "tokens")
+    paths = near_dups._sized(reps.mapInArrow(
+        lambda parts: near_dups._branch(parts, True, at), "node long, rep long"))
+    return reps, near_dups.materialize(paths.filter("size > 16"), "t")
+
+
+def test_a_group_is_dense_whatever_its_first_document(spark, docs, monkeypatch):
+    monkeypatch.setattr(near_dups, "SMALL", 16)
+    rows, at = _edged_group(), near_dups.Threshold(80)
+    reps, large = _first_level(docs, rows, at)
+    edged = {r.node for r in large.filter("first < 20 and size > 60").collect()}
+    dense = {r.node for r in near_dups.dense_nodes(large, reps, at).collect()}
+    assert edged and edged <= dense
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in near_dups.near_duplicates(docs(rows), 80).collect()}
+    assert got == brute(rows, 80)
+
+
+def test_a_dense_group_is_compared_once_and_not_once_a_tree(spark, docs, monkeypatch):
+    monkeypatch.setattr(near_dups, "SMALL", 16)
+    rows, at = _edged_group(), near_dups.Threshold(80)
+    reps, _ = _first_level(docs, rows, at)
+    leaves = near_dups.materialize(near_dups.chosen_paths(reps, at), "t")
+    of_group = leaves.filter("rep >= 20 and size > 16").groupBy("rep").count()
+    assert [r["count"] for r in of_group.collect()] == [1] * 100
+    assert leaves.filter("size > 16 and rep = first").count() == 1
+
+
+@pytest.mark.parametrize("n,united", [(40, 30), (40, 39), (40, 1), (7, 5)])
+def test_cells_leave_out_only_pairs_that_are_united(spark, n, united):
+    rows = spark.range(n).selectExpr("id", f"id < {united} as u").selectExpr(
+        "*", f"{n} as size", f"{united} as m")
+    cells = with_cells(rows, F.col("size"), F.col("id"), 8, F.col("u"), F.col("m"))
+    met, held = set(), {}
+    for r in cells.collect():
+        held.setdefault((r._i, r._j), []).append(r)
+    for (i, j), cell in held.items():
+        met |= {frozenset((a.id, b.id)) for a in cell for b in cell
+                if (a._b, b._b) == (i, j) and a.id != b.id}
+    want = {frozenset((a, b)) for a in range(n) for b in range(a)}
+    apart = {p for p in want if not max(p) < united}
+    assert apart <= met and (met == want if n <= 8 else met == apart)
+    plain = with_cells(rows, F.col("size"), F.col("id"), 8).count()
+    assert cells.count() < plain or n <= 8 or united == 1
+
+
 def test_empty_table(spark, docs):
     assert near_dups.op6_minhash_dedup(docs([])).collect() == []
     assert near_dups.without_near_duplicates(docs([])).collect() == []
