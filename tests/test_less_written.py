@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from deltaq.operators import bitmap as B
 from deltaq.operators import reconcile_tree as T
+from deltaq.operators import replay as R
 from deltaq.operators.replay import stored
 from deltaq.sources import changelog as C
+from deltaq.streaming import normalise as N
 from deltaq.streaming.normalise import normalise
 
 
@@ -41,6 +43,33 @@ def test_a_compaction_that_no_batch_reads_is_not_written(spark, scratch, ahead):
     assert folds == (["upto=1", "upto=3"] if ahead else ["upto=1"])
 
 
+@pytest.mark.parametrize("null", [False, True])
+def test_earlier_rows_meet_the_bitmap_before_they_are_shuffled(spark, scratch, monkeypatch, null):
+    """The join to a batch's keys stays above the bitmap that keeps other keys' rows in place."""
+    monkeypatch.setattr(R, "FILTER_FROM", 1)
+    plans = []
+
+    def step(df, log_path, name, old=N._step):
+        if name == "touched_rows":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return old(df, log_path, name)
+    monkeypatch.setattr(N, "_step", step)
+    rows = [(i, "INSERT", i, 0) for i in range(50)] + [(60, "DELETE", 7, 2), (61, "DELETE", 9, 2)]
+    rows += [(5, "INSERT", 7, 1)] + ([(70, "INSERT", None, 1), (71, "DELETE", None, 2)] if null else [])
+    df = spark.createDataFrame(rows, "seq bigint, op string, k bigint, b int")
+    got = [sorted((r.seq, r.k, r.w) for r in normalise(
+        spark, lambda wanted: df.filter(F.col("b").isin(wanted)), b, scratch, ["k"], every=2,
+        ahead=False).collect()) for b in range(3)]
+    assert got[0] == [(i, i, 1) for i in range(50)]
+    assert got[1] == [(5, 7, 1)] + [(70, None, 1)] * null
+    assert got[2] == [(5, 7, -1), (7, 7, -1), (9, 9, -1)]
+    assert len(plans) == 2
+    for plan in plans:
+        tree = plan.splitlines()
+        keys = next(i for i, line in enumerate(tree) if "<=>" in line)
+        assert "Join" in tree[keys] and "getbit" in "".join(tree[keys + 1:])
+
+
 def test_a_bitmap_tells_every_bit(spark):
     """Every second of 70,000 keys, in as many bits: all that are in pass, of the others some."""
     keys = spark.range(0, 70_000, 2).select(F.col("id").alias("k"))
