@@ -86,6 +86,23 @@ def test_state_stays_flat_while_rows_come_and_go(spark, scratch):
     assert as_set(K.keyed_snapshot(spark, paths)) == python_replay(up)
 
 
+def test_keys_and_salts_that_share_a_bucket_stay_apart(spark, scratch, monkeypatch):
+    """One bucket for all keys and salts: the same result, and its state is read and written once a
+    side and micro-batch, not once a key."""
+    join = K.keyed_join
+    monkeypatch.setattr(K, "keyed_join", lambda *a, **b: join(*a, **b, buckets=1))
+    rows = []
+
+    def check(paths, n):
+        rows.append([sum(s["numRowsTotal"] for s in p["stateOperators"])
+                     for p in K.drain(spark, paths, 3)])
+        lines = [x for step in STEPS[:n + 1] for x in step]
+        assert as_set(K.keyed_snapshot(spark, paths)) == python_replay(lines), n
+
+    feed(spark, scratch, STEPS[:3], check)
+    assert max(max(r) for r in rows) == 2
+
+
 def test_a_session_without_rocksdb_gets_it_for_the_keyed_queries_only(spark, scratch):
     """The session's state store has no keyed state (Spark's default); its settings stay its own."""
     provider = "spark.sql.streaming.stateStore.providerClass"
